@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from wickwork.llm import line_dedup, mixing
+from wickwork.llm import line_dedup, mixing, quality_rules
 
 QUERIES = {
+    "op4_quality_rules": quality_rules.query,
     "op6_mix_sources": mixing.query,
     "op10_line_dedup": line_dedup.query,
 }
 SQL = {
+    "op4_quality_rules": quality_rules.SQL,
     "op6_mix_sources": mixing.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }
