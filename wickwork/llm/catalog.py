@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wickwork.llm import line_dedup, mixing, quality_rules
+from wickwork.llm import line_dedup, mixing, quality_rules, token_output
 
 QUERIES = {
+    "op1_token_output": token_output.query,
     "op4_quality_rules": quality_rules.query,
     "op6_mix_sources": mixing.query,
     "op10_line_dedup": line_dedup.query,
