@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from wickwork.llm import line_dedup, mixing, quality_rules, token_output
+from wickwork.llm import line_dedup, mixing, near_dedup, quality_rules, token_output
 
 QUERIES = {
+    "op8_minhash_near_dedup": near_dedup.query,
     "op1_token_output": token_output.query,
     "op4_quality_rules": quality_rules.query,
     "op6_mix_sources": mixing.query,
     "op10_line_dedup": line_dedup.query,
 }
 SQL = {
+    "op8_minhash_near_dedup": near_dedup.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op6_mix_sources": mixing.SQL,
     "op10_line_dedup": line_dedup.SQL,
