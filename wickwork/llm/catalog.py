@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wickwork.llm import line_dedup, mixing, near_dedup, quality_rules, token_output
+from wickwork.llm import decontamination, line_dedup, mixing, near_dedup, quality_rules, token_output
 
 QUERIES = {
+    "op9_decontamination": decontamination.query,
     "op8_minhash_near_dedup": near_dedup.query,
     "op1_token_output": token_output.query,
     "op4_quality_rules": quality_rules.query,

@@ -16,7 +16,7 @@ id share a hash, so both are taken or neither is. With no words at all every tar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickwork.llm.base import cut, table, words_of
@@ -24,12 +24,18 @@ from wickwork.llm.base import cut, table, words_of
 BITS = 12
 ROUNDS = 3
 HASH_BITS = 60
+BROADCAST_SOURCES = 20_000
+SALTS = 16
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, h): h is the first 60 bits of the MD5 of the id's text."""
-    digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4)
-    return docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), F.conv(digits, 16, 10).cast("long").alias("h"))
+    return docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), hash_of(F.col("doc_id")).alias("h"))
+
+
+def hash_of(doc_id: Column) -> Column:
+    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4)
+    return F.conv(digits, 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -78,17 +84,42 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return at.select("source", "budget", F.shiftleft(F.col("prefix") + nearer.cast("long"), HASH_BITS - BITS * ROUNDS).alias("t"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """Per row: doc_id, source, size, source_size, target, copies (how often the mix takes it), taken (words)."""
-    rows = cut(sized(docs))
+def source_plan(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """(source, source_size, target, whole, t), one row per source, from sized rows."""
     plan = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     plan = plan.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
     ends = thresholds(rows, plan.select("source", "budget"))
-    plan = plan.alias("p").join(ends.alias("e"), F.col("p.source").eqNullSafe(F.col("e.source"))).select("p.source", "source_size", "target", "whole", "t")
-    met = rows.alias("r").join(plan.alias("q"), F.col("r.source").eqNullSafe(F.col("q.source")))
-    copies = F.least(F.col("whole") + (F.col("h") < F.col("t")).cast("long"), F.lit(most))
-    return met.select("r.doc_id", "r.source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    met = plan.alias("p").join(ends.alias("e"), F.col("p.source").eqNullSafe(F.col("e.source")))
+    return cut(met.select(F.col("p.source").alias("mix_source"), "source_size", "target", "whole", "t"))
+
+
+def with_copies(rows: DataFrame, plan: DataFrame, h: Column, most: int) -> DataFrame:
+    """rows with the columns of the plan and mix_copies.
+
+    A plan of up to BROADCAST_SOURCES sources is sent to all tasks. A larger one is joined by source and a
+    salt, each of its rows once for every salt, so that a hot source's rows are spread over SALTS tasks.
+    """
+    if plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        met = rows.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("mix_source")))
+    else:
+        salted = plan.withColumn("mix_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        met = rows.join(salted, F.col("source").eqNullSafe(F.col("mix_source")) & (F.pmod(h, F.lit(SALTS)).cast("int") == F.col("mix_salt"))).drop("mix_salt")
+    return met.withColumn("mix_copies", F.least(F.col("whole") + (h < F.col("t")).cast("long"), F.lit(most)))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """Per row: doc_id, source, size, source_size, target, copies (how often the mix takes it), taken (words)."""
+    rows = cut(sized(docs))
+    met = with_copies(rows, source_plan(rows, weights, most), F.col("h"), most)
+    return met.select("doc_id", "source", "size", "source_size", "target", F.col("mix_copies").alias("copies"), (F.col("size") * F.col("mix_copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """The rows of docs as the mix takes them: left out, or repeated whole."""
+    plan = source_plan(cut(sized(docs)), weights, most)
+    met = with_copies(docs, plan, hash_of(F.col("doc_id")), most)
+    return met.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
