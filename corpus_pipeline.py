@@ -1,12 +1,59 @@
-"""The corpus pipeline: documents through the operators of wickwork.llm, stage by stage."""
+"""The corpus pipeline: documents through five operators of wickwork.llm, stage by stage.
+
+Each stage gets what the one before it kept, as Parquet read back, and all but the last return rows with
+the columns of documents. The last stage's ids can't be computed in SQL, so ORACLE_SQL is None and the
+tests hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from wickwork.llm import decontamination, mixing, near_dedup, quality_rules, token_output
+from wickwork.llm.base import shared_folder, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.filtered(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest id stays."""
+    return near_dedup.deduplicated(docs, width=5, percent=80)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target weights; a document may go, stay or be repeated."""
+    return mixing.mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts as packed token ids on disk, and per document its place in them."""
+    return token_output.encoded(docs).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("minhash_near_dedup", near_duplicates),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+    ("token_output", tokens),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
+    return docs
