@@ -55,15 +55,17 @@ def counts(docs: DataFrame) -> DataFrame:
     d = d.withColumn("q_starts", F.sort_array(starts))
     covered = F.zip_with("q_starts", F.slice("q_starts", 2, F.greatest(F.size("q_starts"), F.lit(1))), lambda a, b: F.least(F.coalesce(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
     d = d.withColumn("q_lines", F.filter(F.split("q_text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != ""))
-    return d.withColumns({
-        "q_words": F.size("q_hash").cast("long"),
-        "q_chars": _removed("q_text", SPACE).cast("long"),
-        "q_symbols": (F.char_length("q_text") - _removed("q_text", SYMBOLS)).cast("long"),
-        "q_capitals": (F.char_length("q_text") - _removed("q_text", UPPER)).cast("long"),
-        "q_all_lines": F.size("q_lines").cast("long"),
-        "q_dup_lines": (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long"),
+    found = {
+        "q_words": F.size("q_hash"),
+        "q_chars": _removed("q_text", SPACE),
+        "q_symbols": F.char_length("q_text") - _removed("q_text", SYMBOLS),
+        "q_capitals": F.char_length("q_text") - _removed("q_text", UPPER),
+        "q_all_lines": F.size("q_lines"),
+        "q_dup_lines": F.size("q_lines") - F.size(F.array_distinct("q_lines")),
         "q_repeat_words": F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")),
-    }).drop("q_text", "q_hash", "q_2", "q_4", "q_8", "q_sorted", "q_starts", "q_lines")
+    }
+    # as a generator's output: the optimizer would copy the counts' expressions into any filter on them
+    return d.select(*docs.columns, F.inline(F.array(F.struct(*(c.cast("long").alias(name) for name, c in found.items())))))
 
 
 def _share(part: str, whole: str) -> Column:
