@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from wickwork.llm import decontamination, line_dedup, mixing, near_dedup, quality_rules, token_output
+from wickwork.llm import decontamination, line_dedup, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
 
 QUERIES = {
+    "op3_quality_classifier": quality_classifier.query,
+    "op5_pii": pii.query,
     "op9_decontamination": decontamination.query,
     "op8_minhash_near_dedup": near_dedup.query,
     "op1_token_output": token_output.query,
