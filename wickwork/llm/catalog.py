@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wickwork.llm import decontamination, line_dedup, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
+from wickwork.llm import decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
 
 QUERIES = {
+    "op7_lm_scoring": lm_scoring.query,
     "op3_quality_classifier": quality_classifier.query,
     "op5_pii": pii.query,
     "op9_decontamination": decontamination.query,
