@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wickwork.llm import decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
+from wickwork.llm import chat_format, decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
 
 QUERIES = {
+    "op2_chat_format": chat_format.query,
     "op7_lm_scoring": lm_scoring.query,
     "op3_quality_classifier": quality_classifier.query,
     "op5_pii": pii.query,
@@ -16,6 +17,7 @@ QUERIES = {
     "op10_line_dedup": line_dedup.query,
 }
 SQL = {
+    "op2_chat_format": chat_format.SQL,
     "op8_minhash_near_dedup": near_dedup.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op6_mix_sources": mixing.SQL,
