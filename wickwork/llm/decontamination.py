@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over ten consecutive words of which seven count, so a window still matches where a
+A seed is a fixed mask over ten consecutive words of which seven or eight count, so a window still matches where a
 word at an ignored place was replaced. The hashes of all windows of the test items, one table for each
 mask, meet the hashes of all windows of every text: a hash join whose test side is sent to the tasks in
 blocks of bounded size, so the texts are neither shuffled nor dealt by key, however common a passage is. A
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from wickwork.llm.base import table
 
 # The masks and the rule.
-MASKS = ("1101100111", "1110010111", "1011101101")
+MASKS = ("1101100111", "1110010111", "1011101101", "1111011110")
 SPAN = 10
 SHORTEST = 5
 ENOUGH = 13

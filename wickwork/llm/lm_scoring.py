@@ -172,7 +172,7 @@ def _rows(sent):
                 for kind, (x, d, c), shard in ((BIGRAMS, (key, d, c), v.shard(key)), (RARES, (r := _grouped(h[rare], doc[rare])), (r[0] % np.uint64(v.shards)).astype(np.int64))):
                     order = np.argsort(shard, kind="stable")
                     cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-                    for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+                    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=False):
                         i = order[a:b]
                         step = np.diff(x[i], prepend=np.uint64(0))
                         out.append((int(shard[i[0]]), kind, head + planes(step, 5 if kind == BIGRAMS else 8) + planes(d[i], 2) + planes(c[i], 4)))
