@@ -7,16 +7,15 @@ def rows_of(frame) -> list[tuple]:
     """Rows with columns by name, floats to nine places, sorted."""
 
     def plain(v):
-        if v is None or v != v or str(v) in ("NaT", "<NA>"):
+        if v is None or str(v) in ("nan", "NaT", "<NA>"):
             return None
         if isinstance(v, bool):
             return v
-        if isinstance(v, float):
-            return round(v, 9)
-        return v.item() if hasattr(v, "item") else v
+        v = v.item() if hasattr(v, "item") else v
+        return round(float(v), 9) if isinstance(v, float) or type(v) is int and abs(v) < 2**53 else v
 
     frame = frame[sorted(frame.columns)].astype(object)
-    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in map(plain, r)) for r in frame.values.tolist()), key=repr)
+    return sorted((tuple(map(plain, r)) for r in frame.values.tolist()), key=repr)
 
 
 def same(spark, duck, query, sql: str, folder: str) -> None:
