@@ -21,16 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, per_task: int = 0) -> DataFrame:
     """The same rows, read back from files in the cluster's checkpoint folder.
 
     The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    a new temporary folder is used.
+    a new temporary folder is used. With per_task the rows are read back by as many tasks as hold about
+    that many each: many tasks with few rows would fill later shuffles with small files.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="wickwork-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    return out.coalesce(max(1, -(-out.count() // per_task))) if per_task else out
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -10,9 +10,10 @@ others are confirmed on the full sets.
 
 No group is expanded into its pairs. In a bucket the first document is compared with all documents of
 other components; the links found merge components, and a bucket whose documents are all in one component
-is done, as more links in it would change nothing. Buckets of up to 8 documents are settled at once. After
-three rounds what is still open (documents that no bucket's first ones link) is compared pair by pair, but
-only across components, so no link is given up.
+is done, as more links in it would change nothing. Buckets of up to 8 documents are settled at once. What
+two rounds leave open (documents that no bucket's first ones link) is compared exactly, in blocks: documents
+that open buckets chain together are dealt into blocks of about 256, and a task gets the sets of two blocks
+and returns only the links between components. So no link is given up and no pair is written but a link.
 
 With 32 bands a pair at similarity 0.8 shares none with probability under 1e-7.
 
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +41,9 @@ MANTISSA = 10
 #: Estimates under this are further from 0.8 than their error reaches.
 LEAST_ESTIMATE = 0.5
 SMALL_BUCKET = 8
-ROUNDS = 3
+ROUNDS = 2
+BLOCK = 256
+EDGES_PER_TASK, ROWS_PER_TASK, SETS_PER_TASK = 200_000, 20_000, 4_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -149,27 +153,31 @@ def components(links: DataFrame) -> DataFrame:
     Alternates large and small stars (Kiveris and others, 2014) on tables in the checkpoint folder; a hub's
     links are aggregated before they are shuffled and never gathered in one row.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    edges = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), EDGES_PER_TASK)
     while True:
+        tasks = max(1, -(-edges.count() // EDGES_PER_TASK))
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(2 * tasks).distinct().coalesce(2 * tasks)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        met = large.join(least, "a")
+        met = large.join(least, "a").coalesce(2 * tasks)
         small = met.select("a", F.col("m").alias("b")).union(met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        edges = cut(small)
+        edges = cut(small, EDGES_PER_TASK)
         # stars: no centre is a leaf, and every leaf has one centre
-        inner = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()
-        if not inner and not edges.groupBy("a").count().where("count > 1").limit(1).count():
+        shape = edges.groupBy("a").agg(F.count("*").alias("n")).coalesce(tasks)
+        if not shape.where("n > 1").limit(1).count() and not shape.join(edges.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count():
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
-def _pairs(members: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of this round across components, and the members of buckets that stay open."""
+def _open(members: DataFrame) -> DataFrame:
+    """The members of buckets that still hold several components, with the bucket's size and first member."""
     spans = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("first"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
-    open_ = cut(members.join(spans.select("bucket", "n", "first"), "bucket"))
-    whole = F.lit(True) if last else F.col("n") <= SMALL_BUCKET
-    few, many = open_.where(whole), open_.where(~whole)
+    return cut(members.join(spans.select("bucket", "n", "first"), "bucket"), EDGES_PER_TASK)
+
+
+def _pairs(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of a round across components, and the members of buckets that it doesn't settle."""
+    few, many = open_.where(F.col("n") <= SMALL_BUCKET), open_.where(F.col("n") > SMALL_BUCKET)
     x, y = few.select("bucket", F.col("rep").alias("a"), F.col("comp").alias("ca")), few.select("bucket", F.col("rep").alias("b"), F.col("comp").alias("cb"))
     pairs = x.join(y, "bucket").where("a < b and ca <> cb").select("a", "b")
     lead = many.where("rep = first").select("bucket", F.col("comp").alias("lead"))
@@ -177,33 +185,76 @@ def _pairs(members: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
     return pairs.union(star).distinct(), many.where("rep <> first").select("bucket", "rep")
 
 
+def _between(percent: int):
+    """Links across components among the sets of a block or of two."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        rep, comp = np.asarray(group.column("rep")), np.asarray(group.column("comp"))
+        sizes = np.asarray(pa.compute.list_value_length(group.column("hashes")))
+        token = np.unique(np.asarray(group.column("hashes").combine_chunks().flatten()), return_inverse=True)[1]
+        held = np.bincount(token)
+        row = np.repeat(np.arange(len(rep)), sizes)[held[token] > 1]
+        token = (np.cumsum(held > 1) - 1)[token[held[token] > 1]]
+        order = np.argsort(token, kind="stable")
+        row, token = row[order], token[order]
+        same = np.zeros((len(rep), len(rep)), np.float32)
+        ends = np.searchsorted(token, np.arange(0, (token[-1] if len(token) else 0) + 4097, 4096))
+        for a, b in zip(ends, ends[1:]):
+            part = np.zeros((len(rep), 4096), np.float32)
+            part[row[a:b], token[a:b] % 4096] = 1
+            same += part @ part.T
+        near = (100 * same >= percent * (sizes[:, None] + sizes[None, :] - same)) & (comp[:, None] != comp[None, :]) & (rep[:, None] < rep[None, :])
+        x, y = np.nonzero(near)
+        return pa.table({"a": rep[x], "b": rep[y], "same": same[x, y].astype(np.int64)})
+
+    return run
+
+
+def _rest(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links across components among the documents that open buckets chain together."""
+    chained = components(open_.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")))
+    chain = chained.union(chained.select("component", "component")).distinct()
+    some = open_.select("rep", "comp").distinct().join(chain, F.col("rep") == F.col("id")).select("rep", "comp", "component")
+    number = some.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = some.join(number, "component").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    met = dealt.join(sets.select(F.col("doc_id").alias("rep"), "hashes"), "rep")
+    other = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = other.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "comp", "hashes")
+    return keys.groupBy("component", "i", "j").applyInArrow(_between(percent), "a long, b long, same long")
+
+
 def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id, component_id, kept, n_links (of its class, as far as confirmed)."""
-    rows = cut(sketched(docs, width))
-    classes = cut(rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")))
+    rows = cut(sketched(docs, width), ROWS_PER_TASK)
+    classes = cut(rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), EDGES_PER_TASK)
     reps = rows.alias("r").join(classes.alias("c"), (F.col("r.doc_id") == F.col("c.rep")) & (F.col("r.s1") == F.col("c.s1")) & (F.col("r.s2") == F.col("c.s2")))
     reps = reps.select("rep", "r.n", "regs").dropDuplicates(["rep"])
     buckets = reps.select("rep", F.posexplode("regs").alias("band", "key")).select("rep", F.xxhash64("band", "key").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = cut(buckets.join(shared, "bucket"))
+    members = cut(buckets.join(shared, "bucket"), EDGES_PER_TASK)
     some = members.select("rep").distinct()
-    registers_of = cut(reps.join(some, "rep"))
-    sets = cut(shingle_sets(docs.join(some.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]))
+    registers_of = cut(reps.join(some, "rep"), ROWS_PER_TASK)
+    sets = cut(shingle_sets(docs.join(some.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), SETS_PER_TASK)
     links = docs.sparkSession.createDataFrame([], "a long, b long, same long")
-    label, members = None, members.withColumn("comp", F.col("rep"))
+    label, members = links.select(F.col("a").alias("id"), F.col("b").alias("component")), members.withColumn("comp", F.col("rep"))
     for turn in range(ROUNDS + 1):
-        pairs, open_ = _pairs(members, turn == ROUNDS)
-        side = lambda c: registers_of.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near, "a long, b long")
-        of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("hashes").alias(f"set_{c}"))
-        met = near.join(of("b"), "b").join(of("a"), "a").select("a", "b", (F.size("set_a") + F.size("set_b")).alias("both"), F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("same"))
-        found = cut(met.where(100 * F.col("same") >= percent * (F.col("both") - F.col("same"))).select("a", "b", "same"))
+        open_ = _open(members)
+        if open_.limit(1).count() == 0:
+            break
+        if turn == ROUNDS:
+            found, left = cut(_rest(open_, sets, percent), EDGES_PER_TASK), None
+        else:
+            pairs, left = _pairs(open_)
+            side = lambda c: registers_of.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}"))
+            near = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near, "a long, b long")
+            of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("hashes").alias(f"set_{c}"))
+            met = near.join(of("b"), "b").join(of("a"), "a").select("a", "b", (F.size("set_a") + F.size("set_b")).alias("both"), F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("same"))
+            found = cut(met.where(100 * F.col("same") >= percent * (F.col("both") - F.col("same"))).select("a", "b", "same"), EDGES_PER_TASK)
         links = links.union(found)
         label = components(links)
-        left = open_.join(label, open_["rep"] == label["id"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
-        if turn == ROUNDS or open_.limit(1).count() == 0:
-            break
-        members = left
+        if left is not None:
+            members = left.join(label, left["rep"] == label["id"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     known = classes.alias("c").join(label.alias("l"), F.col("c.rep") == F.col("l.id"), "left").join(ends.alias("e"), F.col("c.rep") == F.col("e.id"), "left")
     known = known.select("s1", "s2", "c.n", "rep", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
