@@ -34,7 +34,7 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 WITH_DIGITS = re.compile(
     r"(?<![\w.+-])(?:"
     r"(?P<phone>(?:\+1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4})"
-    r"|(?P<card>\d(?:[ -]?\d){12,18})"
+    r"|(?P<card>\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5})"
     r"|(?P<date>\d{4}-\d\d-\d\d|\d\d[/.]\d\d[/.]\d{4})"
     r"|(?P<ssn>\d{3}-\d\d-\d{4})"
     r"|(?P<ip>\d{1,3}(?:\.\d{1,3}){3}(?!\.\d)))(?!\w)"
@@ -170,8 +170,9 @@ def rewrite(f: Feistel, text: str, counts: dict[str, int] | None = None, back: b
         return new
 
     def number(m: re.Match) -> str:
-        new = VALUES[m.lastgroup](f, m[0], back)
-        return m[0] if new is None else seen(m.lastgroup, new)
+        kind = next(k for k in VALUES if m[k])
+        new = VALUES[kind](f, m[0], back)
+        return m[0] if new is None else seen(kind, new)
 
     def email(m: re.Match) -> str:
         return seen("email", f"{_by_alphabet(f, 'mail', m[1], back)}@{_by_alphabet(f, 'host', m[2], back)}{m[3]}")
