@@ -103,6 +103,17 @@ def test_session_and_returns(spark):
     assert "EXTREME_RETURN" not in found(bars(spark, 200, change=endless))
 
 
+def test_blocks_change_nothing(spark):
+    from tests.conftest import SMALL
+    from wickwork.sources import tables
+
+    df, sort = tables.candles(spark, SMALL), lambda d: sorted(map(tuple, d.collect()), key=repr)
+    for block in (7, 1000):
+        rules = validate.Rules(sigma=3.0)
+        assert sort(validate.issues(df, validate.Rules(sigma=3.0, block=block))) == sort(validate.issues(df, rules))
+        assert sort(validate.samples(df, validate.Rules(sigma=3.0, block=block))) == sort(validate.samples(df, rules))
+
+
 def test_samples_are_bounded(spark):
     def low(rows):
         for r in rows:

@@ -33,13 +33,18 @@ LEAST_ROWS_FOR_RETURNS = 30
 
 @dataclass(frozen=True)
 class Rules:
-    """interval: minutes of a bar, "resolution" to take them from each dataset's resolution, None to skip those checks."""
+    """interval: minutes of a bar, "resolution" to take them from each dataset's resolution, None to skip those checks.
+
+    block: with a number, rows are dealt by dataset and blocks of so many sequence numbers, for datasets too
+    large for a task; without it by dataset alone, in a single exchange. The results are the same.
+    """
 
     interval: int | str | None = "resolution"
     sigma: float = 10.0
     session: tuple[datetime.time, datetime.time] | None = None
     max_session_gap_days: float | None = None
     source_zone: str = times.IST
+    block: int | None = None
 
 
 def row_flags() -> dict[str, Column]:
@@ -63,16 +68,37 @@ def _clean_nan(df: DataFrame) -> DataFrame:
     return df.withColumns({p: F.nanvl(F.col(p), F.lit(None).cast("double")) for p in PRICES})
 
 
+def _change() -> Column:
+    before, close = F.col("_close"), F.col("close")
+    return F.when(before == 0, F.when(close > 0, math.inf).when(close < 0, -math.inf)).otherwise(close / before - 1)
+
+
+def _by_dataset(df: DataFrame) -> DataFrame:
+    w, every = Window.partitionBy(*KEYS).orderBy(SEQ), Window.partitionBy(*KEYS)
+    d = df.withColumns({"_ts": F.lag("ts").over(w), "_close": F.lag("close").over(w)}).withColumn("_change", _change())
+    return d.withColumns({"_mean": F.avg("_change").over(every), "_dev": F.stddev_samp("_change").over(every), "_rows": F.count("*").over(every), "_endless": F.max(F.abs("_change")).over(every) == math.inf})
+
+
+def _by_block(df: DataFrame, size: int) -> DataFrame:
+    """The same columns; the first row of a block gets its predecessor from the last rows of the blocks, one row each."""
+    d = df.withColumn("_block", F.floor(F.col(SEQ) / size))
+    ends = d.groupBy(*KEYS, "_block").agg(F.max_by(F.struct("ts", "close"), SEQ).alias("_end"))
+    carried = ends.select(*KEYS, "_block", F.lag("_end").over(Window.partitionBy(*KEYS).orderBy("_block")).alias("_carried"))
+    w = Window.partitionBy(*KEYS, "_block").orderBy(SEQ)
+    first = F.row_number().over(w) == 1
+    d = d.join(carried, [*KEYS, "_block"])
+    d = d.withColumns({"_ts": F.when(first, F.col("_carried.ts")).otherwise(F.lag("ts").over(w)), "_close": F.when(first, F.col("_carried.close")).otherwise(F.lag("close").over(w))})
+    d = d.withColumn("_change", _change()).drop("_block", "_carried")
+    moments = d.groupBy(*KEYS).agg(F.avg("_change").alias("_mean"), F.stddev_samp("_change").alias("_dev"), F.count("*").alias("_rows"), (F.max(F.abs("_change")) == math.inf).alias("_endless"))
+    return d.join(moments, KEYS)
+
+
 def with_order(df: DataFrame, rules: Rules) -> DataFrame:
     """df with what the ordered checks need: time since the row before, equal times, z-score of the return."""
-    w = Window.partitionBy(*KEYS).orderBy(SEQ)
-    every = Window.partitionBy(*KEYS)
     same = Window.partitionBy(*KEYS, "ts")
-    before, close = F.col("_close"), F.col("close")
-    change = F.when(before == 0, F.when(close > 0, math.inf).when(close < 0, -math.inf)).otherwise(close / before - 1)
-    d = _clean_nan(df).withColumns({"_ts": F.lag("ts").over(w), "_close": F.lag("close").over(w)})
-    d = d.withColumn("_gap", F.unix_micros("ts") - F.unix_micros("_ts")).withColumn("_change", change)
-    d = d.withColumns({"_mean": F.avg("_change").over(every), "_dev": F.stddev_samp("_change").over(every), "_rows": F.count("*").over(every), "_endless": F.max(F.abs("_change")).over(every) == math.inf})
+    d = _clean_nan(df)
+    d = _by_block(d, rules.block) if rules.block else _by_dataset(d)
+    d = d.withColumn("_gap", F.unix_micros("ts") - F.unix_micros("_ts"))
     d = d.withColumns({"_same": F.count("*").over(same), "_first": F.row_number().over(same.orderBy(SEQ)) == 1})
     minutes = times.resolution_minutes(F.col("resolution")) if rules.interval == "resolution" else F.lit(rules.interval)
     return d.withColumn("_step", minutes.cast("long") * times.MINUTE)
