@@ -175,6 +175,32 @@ _add(
     f"with {ORDERED}, flagged as ({_counts}), i as (select distinct symbol, resolution, code, severity from flagged) select severity, count(*) as n from i group by 1",
 )
 
+
+
+# --- E, F: the ordered and row-wise primitives themselves -------------------------------------------
+def _primitives(spark: SparkSession, d: str) -> DataFrame:
+    o = validate.with_order(tables.candles(spark, d), validate.Rules(block=1000))
+    z = F.when(~F.coalesce("_endless", F.lit(False)) & (F.col("_dev") > 0), F.round(instruments.z_score(F.col("_change"), F.col("_mean"), F.col("_dev")), 4))
+    same_day = times.ist_day(F.col("ts")) == times.ist_day(F.col("_ts"))
+    return _us(o.withColumns({"gap": F.col("_gap"), "same_day": same_day, "change": F.round("_change", 9), "z": z, "repeated": F.col("_same") > 1}), "gap", "same_day", "change", "z", "repeated")
+
+
+_add(
+    "e01_ordered_primitives",
+    _primitives,
+    f"with {ORDERED} select symbol, resolution, seq, us, gap, same_day, round(r, 9) as change, case when not endless and dev > 0 then round(abs((r - mean) / dev), 4) end as z, same > 1 as repeated from ordered",
+)
+_add(
+    "e04_sorted_datasets",
+    lambda spark, d: validate.with_order(tables.candles(spark, d), RULES).groupBy(*KEYS).agg((~F.coalesce(F.bool_or(F.col("_gap") < 0), F.lit(False))).alias("sorted")),
+    f"with {ORDERED} select symbol, resolution, not coalesce(bool_or(gap < 0), false) as sorted from ordered group by all",
+)
+_add(
+    "f04_row_extremes",
+    lambda spark, d: _us(tables.candles(spark, d).withColumns({"top": F.greatest("open", "close"), "bottom": F.least("open", "close"), "missing": F.exists(F.array(*PRICES), lambda x: x.isNull())}), "top", "bottom", "missing"),
+    f"with {CANDLES} select symbol, resolution, seq, us, greatest(open, close) as top, least(open, close) as bottom, open is null or high is null or low is null or close is null as missing from candles",
+)
+
 # --- A, C: payloads and chunks --------------------------------------------------------------------
 STATUS = """answers as (
   select event_type as symbol, event_id // 500 as chunk, (event_id // 500) % 7 as kind, count(*) as n, min(ts::date) as from_date, max(ts::date) as to_date from events group by all
