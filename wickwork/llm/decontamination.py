@@ -37,9 +37,10 @@ SHORTEST = 5
 ENOUGH = 13
 SHARE = 0.7
 MISMATCH = -2
-#: Words of test items that are sent to the tasks at once; with all tables about 60 bytes a word.
-BLOCK_WORDS = 500_000
-BITMAP = 24
+#: Words of test items that are sent to the tasks at once; with all tables about 600 bytes a word, half of it bitmaps.
+BLOCK_WORDS = 100_000
+#: Cells for each window of the items in the table that most windows of the texts miss.
+BITMAP = 64
 LEAK = "leak_mark"
 
 _ODD = np.array([int.from_bytes(xxhash.xxh3_64_digest(bytes([i])), "big") | 1 for i in range(SPAN)], np.uint64)
@@ -78,16 +79,17 @@ class Items:
             owner = np.concatenate([np.full(len(h), k, np.int32) for h, k in parts])
             place = np.concatenate([np.arange(len(h), dtype=np.int32) for h, _ in parts])
             order = np.argsort(keys, kind="stable")
-            bitmap = np.zeros(1 << BITMAP, bool)
-            bitmap[keys >> np.uint64(64 - BITMAP)] = True
-            self.tables[mask] = (keys[order], owner[order], place[order], bitmap)
+            shift = np.uint64(64 - (BITMAP * len(keys)).bit_length())
+            bitmap = np.zeros(1 << (64 - int(shift)), bool)
+            bitmap[keys >> shift] = True
+            self.tables[mask] = (keys[order], owner[order], place[order], bitmap, shift)
 
     def matches(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item_id, equal words, words of the item, first word in the text), best first."""
         lie = set()
-        for mask, (keys, owner, place, bitmap) in self.tables.items():
+        for mask, (keys, owner, place, bitmap, shift) in self.tables.items():
             h = windows(words, mask)
-            at = np.flatnonzero(bitmap[h >> np.uint64(64 - BITMAP)])
+            at = np.flatnonzero(bitmap[h >> shift])
             if len(at):
                 low, high = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
                 for p, a, b in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist(), strict=True):
