@@ -35,6 +35,7 @@ SHARES = ("symbols", "capitals", "repeats", "lines")
 ALPHA = 0.01
 DELTA = 0.05
 GOOD_WEIGHT = 20
+BROADCAST_CUTOFFS = 20_000
 
 
 def _removed(text: str, characters: str) -> Column:
@@ -118,6 +119,8 @@ def certified(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta
 def judged(counted: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """counted with base_failed and kept."""
     wide = cutoffs.groupBy("stratum").agg(*(F.min(F.when(F.col("share") == s, F.col("cutoff"))).alias(f"q_max_{s}") for s in SHARES))
+    if cutoffs.limit(BROADCAST_CUTOFFS + 1).count() <= BROADCAST_CUTOFFS:
+        wide = F.broadcast(wide)  # else the texts would be dealt by language
     met = counted.join(wide, F.col("lang").eqNullSafe(F.col("stratum")), "left")
     passed = ~base_failed()
     for s in SHARES:
