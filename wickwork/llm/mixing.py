@@ -60,10 +60,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
 
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """(source, budget, t): rows with h < t have sizes that sum to nearly the budget of their source."""
-    at = budgets.select("source", "budget", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("under"))
+    at = cut(budgets.select("source", "budget", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("under")))
+    few = at.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     for level in range(1, ROUNDS + 1):
         shift = HASH_BITS - BITS * level
-        inside = rows.alias("r").join(at.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source")) & (F.shiftright("h", shift + BITS) == F.col("prefix")))
+        inside = rows.alias("r").join(F.broadcast(at.alias("a")) if few else at.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source")) & (F.shiftright("h", shift + BITS) == F.col("prefix")))
         sums = inside.groupBy("a.source", "budget", "under", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("size"))
         running = F.sum("size").over(Window.partitionBy("source").orderBy("bucket"))
         sums = sums.withColumn("over", F.col("under") + running)
