@@ -199,6 +199,21 @@ def test_pseudonyms(spark):
     assert pii.rewrite(f, "x 4425414259157784 y").split()[1] == numbers[0]
 
 
+def test_phones_of_any_area_code_and_exchange():
+    phones = [f"+1 ({a}) {e}-7713" for a in ("017", "136", "319", "000", "999") for e in ("555", "017", "199", "200")] + ["136-555-7479", "017.155.0000"]
+    f, counts = pii.Feistel(b"k"), {}
+    text = "; ".join(phones)
+    out = pii.rewrite(f, text, counts)
+    new = out.split("; ")
+    assert counts == {"phone": len(phones)} and not set(new) & set(phones) and len(set(new)) == len(phones)
+    assert ["".join("d" if c.isdigit() else c for c in x) for x in new] == ["".join("d" if c.isdigit() else c for c in x) for x in phones] and all(x.startswith("+1 (") for x in new[:20])
+    assert pii.rewrite(f, out, None, True) == text
+    digits = lambda x: "".join(c for c in x if c.isdigit())[-10:]
+    assert digits(pii.rewrite(f, "call (136) 555-7479")) == digits(new[20]) and pii.rewrite(f, text) == out
+    assert [(x[0] < "2", x[3] < "2") for x in map(digits, new)] == [(x[0] < "2", x[3] < "2") for x in map(digits, phones)]
+    assert pii.rewrite(f, "319-555-5132") == "476-439-2812" and pii.rewrite(f, "1 \u0661\u0662\u0663 \u0664\u0665\u0666 \u0667\u0668\u0669\u0660") == "1 \u0661\u0662\u0663 \u0664\u0665\u0666 \u0667\u0668\u0669\u0660"
+
+
 def test_pii_on_odd_rows(spark, odd):
     out = pii.pseudonymised(odd, b"k").collect()
     assert collections.Counter(r.text for r in out) == collections.Counter(r.text for r in odd.collect()) and not pii.pseudonymised(odd.limit(0), b"k").collect()

@@ -1,10 +1,11 @@
 """PII: format-preserving pseudonyms from a keyed Feistel network.
 
-Values are found by pattern and validated (Luhn for cards, ranges for phone and social security numbers
-and addresses, the calendar for dates); each is a number in the domain of its format, and the network
-permutes that domain under a key. The result has the same format and passes the same validation, equal
-values get equal pseudonyms in every document, different ones stay different, and the key's holder can
-turn them back. Letters and digits of mail addresses and secrets are permuted in their own alphabets.
+Values are found by pattern and validated (Luhn for cards, ranges for social security numbers and
+addresses, the calendar for dates; phone numbers may have any area code and exchange); each is a number
+in the domain of its format, and the network permutes that domain under a key. The result has the same
+format and passes the same validation, equal values get equal pseudonyms in every document, different
+ones stay different, and the key's holder can turn them back. Letters and digits of mail addresses and
+secrets are permuted in their own alphabets.
 
 Texts are rewritten where they lie: no shuffle and no table of values.
 
@@ -33,7 +34,7 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 # The patterns. Named groups are the kinds.
 WITH_DIGITS = re.compile(
     r"(?<![\w.+-])(?:"
-    r"(?P<phone>(?:\+1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4})"
+    r"(?P<phone>(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})"
     r"|(?P<card>\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5})"
     r"|(?P<date>\d{4}-\d\d-\d\d|\d\d[/.]\d\d[/.]\d{4})"
     r"|(?P<ssn>\d{3}-\d\d-\d{4})"
@@ -108,8 +109,11 @@ def card(f: Feistel, s: str, back: bool) -> str | None:
 def phone(f: Feistel, s: str, back: bool) -> str | None:
     d = _digits(s)
     head, d = d[:-10], d[-10:]
-    x = f.permute("phone", 800 * 800 * 10_000, ((int(d[:3]) - 200) * 800 + int(d[3:6]) - 200) * 10_000 + int(d[6:]), back)
-    return _filled(s, f"{head}{x // 8_000_000 + 200}{x // 10_000 % 800 + 200}{x % 10_000:04d}")
+    # codes below 200 aren't assigned but written all the same: each of the four forms permutes among itself
+    low, size = zip(*((200, 800) if int(p) >= 200 else (0, 200) for p in (d[:3], d[3:6])), strict=True)
+    tag = "phone" if low == (200, 200) else f"phone {low[0]} {low[1]}"
+    x = f.permute(tag, size[0] * size[1] * 10_000, ((int(d[:3]) - low[0]) * size[1] + int(d[3:6]) - low[1]) * 10_000 + int(d[6:]), back)
+    return _filled(s, f"{head}{x // (size[1] * 10_000) + low[0]:03d}{x // 10_000 % size[1] + low[1]:03d}{x % 10_000:04d}")
 
 
 def ssn(f: Feistel, s: str, back: bool) -> str | None:
