@@ -291,6 +291,17 @@ def test_lm_against_brute_force(spark, duck, monkeypatch, shard, vocabulary):
         assert abs(r.score - score) <= 0.02 * (len(words) + 1)
 
 
+def test_every_word_has_bigrams_however_many_there_are(spark):
+    """More than 2 to the 20 words that come once each; the held-out text repeats a passage of them."""
+    ids = [[i for i in range(400) if (zlib.crc32(str(i).encode()) % 7 == 2) == out] for out in (False, True)]
+    n = 40 * 27_000
+    rows = [(i, " ".join(f"w{k}" for k in range(27_000 * j, 27_000 * (j + 1)))) for j, i in enumerate(ids[0][:40])] + [(ids[1][0], " ".join(f"w{k}" for k in range(100, 201)))]
+    got = next(r for r in lm_scoring.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect() if r.held_out)
+    whole, mu = n + 40 + n + 1 + 1, lm_scoring.MU
+    want = math.log10(mu * 2 / whole / (40 + mu)) + 100 * math.log10((1 + mu * 2 / whole) / (1 + mu)) + math.log10(mu * 41 / whole / (1 + mu))
+    assert got.n_known == 102 and abs(got.score - want) <= 0.02 * 102
+
+
 def test_lm_on_odd_rows(spark, odd):
     out = lm_scoring.scored(odd).collect()
     assert len(out) == 8 and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in out)

@@ -1,18 +1,19 @@
 """LM scoring with an Elias-Fano n-gram trie, built and queried shard by shard.
 
 The model is a bigram model with Dirichlet smoothing: log10 of (c(v, w) + MU p(w)) / (c(v) + MU), where p is
-the add-one unigram model of the training tokens. Words of the bigrams are the commonest VOCABULARY words
-(all of a common count or none), the start and the end; any other word is the class "rare", whose share is
-divided by the unigram model, so that rare and unseen words have their own probabilities as well.
-
-One shuffle serves counting and scoring: a batch of texts becomes, for each shard of the bigrams, one row
-that holds its bigrams with text and count, sorted and cut into byte planes. A shard's task counts those
-from training texts, builds the trie of its contexts (monotone context ids and pointers; successors
-relative to their context; probabilities quantised to 8 bits, all in one memory map), looks all bigrams
-up by successor search and returns sums by text. Rare words are counted and looked up by shards of their
-hash in the same shuffle. The number of shards follows the training tokens, so a shard has about
-SHARD_TOKENS whatever the corpus; a context with more than a quarter of that is split by the successor.
-Only the words of the vocabulary (at most 2 to the 20, 16 MB) are sent to every task.
+the add-one unigram model of the training tokens. Every word has its own bigrams, by a hash of 63 bits.
+
+The logarithm falls into one part for the pair and its second word, and one for the first word alone. So one
+shuffle by the second word serves counting and scoring: a batch of texts becomes, for each shard, one row
+that holds its bigrams with text and count, sorted and cut into byte planes. A shard's task counts its words
+and bigrams from training texts, builds a reversed trie (words, pointers to the contexts they follow, contexts
+relative to their word; values quantised to 8 bits, all in one memory map), looks all bigrams up by successor
+search and returns sums by text. The number of shards follows the training tokens, so a shard has about
+SHARD_TOKENS whatever the corpus; a word with more than a quarter of that is split by the context, and its
+count is sent to every task (at most four words a shard).
+
+VOCABULARY is for models of a fixed size: the bigrams then know the commonest words only (all of a common
+count or none) and take any other for the class "rare", whose share is divided by the unigram model.
 
 Defined results: a null text is empty and has one token, the end. Without training texts every count is 0.
 A null id counts as the empty text. Rows that repeat an id are texts of their own. Other columns are ignored.
@@ -32,9 +33,8 @@ from pyspark.sql import functions as F
 from wickwork.llm.base import cut, table
 from wickwork.llm.elias_fano import Map, Sequence
 
-ID_BITS = 20
-RARE, START, END, FIRST_WORD = 0, 1, 2, 3
-VOCABULARY = (1 << ID_BITS) - FIRST_WORD
+HASH_BITS = 63
+VOCABULARY: int | None = None
 MU = 1000.0
 SHARD_TOKENS = 2_000_000
 BATCH_DOCS, BATCH_BYTES = 1024, 2_000_000
@@ -42,6 +42,13 @@ DOC_BITS = 10
 BIGRAMS, RARES, ABOUT = 0, 1, 2
 
 
+def _hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) >> (64 - HASH_BITS)
+
+
+START, END, RARE = (_hash(name) for name in (b" start", b" end", b" rare"))  # no word has a space
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
@@ -81,7 +88,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 w = _words(text)
-                held.append(np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)))
+                held.append(np.fromiter(map(_hash, w), np.uint64, len(w)))
                 total += len(w)
                 if total >= 3_000_000:
                     yield flush()
@@ -92,42 +99,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-class Vocabulary:
-    """Hashes and counts of the words that have ids, and the totals of the unigram model."""
+class Totals:
+    """The totals of the unigram model, the counts of words that are split, and the known words if the model's size is fixed."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, docs: int, tokens: int, types: int) -> None:
-        order = np.argsort(hashes)
-        self.hashes, counts = hashes[order], counts[order]
-        self.docs, self.tokens, self.types = docs, tokens, types
-        self.first = np.searchsorted(self.hashes, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)).astype(np.int32)
-        rare = tokens - docs - int(counts.sum())
-        rare_types = types - len(counts) - (docs > 0)
-        #: c + 1 of each id; of the class, of all that it may hold.
-        self.plus_one = np.concatenate([[rare + rare_types + 1, 0, docs + (docs > 0)], counts + 1]).astype(float)
-        self.as_context = np.concatenate([[rare, docs, 0], counts]).astype(float)
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, docs: int, tokens: int, types: int, rare: tuple[int, int], known: np.ndarray | None) -> None:
+        self.docs, self.tokens, self.known = docs, tokens, None if known is None else np.sort(known)
         self.whole = float(tokens + types + 1)
         self.shards = max(1, -(-tokens // SHARD_TOKENS))
-        self.hot = self.as_context > SHARD_TOKENS / 4
-
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(h), np.int64)
-        at, last = self.first[(h >> np.uint64(48)).astype(np.intp)].astype(np.int64), len(self.hashes) - 1
-        behind = np.flatnonzero(self.hashes[np.minimum(at, last)] < h)
-        while len(behind):
-            at[behind] += 1
-            inside = behind[at[behind] <= last]
-            behind = inside[self.hashes[at[inside]] < h[inside]]
-        at = np.minimum(at, last)
-        return np.where(self.hashes[at] == h, at + FIRST_WORD, RARE)
-
-    def shard(self, key: np.ndarray) -> np.ndarray:
-        context, word = key >> np.uint64(ID_BITS), key & np.uint64((1 << ID_BITS) - 1)
-        part = np.where(self.hot[context.astype(np.intp)], word % np.uint64(64), np.uint64(0))
-        return (_mixed(context * np.uint64(64) + part + np.uint64(1)) % np.uint64(self.shards)).astype(np.int64)
-
-    def unigram(self, ids: np.ndarray) -> np.ndarray:
-        return self.plus_one[ids] / self.whole
+        # hash -> c + 1 (of the class: of all that it may hold) and c as context
+        special = np.array([START, END, RARE], np.uint64)
+        hashes, plus_one, as_context = (np.concatenate(x) for x in ((special, hashes), ([1, docs + 1, sum(rare) + 1], counts + 1), ([docs, 0, rare[0]], counts)))
+        order = np.argsort(hashes)
+        self.special, self.plus_one, self.as_context = hashes[order], plus_one[order].astype(float), as_context[order].astype(float)
+        self.parts = np.maximum(1, -(-4 * plus_one[order].astype(np.int64) // SHARD_TOKENS)).astype(np.uint64)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each hash its place among the special ones, and whether it is one."""
+        at = np.minimum(np.searchsorted(self.special, h), len(self.special) - 1)
+        return at, self.special[at] == h
+
+    def is_known(self, h: np.ndarray) -> np.ndarray:
+        if self.known is None or not len(self.known):
+            return np.full(len(h), self.known is None)
+        return self.known[np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)] == h
+
+    def shard(self, hashes: np.ndarray, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Of bigrams, whose words and contexts are places in hashes."""
+        at, special = self.find(hashes)
+        parts = np.where(special, self.parts[at], np.uint64(1))
+        out = (_mixed(hashes) % np.uint64(self.shards)).astype(np.int32)[word]
+        split = np.flatnonzero((parts > 1)[word])
+        w, v = hashes[word[split]], hashes[context[split]]
+        out[split] = (_mixed(w + _mixed(_mixed(v) % parts[word[split]] + np.uint64(1))) % np.uint64(self.shards)).astype(np.int32)
+        return out
 
 
 def _grouped(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,11 +142,41 @@ def _grouped(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return values[first], doc[first], np.diff(np.append(first, len(values)))
 
 
+def _by_shard(shard: np.ndarray, shards: int) -> Iterator[np.ndarray]:
+    """The places of each shard that occurs, in order."""
+    order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+    cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=False):
+        yield order[a:b]
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=np.uint64(0))
+
+
+def _packed(hashes: np.ndarray, word: np.ndarray, context: np.ndarray, doc: np.ndarray, count: np.ndarray) -> bytes:
+    """Bigrams sorted by word: the distinct words with how many bigrams each has, the distinct contexts, and the bigrams."""
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    contexts, of = np.unique(context, return_inverse=True)
+    sizes = np.array([len(first), len(contexts), len(word)], "<u4").tobytes()
+    return sizes + b"".join((planes(_steps(hashes[word[first]]), 8), planes(np.diff(np.append(first, len(word))), 4), planes(_steps(hashes[contexts]), 8), planes(of, 4), planes(doc, 2), planes(count, 4)))
+
+
+def _unpacked(data: memoryview) -> tuple[np.ndarray, ...]:
+    """Words, how many bigrams each has, contexts, and of each bigram its context's place, text and count."""
+    words, contexts, n = (int(x) for x in np.frombuffer(data, "<u4", 3))
+    out, at = [], 12
+    for size, count in ((8, words), (4, words), (8, contexts), (4, n), (2, n), (4, n)):
+        out.append(unplaned(data[at:], size, count))
+        at += size * count
+    return np.cumsum(out[0], dtype=np.uint64), out[1].astype(np.int64), np.cumsum(out[2], dtype=np.uint64), *(x.astype(np.int64) for x in out[3:])
+
+
 def _rows(sent):
     """Batches of texts to rows (shard, kind, batch, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, task, number = sent.value, TaskContext.get().partitionId(), 0
+        t, task, number = sent.value, TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
             texts_of = batch.column("text").cast(pa.binary())
@@ -154,73 +188,90 @@ def _rows(sent):
                 piece, at = batch.slice(at, end - at), end
                 name, number = (task << 32) + number, number + 1
                 out: list[tuple[int, int, bytes]] = []
-                words = [_words(t) for t in piece.column("text").cast(pa.binary()).to_pylist()]
+                words = [_words(x) for x in piece.column("text").cast(pa.binary()).to_pylist()]
                 n = np.array([len(w) for w in words])
-                h = np.fromiter((xxhash.xxh3_64_intdigest(w) for doc in words for w in doc), np.uint64, int(n.sum()))
+                h = np.fromiter((_hash(w) for doc in words for w in doc), np.uint64, int(n.sum()))
                 doc = np.repeat(np.arange(len(n)), n)
-                ids = v.ids(h)
+                rare = np.zeros(len(h), bool) if t.known is None else ~t.is_known(h)
+                hashes, ids = np.unique(np.concatenate([np.array([START, END], np.uint64), np.where(rare, np.uint64(RARE), h)]), return_inverse=True)
+                start, stop, ids = ids[0], ids[1], ids[2:]
                 train = ~np.asarray(piece.column("held_out").to_numpy(zero_copy_only=False), bool)
                 head = np.packbits(train, bitorder="little").tobytes().ljust(1 << (DOC_BITS - 3), b"\0")
                 # every text as start, words, end
-                ends = np.cumsum(n)
-                follow = np.insert(ids, ends, END)
-                before = np.concatenate([[START], follow[:-1]])
-                before[before == END] = START
+                follow = np.insert(ids, np.cumsum(n), stop)
+                before = np.concatenate([[start], follow[:-1]])
+                before[before == stop] = start
                 of = np.repeat(np.arange(len(n)), n + 1)
-                key, d, c = _grouped(before.astype(np.uint64) << np.uint64(ID_BITS) | follow.astype(np.uint64), of)
-                rare = ids == RARE
-                for kind, (x, d, c), shard in ((BIGRAMS, (key, d, c), v.shard(key)), (RARES, (r := _grouped(h[rare], doc[rare])), (r[0] % np.uint64(v.shards)).astype(np.int64))):
-                    order = np.argsort(shard, kind="stable")
-                    cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-                    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=False):
-                        i = order[a:b]
-                        step = np.diff(x[i], prepend=np.uint64(0))
-                        out.append((int(shard[i[0]]), kind, head + planes(step, 5 if kind == BIGRAMS else 8) + planes(d[i], 2) + planes(c[i], 4)))
-                known = np.bincount(doc, (ids != RARE), len(n)) + (v.docs > 0)
-                base = np.bincount(of, np.where(follow == RARE, 0, np.log10(np.maximum(v.plus_one[follow], 1) / v.whole)), len(n))
-                facts = pa.table({"doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"), "n_tokens": n + 1, "known": known.astype(np.int64), "base": base})
+                # a bigram and its text in one number
+                bits = len(hashes).bit_length()
+                key = np.sort(follow.astype(np.uint64) << np.uint64(bits + DOC_BITS) | before.astype(np.uint64) << np.uint64(DOC_BITS) | of.astype(np.uint64))
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                c, key = np.diff(np.append(first, len(key))), key[first]
+                d = (key & np.uint64((1 << DOC_BITS) - 1)).astype(np.int64)
+                w, v = (key >> np.uint64(bits + DOC_BITS)).astype(np.int64), (key >> np.uint64(DOC_BITS) & np.uint64((1 << bits) - 1)).astype(np.int64)
+                shard = t.shard(hashes, w, v)
+                for i in _by_shard(shard, t.shards):
+                    out.append((int(shard[i[0]]), BIGRAMS, head + _packed(hashes, w[i], v[i], d[i], c[i])))
+                if rare.any():
+                    x, d, c = _grouped(h[rare], doc[rare])
+                    shard = (x % np.uint64(t.shards)).astype(np.int32)
+                    for i in _by_shard(shard, t.shards):
+                        out.append((int(shard[i[0]]), RARES, head + planes(_steps(x[i]), 8) + planes(d[i], 2) + planes(c[i], 4)))
+                # what the special words add; the others' counts are known to their shards
+                place, special = t.find(hashes)
+                plain = special & (hashes != np.uint64(RARE))
+                base = np.bincount(of, np.where(plain, np.log10(t.plus_one[place] / t.whole), 0)[follow], len(n))
+                known = np.bincount(of, (plain & (t.plus_one[place] > 1))[follow], len(n))
+                score = -np.bincount(of, np.where(special, np.log10(t.as_context[place] + MU), 0)[before], len(n))
+                facts = pa.table({"doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"), "n_tokens": n + 1, "known": known.astype(np.int64), "base": base, "score": score})
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, facts.schema) as writer:
                     writer.write_table(facts)
-                out.append((number % v.shards, ABOUT, sink.getvalue().to_pybytes()))
+                out.append((number % t.shards, ABOUT, sink.getvalue().to_pybytes()))
                 yield pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([name] * len(out), pa.int64()), pa.array([x[2] for x in out], pa.binary())], ["shard", "kind", "batch", "data"])
 
     return run
 
 
 class Trie:
-    """The bigrams of a shard: contexts, pointers to their successors, and quantised probabilities."""
+    """The bigrams of a shard, reversed: words, pointers to the contexts they follow, and quantised values."""
 
-    def __init__(self, v: Vocabulary, keys: np.ndarray, counts: np.ndarray) -> None:
-        context, word = (keys >> np.uint64(ID_BITS)).astype(np.intp), (keys & np.uint64((1 << ID_BITS) - 1)).astype(np.intp)
-        contexts, start = np.unique(context, return_index=True)
-        rank = np.repeat(np.arange(len(contexts)), np.diff(np.append(start, len(keys))))
-        value = np.log10((counts + MU * v.unigram(word)) / (v.as_context[context] + MU))
+    def __init__(self, words: np.ndarray, contexts: np.ndarray, word: np.ndarray, context: np.ndarray, value: np.ndarray) -> None:
+        """Of sorted hashes, and sorted bigrams whose words and contexts are places in them; every word has a bigram."""
+        start = np.searchsorted(word, np.arange(len(words) + 1))
         # half of the levels where the values are, half evenly over their range
         book = np.sort(np.concatenate([np.quantile(value, (np.arange(128) + 0.5) / 128), np.linspace(value.min(), value.max(), 128)])) if len(value) else np.zeros(256)
         right = np.clip(np.searchsorted(book, value), 1, 255)
         code = (right - (value - book[right - 1] < book[right] - value)).astype(np.uint8)
-        self.universe = [1 << ID_BITS, len(keys) + 1, max(len(contexts), 1) << ID_BITS]
-        levels = [contexts.astype(np.uint64), np.append(start, len(keys)).astype(np.uint64), rank.astype(np.uint64) << np.uint64(ID_BITS) | word.astype(np.uint64)]
-        self.map = Map([a for x, u in zip(levels, self.universe, strict=True) for a in Sequence.arrays(x, u)] + [code, book])
-        held = self.map.arrays
-        self.contexts, self.pointers, self.successors = (Sequence.over(held[3 * i : 3 * i + 3], u) for i, u in enumerate(self.universe))
-        self.code, self.book = held[9:]
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probabilities of bigrams of the trie, NaN for others."""
-        out = np.full(len(keys), np.nan)
-        if not self.contexts.n:
+        self.width = max(len(contexts), 1)
+        universe = [1 << HASH_BITS, len(word) + 1, 1 << HASH_BITS, max(len(words), 1) * self.width]
+        levels = [words, start.astype(np.uint64), contexts, (word * self.width + context).astype(np.uint64)]
+        held = Map([a for x, u in zip(levels, universe, strict=True) for a in Sequence.arrays(x, u)] + [code, book]).arrays
+        self.words, self.pointers, self.contexts, self.bigrams = (Sequence.over(held[3 * i : 3 * i + 3], u) for i, u in enumerate(universe))
+        self.code, self.book = held[12:]
+
+    @staticmethod
+    def _places(level: Sequence, h: np.ndarray) -> np.ndarray:
+        """Of each hash in a level, -1 if it isn't there."""
+        out = np.full(len(h), -1)
+        at = level.successor(h)
+        inside = np.flatnonzero(at < level.n)
+        hit = inside[level.access(at[inside]) == h[inside]]
+        out[hit] = at[hit]
+        return out
+
+    def find(self, words: np.ndarray, contexts: np.ndarray, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Values of bigrams of the trie, NaN for others; words and contexts are hashes, bigrams places in them."""
+        out = np.full(len(word), np.nan)
+        if not self.words.n:
             return out
-        context, word = keys >> np.uint64(ID_BITS), keys & np.uint64((1 << ID_BITS) - 1)
-        rank = self.contexts.successor(context)
-        seen = np.flatnonzero(rank < self.contexts.n)
-        seen = seen[self.contexts.access(rank[seen]) == context[seen]]
-        relative = rank[seen].astype(np.uint64) << np.uint64(ID_BITS) | word[seen]
-        at, stop = self.successors.successor(relative), self.pointers.access(rank[seen] + 1).astype(np.int64)
+        rank, relative = self._places(self.words, words)[word], self._places(self.contexts, contexts)[context]
+        seen = np.flatnonzero((rank >= 0) & (relative >= 0))
+        wanted, stop = (rank[seen] * self.width + relative[seen]).astype(np.uint64), self.pointers.access(np.arange(1, self.words.n + 1)).astype(np.int64)[rank[seen]]
+        at = self.bigrams.successor(wanted)
         inside = at < stop
         hit = inside.copy()
-        hit[inside] = self.successors.access(at[inside]) == relative[inside]
+        hit[inside] = self.bigrams.access(at[inside]) == wanted[inside]
         out[seen[hit]] = self.book[self.code[at[hit]]]
         return out
 
@@ -228,31 +279,54 @@ class Trie:
 def _sums(sent):
     """The rows of each shard to sums by text: rows (batch, kind, data)."""
 
-    def settle(kind: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
-        v, head, n_bytes = sent.value, 1 << (DOC_BITS - 3), 5 if kind == BIGRAMS else 8
-        parts = []
+    def of_bigrams(t: Totals, rows: list[tuple[int, bytes]]) -> list[np.ndarray]:
+        head, parts = 1 << (DOC_BITS - 3), []
+        for k, (_, data) in enumerate(rows):
+            words, sizes, contexts, context, d, c = _unpacked(memoryview(data)[head:])
+            train = np.unpackbits(np.frombuffer(data, np.uint8, head), bitorder="little")[d].astype(bool)
+            parts.append((words, sizes, contexts, context, (d + (k << DOC_BITS)).astype(np.int32), c, train))
+        words, word = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        contexts, context = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        starts = np.cumsum([0, *(len(p[2]) for p in parts)])
+        word = np.repeat(word, np.concatenate([p[1] for p in parts]))
+        context = np.concatenate([context[a + p[3]] for a, p in zip(starts, parts, strict=False)])
+        doc, count, train = (np.concatenate([p[i] for p in parts]) for i in (4, 5, 6))
+        del parts
+        width = max(len(contexts), 1)
+        pairs, place = np.unique(word * width + context, return_inverse=True)
+        del context
+        seen = np.bincount(place[train], count[train], len(pairs))
+        at, special = t.find(words)
+        c = np.where(special, 0, np.bincount(word[train], count[train], len(words)))
+        prior = MU * np.where(special, t.plus_one[at], c + 1) / t.whole
+        w, v = pairs // width, pairs % width
+        some = np.flatnonzero(seen)
+        (w_in, w_of), (v_in, v_of) = (np.unique(x[some], return_inverse=True) for x in (w, v))
+        value = Trie(words[w_in], contexts[v_in], w_of, v_of, np.log10(seen[some] + prior[w[some]])).find(words, contexts, w, v)
+        new = np.isnan(value)
+        value[new] = np.log10(prior[w[new]])
+        alone = [np.where(special, 0, x)[word] for x in (np.log10(c + MU), np.log10((c + 1) / t.whole), c > 0)]
+        return [np.bincount(doc, count * x, len(rows) << DOC_BITS) for x in (value[place] - alone[0], alone[1], alone[2])]
+
+    def of_rares(t: Totals, rows: list[tuple[int, bytes]]) -> list[np.ndarray]:
+        head, parts = 1 << (DOC_BITS - 3), []
         for k, (_, data) in enumerate(rows):
             view = memoryview(data)[head:]
-            n = len(view) // (n_bytes + 6)
-            d = unplaned(view[n_bytes * n :], 2, n).astype(np.int32)
+            n = len(view) // 14
+            d = unplaned(view[8 * n :], 2, n).astype(np.int32)
             train = np.unpackbits(np.frombuffer(data, np.uint8, head), bitorder="little")[d].astype(bool)
-            parts.append((np.cumsum(unplaned(view, n_bytes, n), dtype=np.uint64), d + (k << DOC_BITS), unplaned(view[(n_bytes + 2) * n :], 4, n).astype(np.int64), train))
+            parts.append((np.cumsum(unplaned(view, 8, n), dtype=np.uint64), d + (k << DOC_BITS), unplaned(view[10 * n :], 4, n).astype(np.int64), train))
         key, doc, count, train = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts
         distinct, place = np.unique(key, return_inverse=True)
-        seen = np.bincount(place[train], count[train], len(distinct))
-        if kind == BIGRAMS:
-            trie = Trie(v, distinct[seen > 0], seen[seen > 0])
-            p = trie.find(distinct)
-            new = np.isnan(p)
-            context, word = (distinct[new] >> np.uint64(ID_BITS)).astype(np.intp), (distinct[new] & np.uint64((1 << ID_BITS) - 1)).astype(np.intp)
-            p[new] = np.log10(MU * v.unigram(word) / (v.as_context[context] + MU))
-            values = [np.bincount(doc, count * p[place], len(rows) << DOC_BITS)]
-        else:
-            base, of_class = np.log10((seen + 1) / v.whole), np.log10((seen + 1) / v.plus_one[RARE])
-            values = [np.bincount(doc, count * x[place], len(rows) << DOC_BITS) for x in (of_class, base, (seen > 0).astype(float))]
+        c = np.bincount(place[train], count[train], len(distinct))
+        of_class = t.plus_one[t.find(np.array([RARE], np.uint64))[0]]
+        return [np.bincount(doc, count * x[place], len(rows) << DOC_BITS) for x in (np.log10((c + 1) / of_class), np.log10((c + 1) / t.whole), c > 0)]
+
+    def settle(kind: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+        score, base, known = (of_bigrams if kind == BIGRAMS else of_rares)(sent.value, rows)
         for k, (name, _) in enumerate(rows):
-            yield name, kind, b"".join(x[k << DOC_BITS : (k + 1) << DOC_BITS].tobytes() for x in values)
+            here = slice(k << DOC_BITS, (k + 1) << DOC_BITS)
+            yield name, kind, score[here].tobytes() + base[here].tobytes() + planes(known[here].astype(np.int64), 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -284,7 +358,7 @@ def _joined(tokens: int):
             score, base, known = total[:, :n]
             columns = [
                 facts["doc_id"].combine_chunks(), facts["held_out"].combine_chunks(), facts["n_tokens"].combine_chunks(), pa.array(np.asarray(facts["known"]) + known.astype(np.int64)),
-                pa.array(np.full(n, tokens)), pa.array(np.asarray(facts["base"]) + base), pa.array(score),
+                pa.array(np.full(n, tokens)), pa.array(np.asarray(facts["base"]) + base), pa.array(np.asarray(facts["score"]) + score),
             ]
             return pa.record_batch(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -297,41 +371,44 @@ def _joined(tokens: int):
                     at, facts, total = name, None, np.zeros((3, 1 << DOC_BITS))
                 if kind == ABOUT:
                     facts = pa.ipc.open_stream(data).read_all()
-                elif kind == BIGRAMS:
-                    total[0] += np.frombuffer(data)
                 else:
-                    total += np.frombuffer(data).reshape(3, -1)
+                    total[:2] += np.frombuffer(data, float, 2 << DOC_BITS).reshape(2, -1)
+                    total[2] += unplaned(memoryview(data)[16 << DOC_BITS :], 4, 1 << DOC_BITS)
         if at is not None:
             yield finish(facts, total)
 
     return run
 
 
-def vocabulary(train: DataFrame) -> Vocabulary:
+def totals(train: DataFrame) -> Totals:
     counts = cut(word_counts(train))
     docs = train.count()
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    by_count = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).collect()  # at most 65,536 rows
-    least, words = 1 << 62, 0
-    for r in by_count:
-        words += r.words
-        if words > VOCABULARY:
-            break
-        least = r.n
-    known = counts.where(F.col("n") >= least).toArrow()
-    hashes = np.asarray(known["h"]).view(np.uint64) if known.num_rows else np.empty(0, np.uint64)
-    return Vocabulary(hashes, np.asarray(known["n"], np.int64) if known.num_rows else np.empty(0, np.int64), docs, total.n + docs, total.v + (docs > 0))
+    hot = counts.where(F.col("n") > SHARD_TOKENS / 4)  # at most four a shard
+    known, rare = None, (0, 0)
+    if VOCABULARY is not None:
+        by_count = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).collect()  # at most 65,536 rows
+        least, words = 1 << 62, 0
+        for r in by_count:
+            words += r.words
+            if words > VOCABULARY:
+                break
+            least = r.n
+        left = counts.where(F.col("n") < least).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+        known, rare, hot = np.asarray(counts.where(F.col("n") >= least).select("h").toArrow()["h"], np.int64).astype(np.uint64), (left.n, left.v), hot.where(F.col("n") >= least)
+    found = hot.toArrow()
+    return Totals(np.asarray(found["h"], np.int64).astype(np.uint64), np.asarray(found["n"], np.int64), docs, total.n + docs, total.v + (docs > 0), rare, known)
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     docs = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    v = vocabulary(docs.where(~F.col("held_out")))
-    sent = docs.sparkSession.sparkContext.broadcast(v)
+    t = totals(docs.where(~F.col("held_out")))
+    sent = docs.sparkSession.sparkContext.broadcast(t)
     rows = docs.mapInArrow(_rows(sent), "shard int, kind int, batch long, data binary")
     dealt = rows.repartition(F.col("shard")).sortWithinPartitions("shard", "kind")
     sums = dealt.mapInArrow(_sums(sent), "batch long, kind int, data binary")
-    return sums.repartition(F.col("batch")).sortWithinPartitions("batch").mapInArrow(_joined(v.tokens), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return sums.repartition(F.col("batch")).sortWithinPartitions("batch").mapInArrow(_joined(t.tokens), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
