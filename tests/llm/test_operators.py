@@ -104,6 +104,39 @@ def test_linking(spark):
     assert not chat_format.linked(spark.createDataFrame([], ddl), schemas).collect()
 
 
+def test_turns_against_a_walk(spark, duck):
+    """Every turn is formatted with its whole text, and all statuses occur; expected ones are walked conversation by conversation."""
+    rows = {(c, t): (role, text) for c, t, role, text in duck.execute("select conv_id, turn, role, text from conversations").fetchall()}
+    out = catalog.QUERIES["op2_chat_turns"](spark, SMALL).collect()
+    assert [(r.conv_id, r.turn) for r in out] == sorted(rows)
+    calls, first, answers = {}, {}, {}
+    for (c, t), (role, text) in sorted(rows.items()):
+        n, defect = len((text or "").encode().split()), (3 * c + t) % 9
+        a, b = f"a-{c}-{t - 2 if defect == 0 and t >= 2 else t}", f"b-{c}-{t}"
+        if role == "assistant":
+            search = (a, "lookup" if defect == 2 else "search", None if defect == 3 else {"query": text, "limit": n % 12}, "bad_json" if defect == 3 else None if 1 <= n % 12 and n % 12 <= 9 and text else "invalid")
+            count = (b, "count", {"of": a, "unit": ["word", "line", "page"][n % 3]}, "invalid" if n % 3 == 2 else None)
+            calls[c, t] = [count, search] if defect == 1 else [search, count]
+            for place, call in enumerate(calls[c, t]):
+                first.setdefault(call[0], (t, place))
+        if role == "user":
+            for kind in "ab" if n % 2 == 0 else "a":
+                answers[f"{kind}-{c}-{t - 1}"] = (t, text)
+    statuses = collections.Counter()
+    for r in out:
+        c, t = r.conv_id, r.turn
+        role, text = rows[c, t]
+        want = []
+        for place, (i, name, arguments, wrong) in enumerate(calls.get((c, t), ())):
+            need = i.startswith("a") and t >= 2 and (first.get(f"b-{c}-{t - 2}", (t,))[0] >= t)
+            status = "duplicate" if first[i] != (t, place) else "cycle" if (3 * c + t) % 9 == 1 else "missing_need" if need else "unknown_tool" if name == "lookup" else wrong or ("ok" if i in answers else "unanswered")
+            want.append({"arguments": arguments, "id": i, "name": name, "result": answers.get(i, (0, None))[1], "status": status})
+        lost = [{"arguments": None, "id": i, "name": None, "result": x, "status": "orphan"} for i, (at, x) in sorted(answers.items()) if at == t and i.split("-")[1] == str(c) and i not in first]
+        assert r.line == chat_format.canonical({"calls": want, "content": text, "orphans": lost, "role": role, "turn": t})
+        statuses.update(x["status"] for x in [*want, *lost])
+    assert set(statuses) == {"duplicate", "cycle", "missing_need", "unknown_tool", "bad_json", "invalid", "unanswered", "ok", "orphan"}, statuses
+
+
 @pytest.mark.parametrize(("value", "schema", "fits"), [(True, {"type": "integer"}, False), (2.0, {"type": "integer"}, True), ([1, "a"], {"items": {"type": "number"}}, False), ({"a": 1}, {"additionalProperties": False}, False), ("abc", {"maxLength": 2}, False), (None, {"type": ["null", "string"]}, True), (3, {"enum": [1, 2]}, False)])
 def test_schemas(value, schema, fits):
     assert chat_format.valid(value, schema) is fits

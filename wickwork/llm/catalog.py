@@ -6,6 +6,7 @@ from wickwork.llm import chat_format, decontamination, line_dedup, lm_scoring, m
 
 QUERIES = {
     "op2_chat_format": chat_format.query,
+    "op2_chat_turns": chat_format.turns_query,
     "op7_lm_scoring": lm_scoring.query,
     "op3_quality_classifier": quality_classifier.query,
     "op5_pii": pii.query,

@@ -16,6 +16,9 @@ own with status "orphan".
 
 Defined results: null arrays hold nothing, a null id matches nothing and a call with one is unanswered at
 best. Rows that repeat (conv_id, turn) count as one message each. Other columns are ignored.
+
+Turns: a message of any role becomes a row with its whole text, its calls in order and the orphans among its
+results as one line of canonical JSON, in the order of conversations and turns (op2_chat_turns).
 """
 
 from __future__ import annotations
@@ -103,12 +106,14 @@ def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = {"conv_id": pa.int64(), "turn": pa.int64(), "position": pa.int64(), "call_id": pa.string(), "name": pa.string(), "arguments": pa.string(), "cycle": pa.bool_(), "needs": pa.list_(pa.string())}
     for batch in batches:
         out: list[dict] = []
+        if "row" in batch.schema.names:
+            kinds["row"] = pa.int64()
         for m in batch.to_pylist():
             calls = [c for c in m["calls"] or () if c is not None]
             own = {c["id"] for c in calls}
             for place, (i, cycle) in enumerate(ordered(calls)):
                 c = calls[i]
-                out.append({"conv_id": m["conv_id"], "turn": m["turn"], "position": place, "call_id": c["id"], "name": c["name"], "arguments": c["arguments"], "cycle": cycle, "needs": sorted({n for n in c["after"] or () if n is not None and n not in own})})
+                out.append({"conv_id": m["conv_id"], "turn": m["turn"], "position": place, "call_id": c["id"], "name": c["name"], "arguments": c["arguments"], "cycle": cycle, "needs": sorted({n for n in c["after"] or () if n is not None and n not in own}), "row": m.get("row")})
         yield pa.RecordBatch.from_pylist(out, pa.schema(kinds))
 
 
@@ -143,22 +148,25 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def linked(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     """Per call and orphan result: conv_id, turn, position, call_id, name, status, arguments, n_results, result_turn, content, line.
 
-    (turn, position) orders a conversation's calls. schemas: name, schema (JSON text); of several for a name the least counts.
+    (turn, position) orders a conversation's calls. If messages have a column row (a number of their own), the
+    result has that of the call's message, or of an orphan's. schemas: name, schema (JSON text); of several for a name the least counts.
     """
-    calls = messages.where(F.size("calls") > 0).select("conv_id", "turn", "calls").mapInArrow(
-        _calls, "conv_id long, turn long, position long, call_id string, name string, arguments string, cycle boolean, needs array<string>"
+    row = ["row"] if "row" in messages.columns else []
+    row_long = ", row long" if row else ""
+    calls = messages.where(F.size("calls") > 0).select("conv_id", "turn", "calls", *row).mapInArrow(
+        _calls, "conv_id long, turn long, position long, call_id string, name string, arguments string, cycle boolean, needs array<string>" + row_long
     )
     one = schemas.groupBy("name").agg(F.min("schema").alias("schema"))
-    calls = calls.join(one, "name", "left").select("conv_id", "turn", "position", "call_id", "name", "cycle", "needs", "arguments", "schema")
-    calls = calls.mapInArrow(_checked, "conv_id long, turn long, position long, call_id string, name string, cycle boolean, needs array<string>, arguments string, wrong string")
+    calls = calls.join(one, "name", "left").select("conv_id", "turn", "position", "call_id", "name", "cycle", "needs", *row, "arguments", "schema")
+    calls = calls.mapInArrow(_checked, f"conv_id long, turn long, position long, call_id string, name string, cycle boolean, needs array<string>{row_long}, arguments string, wrong string")
     place = F.struct("turn", "position", "name", "arguments")
     first = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(place).alias("first"))
     # needs of other messages: the needed call's first turn has to be earlier
     need = calls.where(F.size("needs") > 0).select("conv_id", "turn", "position", "call_id", F.explode("needs").alias("need"))
     at = first.select("conv_id", F.col("call_id").alias("need"), F.col("first.turn").alias("need_turn"))
     lacking = need.join(at, ["conv_id", "need"], "left").where("need_turn is null or need_turn >= turn").select("conv_id", "turn", "position", "call_id").distinct().withColumn("lacks", F.lit(True))
-    results = messages.where(F.size("results") > 0).select("conv_id", "turn", F.inline("results").alias("id", "content")).where("id is not null")
-    results = results.groupBy("conv_id", F.col("id").alias("call_id")).agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
+    results = messages.where(F.size("results") > 0).select("conv_id", "turn", *row, F.inline("results").alias("id", "content")).where("id is not null")
+    results = results.groupBy("conv_id", F.col("id").alias("call_id")).agg(F.min(F.struct("turn", "content", *row)).alias("r"), F.count("*").alias("n_results"))
     same = lambda a, b, *keys: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
     met = calls.alias("c").join(first.alias("f"), [F.col("c.conv_id") == F.col("f.conv_id"), F.col("c.call_id") == F.col("f.call_id")], "left")
     met = met.join(lacking.alias("l"), same("c", "l", "conv_id", "call_id", "turn", "position"), "left").select("c.*", "first", "lacks")
@@ -169,11 +177,27 @@ def linked(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     )
     out = met.select(
         "conv_id", F.coalesce("turn", "r.turn").alias("turn"), F.coalesce("position", F.lit(-1)).cast("long").alias("position"), "call_id", "name", status.alias("status"), "arguments",
-        F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"), F.col("r.turn").alias("result_turn"), F.col("r.content").alias("content"),
+        F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"), F.col("r.turn").alias("result_turn"), F.col("r.content").alias("content"), *(F.coalesce(c, f"r.{c}").alias(c) for c in row),
     )
     return out.mapInArrow(_lines, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema) + ", line string")
 
 
+def _turn_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = []
+        for r in batch.to_pylist():
+            of = lambda orphan: ",".join(c["line"] for c in r["linked"] or () if (c["position"] < 0) == orphan)  # noqa: B023, E731
+            lines.append(f'{{"calls":[{of(False)}],"content":{canonical(r["text"])},"orphans":[{of(True)}],"role":{canonical(r["role"])},"turn":{canonical(r["turn"])}}}')
+        yield pa.record_batch([*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array(lines, pa.string())], ["conv_id", "turn", "role", "line"])
+
+
+def turns(messages: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Per message, in order: conv_id, turn, role, line. messages also have role, text and row (a number of their own)."""
+    calls = linked(messages, schemas).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("position", "line"))).alias("linked"))
+    out = messages.select("conv_id", "turn", "role", "text", "row").join(calls, "row", "left")
+    return out.orderBy("conv_id", "turn", "row").select("conv_id", "turn", "role", "text", "linked").mapInArrow(_turn_lines, "conv_id long, turn long, role string, line string")
+
+
 # The schemas of the tools that the derived calls name.
 SCHEMAS = [
     ("search", '{"type":"object","properties":{"query":{"type":"string","minLength":1},"limit":{"type":"integer","minimum":1,"maximum":9}},"required":["query","limit"],"additionalProperties":false}'),
@@ -204,6 +228,41 @@ def derived(conversations: DataFrame) -> DataFrame:
     )
 
 
+def derived_whole(conversations: DataFrame) -> DataFrame:
+    """Messages with calls and results that hold whole texts, and with every defect, from plain conversations with row.
+
+    As derived, but an assistant's turn searches for its text and the results are the user's text. By 3 conv_id +
+    turn modulo 9, a search repeats the identifier of two turns before (0), needs the count that needs it (1), has an
+    unknown name (2) or lacks the last character of its arguments (3).
+    """
+    body = F.coalesce("text", F.lit(""))
+    n = F.size(words_of(F.col("text")))
+    defect = F.pmod(3 * F.col("conv_id") + F.col("turn"), F.lit(9))
+    of = lambda kind, turn: F.concat_ws("-", F.lit(kind), "conv_id", turn.cast("string"))
+    text = lambda **parts: F.to_json(F.struct(*(v.alias(k) for k, v in parts.items())))
+    call = lambda id, name, arguments, after: F.struct(id.alias("id"), name.alias("name"), arguments.alias("arguments"), after.alias("after"))
+    none = F.array().cast("array<string>")
+    turn = F.col("turn")
+    a = of("a", F.when((defect == 0) & (turn >= 2), turn - 2).otherwise(turn))
+    query = text(query=body, limit=n % 12)
+    search = call(
+        a, F.when(defect == 2, "lookup").otherwise("search"), F.when(defect == 3, F.expr("left(q, length(q) - 1)")).otherwise(F.col("q")),
+        F.concat(F.when(turn >= 2, F.array(of("b", turn - 2))).otherwise(none), F.when(defect == 1, F.array(of("b", turn))).otherwise(none)),
+    )
+    count = call(of("b", turn), F.lit("count"), text(unit=F.element_at(F.array(F.lit("word"), F.lit("line"), F.lit("page")), n % 3 + 1), of=a), F.array(a))
+    result = lambda kind: F.struct(of(kind, turn - 1).alias("id"), body.alias("content"))
+    return conversations.withColumn("q", query).select(
+        "conv_id", "turn", "role", "text", "row", F.when(F.col("role") == "assistant", F.array(count, search)).alias("calls"),
+        F.when(F.col("role") == "user", F.when(n % 2 == 0, F.array(result("a"), result("b"))).otherwise(F.array(result("a")))).alias("results"),
+    )
+
+
+def turns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its whole text, formatted."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row"))
+    return turns(derived_whole(conversations), spark.createDataFrame(SCHEMAS, "name string, schema string"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schemas = spark.createDataFrame(SCHEMAS, "name string, schema string")
     return linked(derived(table(spark, sf_dir, "conversations")), schemas).drop("content")
