@@ -75,6 +75,37 @@ def test_tokens_of_odd_texts(spark, tmp_path):
     assert got == {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
 
 
+def test_single_documents_are_read_by_their_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "BLOCK_DOCS", 4)
+    import public_tokenizers
+
+    texts = [s if i % 7 else None for i, s in enumerate(SENTENCES)]
+    token_output.write_tokens(frame(spark, texts), str(tmp_path / "t"), public_tokenizers.path("word_bpe_49k.json"))
+    every = {r.doc_id: r.ids for r in token_output.read_ids(spark, str(tmp_path / "t")).collect()}
+    for wanted in ([17], [0, 7, 59, 1000], list(range(0, 60, 3)), []):
+        got = token_output.read_documents(spark, str(tmp_path / "t"), wanted)
+        assert {r.doc_id: r.ids for r in got.collect()} == {i: every[i] for i in wanted if i in every}
+    plan = token_output.read_documents(spark, str(tmp_path / "t"), [17])._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "first_id" in pushed.split("]")[0] and "last_id" in pushed.split("ReadSchema")[0], pushed
+    blocks = spark.read.parquet(str(tmp_path / "t")).collect()
+    assert all(len(b.doc_ids) <= 4 and (b.first_id, b.last_id) == (min(b.doc_ids), max(b.doc_ids)) for b in blocks)
+
+
+def test_long_texts_make_blocks_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "BLOCK_IDS", 100)
+    monkeypatch.setattr(token_output, "PIECE_BYTES", 300)
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path, texts = public_tokenizers.path("word_bpe_49k.json"), ["  lead and trail \t", "x" * 500, *SENTENCES, " ".join(SENTENCES), "", "don't Don'T !'s a!'s 3rd x2y $1,000.00 é, É! naïve-ish жук, 漢字 ﬁ ½ ǅ", None]
+    token_output.write_tokens(frame(spark, texts), str(tmp_path / "t"), path)
+    tokenizer = Tokenizer.from_file(path)
+    assert {r.doc_id: r.ids for r in token_output.read_ids(spark, str(tmp_path / "t")).collect()} == {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    blocks = spark.read.parquet(str(tmp_path / "t")).collect()
+    assert all(b.n_ids <= 100 or len(b.doc_ids) == 1 for b in blocks) and max(b.n_ids for b in blocks) > 100
+
+
 def test_tokens_of_odd_rows(spark, odd):
     out = token_output.encoded(odd).orderBy("start").collect()
     assert [r.doc_id for r in out] == [None, 0, 1, 2, 3, 4, 4, 5]

@@ -2,11 +2,11 @@
 
 Documents are dealt into ranges of doc_id and sorted there, so files, blocks in a file and documents in
 a block ascend. A row of a file is a block: the ids of a few hundred documents, each in ``bits`` bits,
-and the offsets at which its documents end. Any document is found by its block's offsets and unpacked by
-numpy without touching the others. Spark writes the files, so a lost task is simply run again.
+its first and last doc_id, and the offsets at which its documents end. read_documents finds documents by those
+and unpacks them without touching the others. Spark writes the files, so a lost task is simply run again.
 
-The tokenizer's rules never look across white space, so each distinct word is encoded once and looked up
-after that; a worker keeps a bounded table of words between its tasks.
+The tokenizer's rules never look across white space, so the distinct words of a few megabytes are encoded once
+and looked up after that; a worker keeps a bounded table of words between its tasks.
 
 Defined results: a null text is empty, and each text gets the end id. A null doc_id comes first; rows
 that repeat an id stand next to each other, in the order of their texts, and are all written. No rows
@@ -16,12 +16,15 @@ give no blocks. Other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,8 +36,10 @@ VOCABULARY = 49408
 END_ID = 1
 BLOCK_DOCS = 256
 BLOCK_IDS = 1 << 20
-KNOWN_WORDS = 600_000
-BLOCKS = "part int, block int, bits int, n_ids long, doc_ids array<bigint>, ends array<bigint>, ids binary"
+KNOWN_WORDS = 1_000_000
+TOGETHER = 1000
+PIECE_BYTES = 4 << 20
+BLOCKS = "part int, block int, bits int, n_ids long, first_id long, last_id long, doc_ids array<bigint>, ends array<bigint>, ids binary"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -61,69 +66,160 @@ def unpack(packed: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return (planes.astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype=np.uint32).astype("<u4")
 
 
+# Letters that normalising leaves as they are, and the pieces of a word in lower case.
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff\u0430-\u044f\u4e00-\u9fa5"
+PLAIN = re.compile(f"[{LETTERS}]+[!-&(-/:-@\\[-`{{-~]*")
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+")
+
+
+def _gathered(values: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists that lie one after the other in values and stop at ends: those at the places ``which``, and their ends."""
+    starts = np.concatenate([[0], ends[:-1]])[which]
+    sizes = ends[which] - starts
+    stops = np.cumsum(sizes)
+    return values[np.repeat(starts - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)], stops
+
+
 class Encoder:
-    """Encodes texts word by word; the ids of known words are kept."""
+    """Encodes texts by their distinct words; the ids of known words are kept.
 
-    _open: dict[str, Encoder] = {}
+    The tokenizer cuts a word into pieces, encodes each by itself and marks its last id. So the pieces of new
+    ASCII words and words of common letters, which are certain, are encoded once each and a thousand together,
+    as one text with spaces between them, and the words are put together from them. Any other word is encoded
+    whole and alone.
+    """
+
+    _open: dict[tuple[str, int], Encoder] = {}
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, bits: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = None  # pieces are as normalising would leave them
+        words = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(words.values()) + 1, bool)
+        self.last[[i for word, i in words.items() if word.endswith("</w>")]] = True
+        self.kind = np.dtype("<u2" if bits <= 16 else "<u4")
+        self.forget()
 
     @classmethod
-    def at(cls, path: str) -> Encoder:
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        # special strings count in their own case only, so a text that may hold one isn't lower-cased before
-        words = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = set().union(*words)
-        fresh = list(new)
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i : i + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update(zip(part, (np.asarray(e.ids, "<u4").tobytes() for e in found), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+    def at(cls, path: str, bits: int) -> Encoder:
+        if (path, bits) not in cls._open:
+            cls._open[path, bits] = cls(path, bits)
+        return cls._open[path, bits]
+
+    def forget(self) -> None:
+        #: word -> its number; the ids of the k-th word end at ends[k]; the empty one is before leading white space
+        self.known: dict[bytes, int] = {b"": 0}
+        self.ids, self.ends = np.empty(0, self.kind), np.zeros(1, np.int64)
+
+    def _add(self, words: list[bytes], ids: list[np.ndarray], sizes: np.ndarray) -> None:
+        at = len(self.known)
+        self.known.update(zip(words, range(at, at + len(words)), strict=True))
+        self.ends = np.concatenate([self.ends, len(self.ids) + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, *ids])
+
+    def _add_alone(self, words: list[str]) -> None:
+        for i in range(0, len(words), TOGETHER):
+            some = words[i : i + TOGETHER]
+            ids = [np.asarray(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            self._add([w.encode() for w in some], ids, np.array([len(x) for x in ids], np.int64))
+
+    def _add_pieces(self, pieces: list[str]) -> None:
+        words, found, sizes, other = [], [], [], []
+        for i in range(0, len(pieces), TOGETHER):
+            some = pieces[i : i + TOGETHER]
+            ids = np.asarray(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                words += map(str.encode, some)
+                found.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+            else:
+                other += some
+        if words:
+            self._add(words, found, np.concatenate(sizes))
+        self._add_alone(other)
+
+    def _learn(self, new: list[bytes]) -> None:
+        single, alone, made, parts = {}, [], [], []
+        for w in new:
+            text = w.decode()
+            if text.isalpha() and (text.isascii() or PLAIN.fullmatch(text)):
+                single[text] = None
+            elif (text.isascii() and text.isprintable() and "<|" not in text) or PLAIN.fullmatch(text):
+                made.append(w)
+                parts.append(PIECES.findall(text))
+                single.update(dict.fromkeys(parts[-1]))
+            else:
+                alone.append(text)
+        self._add_pieces([p for p in single if p.encode() not in self.known])
+        some = [k for k, w in enumerate(made) if w not in self.known]  # a word of one piece is known now
+        if some:
+            numbers = np.fromiter((self.known[p.encode()] for k in some for p in parts[k]), np.int64)
+            ids, stops = _gathered(self.ids, self.ends, numbers)
+            stops = stops[np.cumsum([len(parts[k]) for k in some]) - 1]
+            self._add([made[k] for k in some], [ids], np.diff(stops, prepend=0))
+        self._add_alone(alone)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's end."""
+        if len(self.known) > KNOWN_WORDS:
+            self.forget()
+        texts = texts.fill_null("")
+        special = pc.match_substring(texts, "<|")
+        words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        if pc.any(special).as_py():  # special strings count in their own case only
+            distinct = [w if b"<|" in w else w.lower() for w in distinct]
+        self._learn(list(dict.fromkeys(filterfalse(self.known.__contains__, distinct))))
+        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        ids, stops = _gathered(self.ids, self.ends, numbers[coded.indices.to_numpy()])
+        return ids, np.concatenate([[0], stops])[np.cumsum(words.value_lengths().to_numpy())]
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about PIECE_BYTES of text, or of one text."""
+    upto = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(upto // PIECE_BYTES)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
 
 
 def _blocks(path: str, end_id: int, bits: int):
-    end = np.asarray([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, block = Encoder.at(path), TaskContext.get().partitionId(), 0
-        ids: list[bytes] = []
-        docs: list[int | None] = []
-        total = 0
+        encoder, part, block = Encoder.at(path, bits), TaskContext.get().partitionId(), 0
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []  # doc_ids, their ids and where each ends
+        docs = total = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal block, total
-            ends = np.cumsum([len(x) // 4 for x in ids]).tolist()
-            packed = pack(np.frombuffer(b"".join(ids), "<u4"), bits)
-            row = [[part], [block], [bits], [ends[-1]], [docs.copy()], [ends], [packed]]
-            block, total = block + 1, 0
-            ids.clear(), docs.clear()
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            return pa.record_batch([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], ["part", "block", "bits", "n_ids", "doc_ids", "ends", "ids"])
+            nonlocal block, docs, total
+            doc_ids = pa.concat_arrays([x[0] for x in held])
+            before = np.cumsum([0, *(x[2][-1] for x in held)])
+            ends = np.concatenate([x[2] + a for x, a in zip(held, before, strict=False)])
+            packed = pack(np.concatenate([x[1] for x in held]), bits)
+            span = pc.min_max(doc_ids)
+            row = [[part], [block], [bits], [total], [span["min"].as_py()], [span["max"].as_py()], [doc_ids], [ends], [packed]]
+            held.clear()
+            block, docs, total = block + 1, 0, 0
+            kinds = [pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            return pa.record_batch([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], ["part", "block", "bits", "n_ids", "first_id", "last_id", "doc_ids", "ends", "ids"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, BLOCK_DOCS):
-                piece = batch.slice(i, BLOCK_DOCS)
-                texts = piece.column("text").cast(pa.binary()).to_pylist()
-                for doc_id, encoded in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
-                    docs.append(doc_id)
-                    ids.append(encoded + end)
-                    total += len(encoded) // 4 + 1
-                    if len(docs) >= BLOCK_DOCS or total >= BLOCK_IDS:
+            for piece in _pieces(batch):
+                ids, stops = encoder.encode(piece.column("text"))
+                ids, stops = np.insert(ids, stops, end_id), stops + np.arange(1, len(stops) + 1)
+                at, begin = 0, 0
+                while at < len(stops):
+                    # as many texts as fit the block, one at least
+                    to = min(max(int(np.searchsorted(stops, begin + BLOCK_IDS - total, "right")), at + (not docs)), at + BLOCK_DOCS - docs)
+                    if to > at:
+                        held.append((piece.column("doc_id").slice(at, to - at).cast(pa.int64()), ids[begin : stops[to - 1]], stops[at:to] - begin))
+                        docs, total = docs + to - at, total + int(stops[to - 1]) - begin
+                        at, begin = to, int(stops[to - 1])
+                    if at < len(stops) or docs >= BLOCK_DOCS:
                         yield flush()
         if docs:
             yield flush()
@@ -140,12 +236,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
-            starts = [0, *row["ends"][:-1]]
-            ids = unpack(row["ids"], row["bits"], 0, row["n_ids"])
-            crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts, row["ends"], strict=True)]
-            n = len(starts)
-            columns = [[row["part"]] * n, [row["block"]] * n, row["doc_ids"], starts, row["ends"], crc]
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name)[i] for name in ("part", "block", "bits", "n_ids", "doc_ids", "ends", "ids")}
+            ends = row["ends"].values.to_numpy()
+            starts, n = np.concatenate([[0], ends[:-1]]), len(ends)
+            ids = memoryview(unpack(row["ids"].as_buffer(), row["bits"].as_py(), 0, row["n_ids"].as_py())).cast("B")
+            crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            columns = [np.full(n, row["part"].as_py(), np.int32), np.full(n, row["block"].as_py(), np.int32), row["doc_ids"].values, starts, ends, crc]
             kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 4]
             yield pa.record_batch([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["part", "block", "doc_id", "at", "end", "crc"])
 
@@ -181,6 +278,30 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(folder).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def read_documents(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
+    """doc_id and ids of the wanted documents alone, as often as a folder holds them.
+
+    Parquet skips files and row groups by the blocks' first and last doc_id; of the blocks left, only the bits
+    of the wanted documents are unpacked.
+    """
+    wanted = sorted(set(doc_ids))
+    near = F.lit(False)
+    for i in range(0, len(wanted), max(1, len(wanted) // 50)):  # at most some 50 ranges for the scan
+        some = wanted[i : i + max(1, len(wanted) // 50)]
+        near |= (F.col("first_id") <= some[-1]) & (F.col("last_id") >= some[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bits, docs, ends, ids in zip(*(batch.column(c) for c in ("bits", "doc_ids", "ends", "ids")), strict=True):
+                ends = ends.values.to_numpy()
+                for k in np.flatnonzero(np.isin(docs.values.to_numpy(zero_copy_only=False), wanted)).tolist():
+                    found = unpack(ids.as_buffer(), bits.as_py(), int(ends[k - 1]) if k else 0, int(ends[k])).astype("i4")
+                    yield pa.record_batch([docs.values.slice(k, 1), pa.array([found], pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    blocks = spark.read.schema(BLOCKS).parquet(folder).where(near).select("bits", "doc_ids", "ends", "ids")
+    return blocks.mapInArrow(run, "doc_id long, ids array<int>")
+
+
 def encoded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Write docs to a new folder among the shared ones and give the index read back from it."""
     if tokenizer is None:
