@@ -173,6 +173,34 @@ def test_schemas(value, schema, fits):
     assert chat_format.valid(value, schema) is fits
 
 
+DEEP = "[" * 5000 + "]" * 5000
+
+
+@pytest.mark.parametrize(
+    ("arguments", "schema", "text", "wrong"),
+    [
+        ('{"a":"\\ud83d"}', "{}", '{"a":"\\ud83d"}', None), (DEEP, "{}", None, "bad_json"), ("[" * 101 + "1" + "]" * 101, "{}", None, "bad_json"), ("[" * 100 + "]" * 100, "{}", "[" * 100 + "]" * 100, None),
+        ("9" * 400, '{"type":"integer"}', "9" * 400, None), ("9" * 5000, "{}", None, "bad_json"), ("1e999", "{}", None, "bad_json"), ("NaN", "{}", None, "bad_json"), ("1", '{"type":"any"}', "1", "bad_schema"),
+        ('{"a":1}', '{"properties":{"a":true}}', '{"a":1}', None), ('{"a":1}', '{"properties":{"a":false}}', '{"a":1}', "invalid"), ("1", '{"minimum":"0"}', "1", "bad_schema"), ("1", "not json", "1", "bad_schema"),
+        ("x", "not json", None, "bad_schema"), ("true", '{"enum":[1]}', "true", "invalid"), ("1", '{"enum":[true]}', "1", "invalid"), ("1.0", '{"enum":[1]}', "1", None), ("[true]", '{"enum":[[1]]}', "[true]", "invalid"), ("1", "true", "1", None), ("1", "false", "1", "invalid"),
+        ("1", '{"required":"a"}', "1", "bad_schema"), ("1", '{"type":["integer",["x"]]}', "1", "bad_schema"), ("1", '{"items":[{}]}', "1", "bad_schema"), ("1", DEEP, "1", "bad_schema"), (None, "{}", None, "bad_json"), (None, None, None, "unknown_tool"),
+    ],
+)
+def test_any_arguments_and_schemas_have_a_result(arguments, schema, text, wrong):
+    assert chat_format.checked(arguments, schema) == (text, wrong)
+
+
+def test_repeated_messages_and_long_arguments(spark):
+    ddl = "conv_id long, turn long, calls array<struct<id string, name string, arguments string, after array<string>>>, results array<struct<id string, content string>>"
+    long = json.dumps({"a": LONG, "half": "\ud83d"})
+    row = (1, 0, [("x", "t", long, None), (None, "t", long, None)], None)
+    rows = [row, row, row, (1, 1, None, [("x", LONG)]), (1, 2, [("y", "t", "{}", ["x"])], None), (1, 3, None, [("y", None)])]
+    for parts in (1, 4):
+        out = chat_format.linked(spark.createDataFrame(rows, ddl).repartition(parts), spark.createDataFrame([("t", "{}")], "name string, schema string")).collect()
+        assert collections.Counter((r.call_id, r.status) for r in out) == {("x", "ok"): 1, ("x", "duplicate"): 2, (None, "unanswered"): 3, ("y", "ok"): 1}
+        assert json.loads(next(r.line for r in out if r.call_id == "x"))["arguments"] == json.loads(long)
+
+
 # --- classifier ---------------------------------------------------------------------------------------------
 def test_classifier_on_held_out_labels(spark):
     d = "/root/testdata/sf0.01"

@@ -10,12 +10,17 @@ the schema of the call's name: type, required, properties, additionalProperties,
 maximum, minLength, maxLength.
 
 A call's status, the first that holds: "duplicate" (its identifier came before), "cycle", "missing_need" (a
-needed call isn't in this or an earlier message), "unknown_tool", "bad_json", "invalid" (breaks the schema),
-"unanswered", else "ok". If results repeat the first by turn counts. A result without a call is a row of its
-own with status "orphan".
+needed call isn't in this or an earlier message), "unknown_tool", "bad_schema" (the tool's schema isn't JSON or
+uses the words above in another form), "bad_json", "invalid" (breaks the schema), "unanswered", else "ok". If
+results repeat the first by turn counts. A result without a call is a row of its own with status "orphan".
+
+Arguments are bad_json as well if they nest more than MAX_DEPTH deep or hold a number that JSON can't write (NaN,
+1e999, an integer of more than 4,300 digits). Half of a surrogate pair is written as its escape. Values are equal
+as JSON: 1 and 1.0 are, 1 and true aren't.
 
 Defined results: null arrays hold nothing, a null id matches nothing and a call with one is unanswered at
-best. Rows that repeat (conv_id, turn) count as one message each. Other columns are ignored.
+best. Rows that repeat (conv_id, turn) count as one message each, also if all else repeats: the calls of the
+second are duplicates. No messages give no rows, texts may have any length. Other columns are ignored.
 
 Turns: a message of any role becomes a row with its whole text, its calls in order and the orphans among its
 results as one line of canonical JSON, in the order of conversations and turns (op2_chat_turns).
@@ -24,6 +29,7 @@ results as one line of canonical JSON, in the order of conversations and turns (
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,11 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import table, words_of
+from wickwork.llm.base import cut, table, words_of
 
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
+MAX_DEPTH = 100
+HALF = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value: object) -> str:
     """JSON with sorted keys, no spaces, and whole numbers without a fraction."""
 
@@ -46,31 +56,66 @@ def canonical(value: object) -> str:
             return {k: plain(v) for k, v in x.items()}
         return [plain(v) for v in x] if isinstance(x, list) else x
 
-    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    text = json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return HALF.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def parsed(text: str | None) -> object:
+    """The JSON value of a text; ValueError if it is none or nests too deep."""
+    try:
+        value = json.loads(text if text is not None else "")
+    except RecursionError:
+        raise ValueError("too deep") from None
+    level = [value]
+    for _ in range(MAX_DEPTH + 1):
+        level = [y for x in level if isinstance(x, (dict, list)) for y in (x.values() if isinstance(x, dict) else x)]
+        if not level:
+            return value
+    raise ValueError("too deep")
+
+
+def _number(x: object) -> bool:
+    return isinstance(x, (int, float)) and not isinstance(x, bool)
 
 
 def _is(x: object, kind: str) -> bool:
     if kind in ("number", "integer"):
-        return isinstance(x, (int, float)) and not isinstance(x, bool) and (kind == "number" or float(x).is_integer())
+        return _number(x) and (kind == "number" or isinstance(x, int) or x.is_integer())
     return isinstance(x, TYPES[kind])
 
 
-def valid(x: object, schema: dict) -> bool:
+def is_schema(s: object) -> bool:
+    """Whether s is a schema that valid() can apply."""
+    if not isinstance(s, dict):
+        return isinstance(s, bool)
+    kinds = s.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    return (
+        isinstance(kinds, list) and all(isinstance(k, str) and (k in TYPES or k in ("number", "integer")) for k in kinds)
+        and isinstance(s.get("enum", []), list)
+        and isinstance(s.get("required", []), list) and all(isinstance(k, str) for k in s.get("required", []))
+        and isinstance(s.get("properties", {}), dict) and all(map(is_schema, s.get("properties", {}).values()))
+        and is_schema(s.get("additionalProperties", True)) and is_schema(s.get("items", True))
+        and all(_number(s.get(k, 0)) for k in ("minimum", "maximum", "minLength", "maxLength"))
+    )
+
+
+def valid(x: object, schema: dict | bool) -> bool:
+    if isinstance(schema, bool):
+        return schema
     kinds = schema.get("type")
     if kinds is not None and not any(_is(x, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return False
-    if "enum" in schema and x not in schema["enum"]:
+    if "enum" in schema and canonical(x) not in map(canonical, schema["enum"]):
         return False
     if isinstance(x, dict):
         known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
-        if any(k not in x for k in schema.get("required", ())):
-            return False
-        return all(valid(v, known[k]) if k in known else valid(v, more) if isinstance(more, dict) else bool(more) for k, v in x.items())
+        return all(k in x for k in schema.get("required", ())) and all(valid(v, known.get(k, more)) for k, v in x.items())
     if isinstance(x, list):
-        return all(valid(v, schema.get("items", {})) for v in x)
+        return all(valid(v, schema.get("items", True)) for v in x)
     if isinstance(x, str):
         return schema.get("minLength", 0) <= len(x) <= schema.get("maxLength", len(x))
-    if isinstance(x, (int, float)) and not isinstance(x, bool):
+    if _number(x):
         return schema.get("minimum", x) <= x <= schema.get("maximum", x)
     return True
 
@@ -118,24 +163,34 @@ def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @lru_cache(10_000)
-def _schema(text: str) -> dict:
-    return json.loads(text)
+def _schema(text: str) -> dict | bool | None:
+    """The schema, None if it can't be applied."""
+    try:
+        found = parsed(text)
+        canonical(found)  # its numbers are ones that JSON has
+    except ValueError:
+        return None
+    return found if is_schema(found) else None
+
+
+def checked(arguments: str | None, schema: str | None) -> tuple[str | None, str | None]:
+    """The canonical arguments, and what is wrong with them."""
+    known = None if schema is None else _schema(schema)
+    fault = "unknown_tool" if schema is None else "bad_schema" if known is None else None
+    try:
+        value = parsed(arguments)
+        text = canonical(value)
+    except ValueError:
+        return None, fault or "bad_json"
+    return text, fault or (None if valid(value, known) else "invalid")
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the canonical arguments and what is wrong with them."""
     for batch in batches:
-        texts, wrong = [], []
-        for arguments, schema in zip(batch.column("arguments").to_pylist(), batch.column("schema").to_pylist(), strict=True):
-            try:
-                value = json.loads(arguments if arguments is not None else "")
-                texts.append(canonical(value))
-                wrong.append("unknown_tool" if schema is None else None if valid(value, _schema(schema)) else "invalid")
-            except ValueError:
-                texts.append(None)
-                wrong.append("unknown_tool" if schema is None else "bad_json")
+        found = [checked(*x) for x in zip(batch.column("arguments").to_pylist(), batch.column("schema").to_pylist(), strict=True)]
         keep = [c for c in batch.schema.names if c not in ("arguments", "schema")]
-        yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(texts, pa.string()), pa.array(wrong, pa.string())], [*keep, "arguments", "wrong"])
+        yield pa.record_batch([*(batch.column(c) for c in keep), *(pa.array([x[i] for x in found], pa.string()) for i in (0, 1))], [*keep, "arguments", "wrong"])
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,20 +214,23 @@ def linked(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     one = schemas.groupBy("name").agg(F.min("schema").alias("schema"))
     calls = calls.join(one, "name", "left").select("conv_id", "turn", "position", "call_id", "name", "cycle", "needs", *row, "arguments", "schema")
     calls = calls.mapInArrow(_checked, f"conv_id long, turn long, position long, call_id string, name string, cycle boolean, needs array<string>{row_long}, arguments string, wrong string")
-    place = F.struct("turn", "position", "name", "arguments")
-    first = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(place).alias("first"))
+    # a number of its own for each call, kept in a table so that all readers see the same
+    calls = cut(calls.withColumn("number", F.monotonically_increasing_id()))
+    named = calls.where("call_id is not null")
+    place = F.struct("turn", "position", "name", F.xxhash64("arguments").alias("hash"), "number")
+    first = named.groupBy("conv_id", "call_id").agg(F.min(place).alias("first"))
     # needs of other messages: the needed call's first turn has to be earlier
-    need = calls.where(F.size("needs") > 0).select("conv_id", "turn", "position", "call_id", F.explode("needs").alias("need"))
+    need = calls.where(F.size("needs") > 0).select("conv_id", "turn", "number", F.explode("needs").alias("need"))
     at = first.select("conv_id", F.col("call_id").alias("need"), F.col("first.turn").alias("need_turn"))
-    lacking = need.join(at, ["conv_id", "need"], "left").where("need_turn is null or need_turn >= turn").select("conv_id", "turn", "position", "call_id").distinct().withColumn("lacks", F.lit(True))
+    lacking = need.join(at, ["conv_id", "need"], "left").where("need_turn is null or need_turn >= turn").select("number").distinct().withColumn("lacks", F.lit(True))
     results = messages.where(F.size("results") > 0).select("conv_id", "turn", *row, F.inline("results").alias("id", "content")).where("id is not null")
     results = results.groupBy("conv_id", F.col("id").alias("call_id")).agg(F.min(F.struct("turn", "content", *row)).alias("r"), F.count("*").alias("n_results"))
-    same = lambda a, b, *keys: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
-    met = calls.alias("c").join(first.alias("f"), [F.col("c.conv_id") == F.col("f.conv_id"), F.col("c.call_id") == F.col("f.call_id")], "left")
-    met = met.join(lacking.alias("l"), same("c", "l", "conv_id", "call_id", "turn", "position"), "left").select("c.*", "first", "lacks")
-    met = met.join(results, ["conv_id", "call_id"], "full_outer")
+    calls = calls.join(lacking, "number", "left")
+    met = calls.where("call_id is not null").join(first, ["conv_id", "call_id"], "left").join(results, ["conv_id", "call_id"], "full_outer")
+    # calls without an id meet nothing and needn't be dealt
+    met = met.unionByName(calls.where("call_id is null"), allowMissingColumns=True)
     status = (
-        F.when(F.col("position").isNull(), "orphan").when(F.col("first") != place, "duplicate").when(F.col("cycle"), "cycle").when(F.col("lacks"), "missing_need")
+        F.when(F.col("position").isNull(), "orphan").when(F.col("first.number") != F.col("number"), "duplicate").when(F.col("cycle"), "cycle").when(F.col("lacks"), "missing_need")
         .when(F.col("wrong").isNotNull(), F.col("wrong")).when(F.col("n_results").isNull(), "unanswered").otherwise("ok")
     )
     out = met.select(
