@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import json
 import math
+import time
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.oracle import same
-from wickwork.llm import catalog, chat_format, decontamination, elias_fano, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
+from wickwork.llm import base, catalog, chat_format, decontamination, elias_fano, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
 from wickwork.llm.base import table
 
 ROW = "doc_id long, text string, lang string, source string, n_chars long"
@@ -218,6 +219,47 @@ def test_classifier_ignores_held_out_labels_and_odd_rows(spark, odd, labels):
     assert not quality_classifier.scored(odd.limit(0), labels).collect()
 
 
+def test_sample_is_bounded_and_does_not_depend_on_partitions(spark, monkeypatch):
+    docs = frame(spark, [f"{' '.join(f'w{(i * j) % 17}' for j in range(30))}{'!' * (i % 5)}" for i in range(900)])
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    marked = lambda parts: quality_classifier.described(docs.repartition(parts)).join(marks, "doc_id").select(F.xxhash64("doc_id", "x").alias("h"), "doc_id", "x", "quality")
+    assert len(quality_classifier.sampled(marked(3))[0]) == 900
+    monkeypatch.setattr(quality_classifier, "MAX_ROWS", 200)
+    (x, y), (x2, y2) = quality_classifier.sampled(marked(3)), quality_classifier.sampled(marked(8))
+    assert 140 < len(x) < 260 and (x == x2).all() and (y == y2).all()
+
+
+def test_statistics_against_plain_counts():
+    text = "One two, Two TWO! 3 | 44 # a_b\n\nOne two, Two TWO! 3 | 44 # a_b\n é.;"
+    words, lines, n = text.encode().split(), [x for x in text.split("\n") if x.strip()], len(text.encode())
+    of = lambda chars: sum(c in chars for c in text) / n
+    want = {
+        "log_bytes": math.log1p(n), "log_words": math.log1p(len(words)), "word_bytes": (n - text.count(" ")) / len(words), "distinct_words": len(set(words)) / len(words), "commonest_word": max(collections.Counter(words).values()) / len(words),
+        "word_twice": 0, "distinct_lines": len(set(lines)) / len(lines), "line_words": len(words) / len(lines), "capitals": of("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "digits": of("0123456789"), "symbols": of("#*$%&<>"), "bars": of("|"), "shouts": of("!"),
+        "stops": of("."), "commas": of(","), "other_signs": of("_;"), "above_ascii": 2 / n,
+    }
+    assert dict(zip(quality_classifier.FEATURES, quality_classifier.statistics(text.encode()), strict=True)) == pytest.approx(want)
+
+
+def test_splits_against_every_split(monkeypatch):
+    """With a tree of one level, the split is the best of all that the bins allow."""
+    monkeypatch.setattr(quality_classifier, "DEPTH", 1)
+    monkeypatch.setattr(quality_classifier, "TREES", 1)
+    rng = np.random.default_rng(8)
+    for _ in range(5):
+        x = rng.integers(0, 12, (300, 4)).astype(float)
+        y = (rng.random(300) < 0.2 + 0.05 * x[:, int(rng.integers(0, 4))]).astype(float)
+        trees = quality_classifier.train(x, y)
+        p = 1 / (1 + math.exp(-trees.base))
+        g, h = p - y, np.full(300, p * (1 - p))
+        part = lambda m: g[m].sum() ** 2 / (h[m].sum() + quality_classifier.SMOOTH)
+        gain = lambda f, c: part(x[:, f] <= c) + part(x[:, f] > c) - part(x[:, f] < 99)
+        best = max(gain(f, c) for f in range(4) for c in range(11))
+        assert gain(trees.feature[0, 0], trees.limit[0, 0]) == pytest.approx(best)
+        right = x[:, trees.feature[0, 0]] > trees.limit[0, 0]
+        assert trees.leaf[0] == pytest.approx([-quality_classifier.RATE * g[m].sum() / (h[m].sum() + quality_classifier.SMOOTH) for m in (~right, right)])
+
+
 def test_trees_equal_a_walk():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(500, len(quality_classifier.FEATURES)))
@@ -256,17 +298,48 @@ def test_exact_binomial_bound(spark):
         assert math.isclose(math.exp(r.v), min(cdf(r.k, r.n, 0.01), 1), rel_tol=1e-9)
 
 
-def test_cutoffs_keep_their_promise(spark):
+def test_cutoffs_keep_their_promise(spark, monkeypatch):
     good = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(1500)]
     bad = [" ".join(f"w{i}y{j}##" for j in range(30)) for i in range(200)]
     docs = frame(spark, good + bad).withColumn("lang", F.lit("en"))
     marks = docs.select("doc_id", (F.col("doc_id") < 1500).cast("int").alias("quality"))
     out = quality_rules.rules(docs, marks)
     assert out.where("kept and doc_id >= 1500").count() == 0 and out.where("not kept and doc_id < 1500").count() <= 15
+    monkeypatch.setattr(quality_rules, "BROADCAST_CUTOFFS", 0)
+    assert sorted(out.collect()) == sorted(quality_rules.rules(docs, marks).collect())
     few = marks.where("doc_id % 100 = 0")  # too few to certify anything
     assert quality_rules.rules(docs, few).where("not kept").count() == 0
 
 
+def test_all_shares_together_keep_the_promise(spark):
+    """Good texts of which each share could reject its own part: together no more than ALPHA may go, over many draws."""
+    rng, lost, n = np.random.default_rng(3), [], 4000
+    for draw in range(4):
+        rows = []
+        for i in range(n + 1000):
+            good = i < n
+            odd = rng.random(4) < (0.0035 if good else 0.5)
+            words = [f"w{i}x{j}" for j in range(60)]
+            if odd[0]:
+                words[:10] = ["######"] * 3 + words[3:10]
+            if odd[1]:
+                words[20:40] = [w.upper() for w in words[20:40]]
+            text = " ".join(words) + ("\n" + " ".join(words[:9]) + "\n") * (2 if odd[2] else 0) + ("\nsame\nsame\nsame\nother" if odd[3] else "")
+            rows.append((i, text, "en", int(good)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int").repartition(8)
+        half = docs.where("doc_id % 2 = 0")
+        out = quality_rules.rules(docs, half.select("doc_id", "quality")).where(f"doc_id < {n} and doc_id % 2 = 1")
+        lost.append(out.where("not kept").count() / (n / 2))
+    assert np.mean(lost) <= quality_rules.ALPHA and any(x > 0 for x in lost), lost
+
+
+@pytest.mark.parametrize("extra", ["kept", "stratum", "q_text", "q_words", "q_max_lines", "base_failed", "q_row", "share", "cutoff"])
+def test_rules_leave_columns_alone(spark, labels, extra):
+    docs = frame(spark, [*SENTENCES[:3], " ".join(f"w{i}" for i in range(50))]).withColumn(extra, F.concat(F.lit("x"), "doc_id"))
+    kept = quality_rules.filtered(docs, labels)
+    assert kept.columns == docs.columns and [(r.doc_id, r[extra]) for r in kept.collect()] == [(3, "x3")]
+
+
 # --- PII ----------------------------------------------------------------------------------------------------
 def test_feistel_is_a_permutation():
     f = pii.Feistel(b"k")
@@ -341,6 +414,15 @@ def test_mixing_odd_rows_and_many_sources(spark, odd, monkeypatch):
     assert not mixing.mix(odd.limit(0)).collect()
 
 
+@pytest.mark.parametrize("extra", ["target", "t", "whole", "source_size", "mix_source", "mix_copies", "mix_row", "h", "col", "row_salt"])
+def test_mixing_leaves_columns_alone(spark, extra):
+    docs = frame(spark, SENTENCES).withColumn(extra, F.concat(F.lit("x"), "doc_id"))
+    out = mixing.mixed(docs)
+    want = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
+    got = collections.Counter((r.doc_id, r[extra]) for r in out.collect())
+    assert out.columns == docs.columns and got == {(i, f"x{i}"): n for i, n in want.items() if n}
+
+
 # --- LM -----------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize(("n", "universe"), [(1, 5), (10, 1000), (5000, 1 << 20), (5000, 5100), (3, 1 << 40)])
 def test_elias_fano(n, universe):
@@ -504,3 +586,39 @@ def test_line_dedup_on_odd_rows(spark, odd):
     assert [got[i].kept_text for i in range(10)] == [f"own {i}" for i in range(6)] + ["", line, "", "a\n\n"]
     assert [got[i].n_dropped for i in range(10)] == [2] * 6 + [1, 0, 0, 0] and got[9].n_lines == 3
     assert not line_dedup.dedup_lines(odd.limit(0)).collect()
+
+
+def brute_lines(rows):
+    """doc_id, text -> what is left, line by line."""
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate({i: i + 32 for i in range(65, 91)})
+    held = collections.defaultdict(set)
+    for i, t in rows:
+        for x in (t or "").split("\n") if i is not None else ():
+            if len(key(x)) >= 40:
+                held[key(x)].add(i)
+    lost = lambda i, x: i is not None and len(held[key(x)]) >= 5 and i < max(held[key(x)])
+    return [(i, "\n".join(x for x in (t or "").split("\n") if not (len(key(x)) >= 40 and lost(i, x)))) for i, t in rows]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 8, 1_000_000])
+def test_line_dedup_against_brute_force(spark, monkeypatch, hot_rows):
+    """Hot lines, lines twice in a text, ids that repeat with other texts, and rows without an id."""
+    monkeypatch.setattr(base, "HOT_ROWS", hot_rows)
+    rng = np.random.default_rng(2)
+    pool = [f"a shared line of more than forty characters, number {k} " + "x" * (k % 3) for k in range(30)]
+    rows = [(int(rng.integers(0, 90)) if i % 11 else None, "\n".join(pool[min(int(rng.exponential(6)), 29)].upper() if rng.random() < 0.5 else f"  {pool[min(int(rng.exponential(6)), 29)]}\t" if rng.random() < 0.8 else f"own {i}" for _ in range(int(rng.integers(0, 25))))) for i in range(150)]
+    rows += [(5, "a\n\n"), (None, None), (6, None)] + rows[:3]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert collections.Counter((r.doc_id, r.kept_text) for r in got.collect()) == collections.Counter(brute_lines(rows))
+
+
+def test_shared_lines_take_linear_time(spark):
+    def seconds(n):
+        text = "\n".join(f"a line of forty characters or a few more, {k}" for k in range(n))
+        docs = spark.createDataFrame([(i, text) for i in range(5)], "doc_id long, text string").repartition(5)
+        began = time.perf_counter()
+        assert line_dedup.dedup_lines(docs).agg(F.sum("n_dropped")).first()[0] == 4 * n
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 3 * max(seconds(20_000), 1.0)

@@ -7,6 +7,7 @@ is why the Python parts work on UTF-8 bytes; the native parts use the patterns b
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,32 +16,71 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[ \\t-\\r]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Bounds of met_by_key and met_by_salt.
+HOT_ROWS, HOT_KEYS, SALTS = 1_000, 100_000, 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, per_task: int = 0) -> DataFrame:
-    """The same rows, read back from files in the cluster's checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    a new temporary folder is used. With per_task the rows are read back by as many tasks as hold about
-    that many each: many tasks with few rows would fill later shuffles with small files.
+    Where that is unset a new temporary folder is used, but on one machine only: on a cluster it would be lost
+    with its executor, so there that is an error.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="wickwork-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not (context.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="wickwork-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame, per_task: int = 0) -> DataFrame:
+    """The same rows, read back from files in the shared folder.
+
+    With per_task the rows are read back by as many tasks as hold about that many each: many tasks with few
+    rows would fill later shuffles with small files.
+    """
+    shared_folder(df.sparkSession)
     out = df.checkpoint(eager=True)
     return out.coalesce(max(1, -(-out.count() // per_task))) if per_task else out
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see, for tables that an operator writes."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="wickwork-"))
-    return context.getCheckpointDir()
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as Parquet in a new folder among the shared ones: whole texts take less room than in cut()."""
+    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+def met_by_key(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """rows joined with table, which has one row a key, by key; weight is how many of the rows hold it.
+
+    Keys of many rows are sent to all tasks, so that their rows stay where they are: there can't be more than
+    HOT_KEYS of them, as each holds at least that share of all rows. Only the other keys are dealt.
+    """
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    is_hot = F.col(weight) >= max(HOT_ROWS, total // HOT_KEYS + 1)
+    hot = table.where(is_hot)
+    met = rows.join(F.broadcast(hot), key)
+    return met.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(~is_hot), key))
+
+
+def met_by_salt(rows: DataFrame, table: DataFrame, key: str, other: str, salt: Column, few: int, how: str = "inner") -> DataFrame:
+    """rows joined with table, which has one row a key, where key equals other or both are null.
+
+    A table of up to ``few`` rows is sent to all tasks. A larger one is joined by key and a salt, each of its
+    rows once for every salt, so that a hot key's rows are spread over SALTS tasks.
+    """
+    if table.limit(few + 1).count() <= few:
+        return rows.join(F.broadcast(table), F.col(key).eqNullSafe(F.col(other)), how)
+    salted = table.withColumn("table_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    met = rows.withColumn("row_salt", F.pmod(salt, F.lit(SALTS)).cast("int")).join(salted, F.col(key).eqNullSafe(F.col(other)) & (F.col("row_salt") == F.col("table_salt")), how)
+    return met.drop("row_salt", "table_salt")
 
 
 def words_of(text: Column) -> Column:

@@ -1,9 +1,10 @@
 """Line dedup: lines that many documents share stay only in the document with the largest id.
 
-Lines are exploded and hashed to 128 bits; the documents of a hash are counted exactly, in two
-steps (by hash and document, then by hash), so a line that a third of the corpus holds is spread
-over all tasks before it meets in one row. Only (hash, doc_id) pairs are shuffled for that. The
-texts move once, to meet the hashes that they lose, and are cut and joined again by position.
+Lines are exploded with their positions and hashed to 128 bits; the documents of a hash are counted exactly,
+in two steps (by hash and document, then by hash), so a line that a third of the corpus holds is spread over
+all tasks before it meets in one row. The common hashes meet the lines again: those of many documents are sent
+to all tasks (a bounded number), the others are dealt by hash. The texts move once, to meet the positions that
+they lose, and are joined again by the positions that are left; time is linear in a text's lines.
 
 Defined results: a null or empty text is one empty line. A document without an id is not counted and
 loses no line. Rows that repeat an id count as one document; each loses the same lines. Other columns
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import SPACE, ascii_lower, table
+from wickwork.llm.base import SPACE, ascii_lower, cut, met_by_key, table
 
 
 def line_key(line: Column) -> Column:
@@ -27,28 +28,25 @@ def _hash(key: Column) -> Column:
 
 
 def shared_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """(doc_id, lost: the hashes of the lines that it loses), for documents that lose any."""
-    lines = docs.where("doc_id is not null").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    keys = lines.select("doc_id", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
-    held = keys.select("doc_id", _hash(F.col("key")).alias("hash")).distinct()
-    common = held.groupBy("hash").agg(F.count("*").alias("docs"), F.max("doc_id").alias("keeper")).where(F.col("docs") >= min_docs)
-    lost = held.join(common.select("hash", "keeper"), "hash").where(F.col("doc_id") < F.col("keeper"))
-    return lost.groupBy("doc_id").agg(F.collect_list("hash").alias("lost"))
+    """(doc_id, row, lost: the positions of the lines that it loses), for rows that lose any; docs has a column row, the hash of the text."""
+    lines = docs.where("doc_id is not null").select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    keys = lines.select("doc_id", "row", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
+    held = cut(keys.select("doc_id", "row", "pos", _hash(F.col("key")).alias("hash")))
+    common = held.select("doc_id", "hash").distinct().groupBy("hash").agg(F.count("*").alias("docs"), F.max("doc_id").alias("keeper"))
+    lost = met_by_key(held, cut(common.where(F.col("docs") >= min_docs)), "hash", "docs").where(F.col("doc_id") < F.col("keeper"))
+    return lost.groupBy("doc_id", "row").agg(F.collect_list("pos").alias("lost"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """Per row of docs: doc_id, n_lines (before), n_dropped, kept_text."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    met = docs.join(shared_lines(docs, min_chars, min_docs), "doc_id", "left")
-    lines = F.split("text", "\n")
-    stays = F.filter(lines, lambda x: (F.char_length(line_key(x)) < min_chars) | ~F.array_contains("lost", _hash(line_key(x))))
-    split = met.select("doc_id", "text", "lost", F.size(lines).cast("long").alias("n_lines"), F.when(F.col("lost").isNotNull(), stays).alias("stays"))
-    return split.select(
-        "doc_id",
-        "n_lines",
-        F.when(F.col("stays").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("stays")).cast("long").alias("n_dropped"),
-        F.coalesce(F.array_join("stays", "\n"), F.col("text")).alias("kept_text"),
-    )
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
+    # rows without an id are dealt by their texts; the lines are an array before the exchange, so that they aren't cut again for each position
+    met = docs.select("doc_id", "row", F.split("text", "\n").alias("lines")).join(shared_lines(docs, min_chars, min_docs), ["doc_id", "row"], "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
+    stays = F.when(F.col("lost").isNull(), F.col("lines")).otherwise(F.transform(left, lambda i: F.get("lines", i)))
+    return met.select(
+        "doc_id", F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size(F.array_distinct("lost")), F.lit(0)).cast("long").alias("n_dropped"), F.array_join(stays, "\n").alias("kept_text"),
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

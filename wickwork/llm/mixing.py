@@ -8,10 +8,11 @@ superset of a smaller one's rows. A source whose target exceeds its size is repe
 whole times, and the rest by threshold.
 
 A source's rows never meet in one task: partial sums are taken before every shuffle. The tables of
-thresholds have one row per source.
+thresholds have one row per source; beyond BROADCAST_SOURCES rows they meet the documents by salt.
 
 Defined results: a null text has size 0; null is a source of its own, last in order. Rows with the same
-id share a hash, so both are taken or neither is. With no words at all every target is 0.
+id share a hash, so both are taken or neither is. With no words at all every target is 0, with no rows there
+are none. mix ignores other columns, mixed returns them untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,13 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import cut, table, words_of
+from wickwork.llm.base import cut, met_by_salt, table, words_of
 
 BITS = 12
 ROUNDS = 3
 HASH_BITS = 60
 BROADCAST_SOURCES = 20_000
-SALTS = 16
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -61,11 +61,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """(source, budget, t): rows with h < t have sizes that sum to nearly the budget of their source."""
     at = cut(budgets.select("source", "budget", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("under")))
-    few = at.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     for level in range(1, ROUNDS + 1):
         shift = HASH_BITS - BITS * level
-        inside = rows.alias("r").join(F.broadcast(at.alias("a")) if few else at.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source")) & (F.shiftright("h", shift + BITS) == F.col("prefix")))
-        sums = inside.groupBy("a.source", "budget", "under", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("size"))
+        inside = met_by_salt(rows, at.withColumnRenamed("source", "at_source"), "source", "at_source", F.col("h"), BROADCAST_SOURCES).where(F.shiftright("h", shift + BITS) == F.col("prefix"))
+        sums = inside.groupBy("source", "budget", "under", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("size"))
         running = F.sum("size").over(Window.partitionBy("source").orderBy("bucket"))
         sums = sums.withColumn("over", F.col("under") + running)
         passed = F.col("over") <= F.col("budget")
@@ -96,16 +95,8 @@ def source_plan(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
 
 
 def with_copies(rows: DataFrame, plan: DataFrame, h: Column, most: int) -> DataFrame:
-    """rows with the columns of the plan and mix_copies.
-
-    A plan of up to BROADCAST_SOURCES sources is sent to all tasks. A larger one is joined by source and a
-    salt, each of its rows once for every salt, so that a hot source's rows are spread over SALTS tasks.
-    """
-    if plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        met = rows.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("mix_source")))
-    else:
-        salted = plan.withColumn("mix_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-        met = rows.join(salted, F.col("source").eqNullSafe(F.col("mix_source")) & (F.pmod(h, F.lit(SALTS)).cast("int") == F.col("mix_salt"))).drop("mix_salt")
+    """rows (which have a column source) with the columns of the plan and mix_copies."""
+    met = met_by_salt(rows, plan, "source", "mix_source", h, BROADCAST_SOURCES)
     return met.withColumn("mix_copies", F.least(F.col("whole") + (h < F.col("t")).cast("long"), F.lit(most)))
 
 
@@ -119,8 +110,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) ->
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The rows of docs as the mix takes them: left out, or repeated whole."""
     plan = source_plan(cut(sized(docs)), weights, most)
-    met = with_copies(docs, plan, hash_of(F.col("doc_id")), most)
-    return met.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("mix_row"), "source", hash_of(F.col("doc_id")).alias("mix_h"))
+    met = with_copies(rows, plan, F.col("mix_h"), most).select("mix_row", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int"))))
+    return met.select("mix_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-Statistics are taken from whole texts in one pass. A bounded sample of labelled rows (MAX_ROWS, in the
-order of a hash of the id) trains the trees on the driver: values are put into quantile bins, and each
+Statistics are taken from whole texts in one pass. A bounded sample of labelled rows (about MAX_ROWS, those
+whose hash is under a threshold) trains the trees on the driver: values are put into quantile bins, and each
 level of a tree is chosen from the sums of gradients by node, feature and bin. The trees are complete and
 flattened into three arrays, so tasks score all rows of a batch by a few vectorised steps a level. The
 model's size depends on TREES and DEPTH alone.
@@ -116,13 +116,26 @@ def train(x: np.ndarray, y: np.ndarray) -> Trees:
     return Trees(base, feature, limit, leaf)
 
 
+def sampled(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and labels of about MAX_ROWS rows (all, if there are fewer), in an order of their own.
+
+    A row is taken if its hash is under the share that is wanted, so each task sends its few rows and no more.
+    """
+    marked = cut(marked)
+    share = min(1.0, MAX_ROWS / max(1, marked.count()))
+    # the limit only counts if more rows repeat id and text than the sample holds
+    some = marked.where(F.shiftrightunsigned("h", 2) <= int(share * (2**62 - 1))).limit(2 * MAX_ROWS).toArrow()
+    x = np.asarray(some.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES))
+    order = np.lexsort((np.asarray(some.column("quality")), np.asarray(some.column("doc_id")), np.asarray(some.column("h"))))
+    return x[order], np.asarray(some.column("quality"), float)[order]
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
     x = cut(described(docs))
     known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = x.where(~F.col("held_out")).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS).select("x", "quality").toArrow()
-    rows = np.asarray(sample.column("x").combine_chunks().flatten()).reshape(-1, len(FEATURES))
-    sent = docs.sparkSession.sparkContext.broadcast(train(rows, np.asarray(sample.column("quality"), float)))
+    marked = x.where(~F.col("held_out")).join(known, "doc_id").select(F.xxhash64("doc_id", "x").alias("h"), "doc_id", "x", "quality")
+    sent = docs.sparkSession.sparkContext.broadcast(train(*sampled(marked)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,17 +3,21 @@
 Each text gets counts (words, symbols, repeated lines, words in repeated 8-word windows) and from them
 four shares. A share has a fixed grid of cutoffs. Labelled documents are the holdout: for each stratum
 (language), share and cutoff they give the good documents n and how many of them, k, the cutoff would
-reject. A cutoff is certified if P(X <= k) <= delta / m for X binomial (n, alpha): an exact one-sided
-bound says that it rejects at most a share alpha of the stratum's good documents, and m, the number of
-all tests, corrects for testing them together. Of a stratum's certified cutoffs the one with the best
-balance of rejected bad and good documents is taken; without one, the share isn't used there.
+reject. The four shares have a quarter of the risk ALPHA each, as a text goes if any of them rejects it:
+a cutoff passes if P(X <= k) <= DELTA / m for X binomial (n, ALPHA / 4), an exact one-sided bound. The
+cutoffs of a share are tested from the loosest on and count as certified up to the first that fails, so m,
+which corrects for testing together, is the number of strata times four and not that of all cutoffs. With
+probability 1 - DELTA no stratum loses more than a share ALPHA of its good documents to the certified rules.
+Of the certified cutoffs the one with the best balance of rejected bad and good documents is taken; without
+one (under about 1,150 good labelled documents of four languages), the share isn't used in that stratum.
 
 Everything about a text is computed within its row; learning shuffles counts of at most one row for
 each stratum, share and cell of the grid, summed before the shuffle.
 
 Defined results: a null text has no words and fails the base rule. A null language is a stratum. If an
 id has several labels the worst counts; null labels count for nothing; with no labels only the base
-rule holds. Rows that repeat an id are judged each by its text, and each counts in the holdout.
+rule holds. Rows that repeat an id are judged each by its text, and each counts in the holdout. No rows
+give none. rules ignores other columns, filtered returns them untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,16 +27,16 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import SPACE, UPPER, cut, table, words_of
+from wickwork.llm.base import SPACE, UPPER, cut, met_by_salt, table, words_of, written
 
-# The symbols counted, the base rule, the grid, and the risk allowed for each share.
+# The symbols counted, the base rule, the grid, and the risk allowed for all shares together.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 GRID = (0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.6)
 SHARES = ("symbols", "capitals", "repeats", "lines")
-ALPHA = 0.01
+ALPHA = 0.02
 DELTA = 0.05
 GOOD_WEIGHT = 20
 BROADCAST_CUTOFFS = 20_000
@@ -108,10 +112,13 @@ def certified(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta
     found = tests.alias("t").join(cells.alias("c"), same).groupBy("t.stratum", "t.share", "cutoff").agg(
         F.sum("good").alias("good"), F.sum(F.when(over, F.col("good")).otherwise(0)).alias("good_rejected"), F.sum(F.when(over, F.col("bad")).otherwise(0)).alias("bad_rejected")
     )
-    number = F.count("*").over(Window.partitionBy(F.lit(1)))  # of all tests
-    found = found.withColumn("limit", F.log(F.lit(delta) / number))
-    enough = (F.col("good_rejected") <= alpha * F.col("good")) & (F.col("bad_rejected") > 0)
-    found = found.where(F.when(enough, at_most(F.col("good_rejected"), F.col("good"), alpha) <= F.col("limit")).otherwise(False))
+    m = F.count("*").over(Window.partitionBy(F.lit(1))) / len(GRID)  # every stratum and share has all cutoffs
+    found = found.withColumn("limit", F.log(F.lit(delta) / m))
+    k, n, each = F.col("good_rejected"), F.col("good"), alpha / len(SHARES)
+    # more than the expected number never passes and needn't be summed
+    passed = F.when(k <= each * n, at_most(k, n, each) <= F.col("limit")).otherwise(False)
+    from_loosest = Window.partitionBy("stratum", "share").orderBy(F.col("cutoff").desc())
+    found = found.withColumn("certified", F.min(passed).over(from_loosest)).where("certified and bad_rejected > 0")
     best = F.row_number().over(Window.partitionBy("stratum", "share").orderBy((F.col("bad_rejected") - GOOD_WEIGHT * F.col("good_rejected")).desc(), F.col("cutoff").desc()))
     return found.withColumn("best", best).where("best = 1").select("stratum", "share", "cutoff", "good", "good_rejected", "bad_rejected")
 
@@ -119,9 +126,7 @@ def certified(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta
 def judged(counted: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """counted with base_failed and kept."""
     wide = cutoffs.groupBy("stratum").agg(*(F.min(F.when(F.col("share") == s, F.col("cutoff"))).alias(f"q_max_{s}") for s in SHARES))
-    if cutoffs.limit(BROADCAST_CUTOFFS + 1).count() <= BROADCAST_CUTOFFS:
-        wide = F.broadcast(wide)  # else the texts would be dealt by language
-    met = counted.join(wide, F.col("lang").eqNullSafe(F.col("stratum")), "left")
+    met = met_by_salt(counted, wide, "lang", "stratum", F.xxhash64("doc_id", "q_chars"), BROADCAST_CUTOFFS, "left")
     passed = ~base_failed()
     for s in SHARES:
         passed &= F.coalesce(share_of(s) <= F.col(f"q_max_{s}"), F.lit(True))
@@ -137,12 +142,11 @@ def rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, whole and with their own columns.
 
-    The texts are counted once to learn and once to filter, so that they needn't be shuffled.
+    The texts are counted once: the rows are written with their counts, learned from and then filtered.
     """
-    columns = docs.columns
-    counted = cut(counts(docs.select("doc_id", "lang", "text")).drop("text"))
-    kept = judged(counts(docs), cut(certified(counted, labels))).where("kept")
-    return kept.select(*columns)
+    rows = docs.select(F.struct(*docs.columns).alias("q_row"), "doc_id", "lang", "text")
+    counted = written(counts(rows).drop("text"))
+    return judged(counted, cut(certified(counted.drop("q_row"), labels))).where("kept").select("q_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,12 +187,15 @@ words as (
   select lang, share, cutoff, count(*) filter (where quality = 1) as n, count(*) filter (where quality = 1 and x > cutoff) as k, count(*) filter (where quality = 0 and x > cutoff) as bad
   from held, (select unnest([0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.6])::double as cutoff) group by all
 ), numbered as (
-  select *, count(*) over () as m from tests
+  select *, (select count(*) from (select distinct lang, share from tests)) as m from tests
 ), passed as (
-  select * from numbered where bad > 0 and k <= 0.01::double * n
-    and list_sum(list_transform(range(0, k + 1), lambda j: exp((case when n = 0 then 0 else lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) end) + j * ln(0.01::double) + (n - j) * ln(0.99::double)))) <= 0.05::double / m
+  select *, k <= 0.005::double * n
+    and list_sum(list_transform(range(0, k + 1), lambda j: exp((case when n = 0 then 0 else lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) end) + j * ln(0.005::double) + (n - j) * ln(0.995::double)))) <= 0.05::double / m as passes
+  from numbered
+), certified as (
+  select *, bool_and(passes) over (partition by lang, share order by cutoff desc) as holds from passed
 ), chosen as (
-  select lang, share, cutoff from passed qualify row_number() over (partition by lang, share order by bad - 20 * k desc, cutoff desc) = 1
+  select lang, share, cutoff from certified where holds and bad > 0 qualify row_number() over (partition by lang, share order by bad - 20 * k desc, cutoff desc) = 1
 ), wide as (
   select lang, min(cutoff) filter (where share = 'symbols') as a, min(cutoff) filter (where share = 'capitals') as b, min(cutoff) filter (where share = 'repeats') as c, min(cutoff) filter (where share = 'lines') as d
   from chosen group by lang
