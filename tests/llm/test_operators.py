@@ -539,6 +539,36 @@ def test_near_dedup_on_odd_rows(spark, odd):
     assert {r.doc_id for r in stay.collect()} == {0, 2}
 
 
+def test_repeated_ids_keep_all_links(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(4, a), (4, b), (5, a + " more"), (6, b + " more"), (6, b + " more"), (2, "other words"), (9, a + " more")]
+    want = {(4, 37, 4, True), (5, 38, 4, False), (6, 38, 4, False), (2, 1, 2, True), (9, 38, 4, False)}
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = near_dedup.linked(docs, 4, 80).collect()
+        assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got} == want and len(got) == 7
+        assert sorted(map(tuple, near_dedup.deduplicated(docs, 4).collect())) == sorted([(4, a), (4, b), (2, "other words")])
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
+def test_hot_buckets_give_the_same_components(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(base, "HOT_ROWS", hot_rows)
+    rng = np.random.default_rng(9)
+    first = [f"w{i}" for i in range(60)]
+    texts = [" ".join(f"x{k}" if j in rng.integers(0, 60, 4) else w for j, w in enumerate(first)) for k in range(150)] + SENTENCES
+    order = rng.permutation(len(texts))
+    docs = spark.createDataFrame([(int(i), texts[i]) for i in order], "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r.component_id for r in near_dedup.linked(docs, 4, 80).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(texts, 4)
+
+
+@pytest.mark.parametrize("extra", ["row", "rep", "kept", "held", "component_id", "n"])
+def test_near_dedup_leaves_columns_alone(spark, extra):
+    docs = frame(spark, [LONG[:900], LONG[:900].upper(), "x y"]).withColumn(extra, F.concat(F.lit("x"), "doc_id"))
+    out = near_dedup.deduplicated(docs)
+    assert out.columns == docs.columns and sorted((r.doc_id, r[extra]) for r in out.collect()) == [(0, "x0"), (2, "x2")]
+
+
 # --- decontamination ------------------------------------------------------------------------------------------
 def test_substituted_passages_are_found(spark, monkeypatch):
     items = [" ".join(f"q{k}w{i}" for i in range(n)) for k, n in enumerate((15, 30, 59, 7, 3))]

@@ -3,7 +3,8 @@
 Each text becomes its set of word shingles, hashed to 64 bits, and the set a sketch of 128 registers:
 the least hash in each of 128 buckets, kept as its count of leading zeros (6 bits) and the 10 bits after
 them. Empty registers take the value of the first filled one in a fixed order of their own, so short texts
-have full sketches as well. Texts with equal sets are one class and only its first document goes on. Bands
+have full sketches as well. Texts with equal sets are one class, which has a number of its own, and only one
+text of it goes on. Bands
 of 4 registers make candidates: classes that share a band. A pair's registers then give an estimate of its
 Jaccard similarity, corrected for registers that agree by chance; pairs far under the limit go, and the
 others are confirmed on the full sets.
@@ -15,11 +16,16 @@ two rounds leave open (documents that no bucket's first ones link) is compared e
 that open buckets chain together are dealt into blocks of about 256, and a task gets the sets of two blocks
 and returns only the links between components. So no link is given up and no pair is written but a link.
 
+The members of a bucket are never gathered to be compared with its first one: a bucket is summed up before it
+meets them, and the summaries of buckets with many members are sent to all tasks (a bounded number).
+
 With 32 bands a pair at similarity 0.8 shares none with probability under 1e-7.
 
 Defined results: a text without words has an empty set and is linked with nothing. A document without an id
 is linked with nothing, has no component and is kept. Rows that repeat an id each belong where their text
-belongs. Other columns are ignored.
+belongs, and component_id is the smallest id of all rows reached; rows that repeat an id and a text are one
+document, so both are kept or go. No rows give none. linked ignores other columns, deduplicated returns them
+untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,10 +36,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import cut, table
+from wickwork.llm.base import cut, met_by_key, table
 
 REGISTERS = 128
 BAND = 4
@@ -108,7 +114,7 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def sketched(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, s1, s2, regs): the size, two sums that stand for the set, and the registers as 64-bit words."""
+    """(doc_id, row, n, s1, s2, regs): the text's hash, the set's size, two sums that stand for it, and the registers as 64-bit words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,23 +125,28 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
                 s1.append(int(h.sum(dtype=np.uint64).view(np.int64)))
                 s2.append(int(_mix(h ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
                 regs.append(registers(h).view(np.int64) if len(h) else None)
-            columns = [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(regs, pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, ["doc_id", "n", "s1", "s2", "regs"])
+            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("row"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(regs, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, ["doc_id", "row", "n", "s1", "s2", "regs"])
+
+    return docs.select("doc_id", row_of("text"), "text").mapInArrow(run, "doc_id long, row long, n long, s1 long, s2 long, regs array<bigint>")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, regs array<bigint>")
+
+def row_of(text: str) -> Column:
+    """With doc_id this tells a row from any of another text."""
+    return F.xxhash64(text).alias("row")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, hashes)."""
+    """(rep, hashes) of docs with columns rep and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 piece = batch.slice(i, 500)
                 sets = [shingles(t, width).view(np.int64) for t in piece.column("text").cast(pa.binary()).to_pylist()]
-                yield pa.record_batch([piece.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "hashes"])
+                yield pa.record_batch([piece.column("rep"), pa.array(sets, pa.list_(pa.int64()))], ["rep", "hashes"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, hashes array<bigint>")
+    return docs.select("rep", "text").mapInArrow(run, "rep long, hashes array<bigint>")
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +181,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """The members of buckets that still hold several components, with the bucket's size and first member."""
-    spans = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("first"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
-    return cut(members.join(spans.select("bucket", "n", "first"), "bucket"), EDGES_PER_TASK)
+    """The members of buckets that still hold several components, with the bucket's size, first member and its component."""
+    spans = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("first"), F.min_by("comp", "rep").alias("lead"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    return cut(met_by_key(members, cut(spans.where("c0 < c1").drop("c0", "c1"), EDGES_PER_TASK), "bucket", "n"), EDGES_PER_TASK)
 
 
 def _pairs(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -180,8 +191,7 @@ def _pairs(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
     few, many = open_.where(F.col("n") <= SMALL_BUCKET), open_.where(F.col("n") > SMALL_BUCKET)
     x, y = few.select("bucket", F.col("rep").alias("a"), F.col("comp").alias("ca")), few.select("bucket", F.col("rep").alias("b"), F.col("comp").alias("cb"))
     pairs = x.join(y, "bucket").where("a < b and ca <> cb").select("a", "b")
-    lead = many.where("rep = first").select("bucket", F.col("comp").alias("lead"))
-    star = many.where("rep <> first").join(lead, "bucket").where("comp <> lead").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+    star = many.where("rep <> first and comp <> lead").select(F.col("first").alias("a"), F.col("rep").alias("b"))
     return pairs.union(star).distinct(), many.where("rep <> first").select("bucket", "rep")
 
 
@@ -218,24 +228,36 @@ def _rest(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     some = open_.select("rep", "comp").distinct().join(chain, F.col("rep") == F.col("id")).select("rep", "comp", "component")
     number = some.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = some.join(number, "component").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    met = dealt.join(sets.select(F.col("doc_id").alias("rep"), "hashes"), "rep")
+    met = dealt.join(sets, "rep")
     other = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keys = other.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "comp", "hashes")
     return keys.groupBy("component", "i", "j").applyInArrow(_between(percent), "a long, b long, same long")
 
 
-def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, class_id, component_id, kept, n_links (of its class, as far as confirmed)."""
+def _named(label: DataFrame, classes: DataFrame) -> DataFrame:
+    """label with the smallest doc_id of each component, the classes being numbered in no order."""
+    ids = label.union(label.select("component", "component")).distinct().toDF("rep", "component").join(classes.select("rep", "least"), "rep")
+    least = cut(ids.groupBy("component").agg(F.min("least").alias("doc"), F.count("*").alias("n")), EDGES_PER_TASK)
+    return met_by_key(ids.select("rep", "component"), least, "component", "n").select(F.col("rep").alias("id"), "doc")
+
+
+def _rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """linked, with the text's hash as row."""
     rows = cut(sketched(docs, width), ROWS_PER_TASK)
-    classes = cut(rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), EDGES_PER_TASK)
-    reps = rows.alias("r").join(classes.alias("c"), (F.col("r.doc_id") == F.col("c.rep")) & (F.col("r.s1") == F.col("c.s1")) & (F.col("r.s2") == F.col("c.s2")))
-    reps = reps.select("rep", "r.n", "regs").dropDuplicates(["rep"])
+    full = rows.where("n > 0 and doc_id is not null")
+    one = F.min(F.struct("doc_id", "row"))
+    classes = full.groupBy("s1", "s2", "n").agg(one.alias("one")).select("s1", "s2", "n", F.col("one.doc_id").alias("least"), F.col("one.row").alias("row"))
+    # a number of its own for each class: the same id may stand for several, by several texts
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()), EDGES_PER_TASK)
+    text = [F.col("x.doc_id") == F.col("c.least"), F.col("x.row") == F.col("c.row")]
+    reps = full.alias("x").join(classes.alias("c"), text).where("x.s1 = c.s1 and x.s2 = c.s2 and x.n = c.n").select("rep", "x.n", "regs").dropDuplicates(["rep"])
     buckets = reps.select("rep", F.posexplode("regs").alias("band", "key")).select("rep", F.xxhash64("band", "key").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = cut(buckets.join(shared, "bucket"), EDGES_PER_TASK)
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = cut(met_by_key(buckets, cut(shared, EDGES_PER_TASK), "bucket", "n").select("rep", "bucket"), EDGES_PER_TASK)
     some = members.select("rep").distinct()
     registers_of = cut(reps.join(some, "rep"), ROWS_PER_TASK)
-    sets = cut(shingle_sets(docs.join(some.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), SETS_PER_TASK)
+    texts = docs.select("doc_id", row_of("text"), "text").alias("x").join(classes.join(some, "rep").alias("c"), text).select("rep", "text")
+    sets = cut(shingle_sets(texts, width).dropDuplicates(["rep"]), SETS_PER_TASK)
     links = docs.sparkSession.createDataFrame([], "a long, b long, same long")
     label, members = links.select(F.col("a").alias("id"), F.col("b").alias("component")), members.withColumn("comp", F.col("rep"))
     for turn in range(ROUNDS + 1):
@@ -248,28 +270,42 @@ def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
             pairs, left = _pairs(open_)
             side = lambda c: registers_of.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}"))
             near = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_near, "a long, b long")
-            of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("hashes").alias(f"set_{c}"))
+            of = lambda c: sets.select(F.col("rep").alias(c), F.col("hashes").alias(f"set_{c}"))
             met = near.join(of("b"), "b").join(of("a"), "a").select("a", "b", (F.size("set_a") + F.size("set_b")).alias("both"), F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("same"))
             found = cut(met.where(100 * F.col("same") >= percent * (F.col("both") - F.col("same"))).select("a", "b", "same"), EDGES_PER_TASK)
         links = links.union(found)
-        label = components(links)
+        label = _joined(label, found)
         if left is not None:
             members = left.join(label, left["rep"] == label["id"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    known = classes.alias("c").join(label.alias("l"), F.col("c.rep") == F.col("l.id"), "left").join(ends.alias("e"), F.col("c.rep") == F.col("e.id"), "left")
-    known = known.select("s1", "s2", "c.n", "rep", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = rows.where("n > 0 and doc_id is not null").alias("r").join(known.alias("k"), ["s1", "s2", "n"])
-    out = out.select("doc_id", "n", "rep", "component", "n_links")
-    alone = rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("rep"), F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("n_links"))
+    known = classes.alias("c").join(_named(label, classes).alias("l"), F.col("c.rep") == F.col("l.id"), "left").join(ends.alias("e"), F.col("c.rep") == F.col("e.id"), "left")
+    known = known.select("s1", "s2", "c.n", "least", F.coalesce("doc", "least").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    out = full.select("doc_id", "row", "s1", "s2", "n").join(known, ["s1", "s2", "n"]).select("doc_id", "row", "n", "least", "component", "n_links")
+    alone = rows.where("n = 0 or doc_id is null").select("doc_id", "row", "n", F.col("doc_id").alias("least"), F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("n_links"))
     return out.union(alone).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"), "n_links"
+        "doc_id", "row", F.col("n").alias("n_shingles"), F.col("least").alias("class_id"), F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"), "n_links"
     )
 
 
+def _joined(label: DataFrame, found: DataFrame) -> DataFrame:
+    """label, (id, component) for the ids that are linked, with more links: only its components are linked anew."""
+    known = lambda links, c: links.join(label.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")), c, "left")
+    ends = known(known(found.select("a", "b"), "a"), "b").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    new = components(ends).toDF("old", "new")
+    moved = label.join(new, label["component"] == new["old"], "left").select("id", F.coalesce("new", "component").alias("component"))
+    return cut(moved.union(new.join(label, new["old"] == label["id"], "left_anti")), EDGES_PER_TASK)
+
+
+def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per row: doc_id, n_shingles, class_id, component_id, kept, n_links (of its class, as far as confirmed)."""
+    return _rows(docs, width, percent).drop("row")
+
+
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that stay: one document of each component."""
-    gone = linked(docs, width, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = _rows(docs, width, percent).where("not kept").select("doc_id", "row").distinct()
+    held = docs.select(F.struct(*docs.columns).alias("held"), "doc_id", row_of("text"))
+    return held.join(gone, ["doc_id", "row"], "left_anti").select("held.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
