@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import collections
 import zlib
 
 import numpy as np
 
 import corpus_pipeline
 from tests.conftest import SMALL
-from wickwork.llm import decontamination, near_dedup
+from wickwork.llm import decontamination, mixing, near_dedup, quality_rules
 from wickwork.llm.base import table
 
 
-def test_stages(spark, tmp_path):
+def test_stages(spark, duck, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -24,6 +25,13 @@ def test_stages(spark, tmp_path):
         assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == before
     quality, near, clean, mixed, tokens = rows.values()
     assert 0 < len(clean) <= len(near) < len(quality) < table(spark, SMALL, "documents").count()
+    # quality: the verdicts that SQL gives
+    kept = duck.execute("with " + quality_rules.SQL_COUNTED.replace("{documents}", "documents") + "select doc_id from judged where kept").fetchall()
+    assert sorted(r.doc_id for r in quality) == sorted(x[0] for x in kept)
+    # mixing: as many words of each document as SQL takes of the stage's own input
+    sql = mixing.SQL.replace("from documents", f"from read_parquet('{tmp_path}/decontamination/*.parquet')")
+    taken = {r[0]: r[4] // r[1] for r in duck.execute(f"select doc_id, size, source_size, target, taken from ({sql})").fetchall() if r[1]}
+    assert collections.Counter(r.doc_id for r in mixed) == collections.Counter(taken)
     sets = [set(near_dedup.shingles(r.text.encode(), 5).tolist()) for r in near]
     for i, a in enumerate(sets):
         for b in sets[:i]:

@@ -3,7 +3,8 @@
 A seed is a fixed mask over ten consecutive words of which seven or eight count, so a window still matches where a
 word at an ignored place was replaced. The hashes of all windows of the test items, one table for each
 mask, meet the hashes of all windows of every text: a hash join whose test side is sent to the tasks in
-blocks of bounded size, so the texts are neither shuffled nor dealt by key, however common a passage is. A
+blocks, so the texts are neither shuffled nor dealt by key, however common a passage is. All blocks are held by
+a task at once, about 600 bytes a word of the test items: the test side has to fit, at a million words 0.6 GB. A
 hit fixes how text and item lie to each other; then their words are compared along the whole item, and the
 best stretch (a match counts 1, a replaced word -2) decides. A text is contaminated by an item if that
 stretch has 13 equal words, or 7 in 10 of the item's if that is less.
@@ -11,8 +12,8 @@ stretch has 13 equal words, or 7 in 10 of the item's if that is less.
 Items of 5 to 9 words are looked up whole; shorter ones say nothing and match nothing.
 
 Defined results: null or empty texts and items match nothing. Items that repeat count once each; of equal
-matches the smallest item_id is reported. With no items nothing is contaminated. Other columns of the
-documents pass through.
+matches the smallest item_id is reported. With no items nothing is contaminated, with no documents there are no
+rows; rows that repeat are judged alike. Other columns of the documents pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -130,39 +131,42 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield Items(held)
 
 
+MARK = T.StructType([T.StructField(f, T.LongType()) for f in ("item_id", "equal", "words", "items")])
+
+
 def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with a column ``leak_mark``: null, or the best item, its equal words and length, and the number of items."""
-    mark = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("equal", T.LongType()), T.StructField("words", T.LongType()), T.StructField("items", T.LongType())])
-    kind = pa.struct([(f, pa.int64()) for f in mark.names])
-    out = docs.withColumn(LEAK, F.lit(None).cast(mark))
-    for items in _blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                marks = []
-                for text, old in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column(LEAK).to_pylist(), strict=True):
-                    found = sent.value.matches(hashed_words(text))
-                    if found:
-                        best = min([found[0], *([(old["item_id"], old["equal"], old["words"])] if old else [])], key=lambda x: (-x[1], x[0]))
-                        old = dict(zip(mark.names, (*best[:3], len(found) + (old["items"] if old else 0)), strict=True))
-                    marks.append(old)
-                i = batch.schema.get_field_index(LEAK)
-                yield batch.set_column(i, LEAK, pa.array(marks, kind))
-
-        out = out.mapInArrow(run, out.schema)
-    return out
+    """(row: docs' row, leak_mark): null, or the best item, its equal words and length, and the number of items.
+
+    All blocks are looked up in one pass over the texts, whose words are hashed once.
+    """
+    context = docs.sparkSession.sparkContext
+    blocks = [context.broadcast(items) for items in _blocks(benchmark)]
+    kind = pa.struct([(f, pa.int64()) for f in MARK.names])
+
+    def mark(text: bytes | None) -> dict | None:
+        words = hashed_words(text)
+        found = [m for block in blocks for m in block.value.matches(words)]
+        best = min(found, key=lambda x: (-x[1], x[0]), default=None)
+        return best and dict(zip(MARK.names, (*best[:3], len(found)), strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("row").field("text").cast(pa.binary()).to_pylist()
+            yield pa.record_batch([batch.column("row"), pa.array(list(map(mark, texts)), kind)], ["row", LEAK])
+
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(LEAK, MARK)]))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that no item contaminates."""
-    return marked(docs, benchmark).where(F.col(LEAK).isNull()).select(*docs.columns)
+    return marked(docs, benchmark).where(F.col(LEAK).isNull()).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = marked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     leak = F.col(LEAK)
     return m.select(
-        "doc_id", leak.isNotNull().alias("contaminated"), leak["item_id"].alias("item_id"), F.coalesce(leak["items"], F.lit(0)).cast("long").alias("n_items"),
+        "row.doc_id", leak.isNotNull().alias("contaminated"), leak["item_id"].alias("item_id"), F.coalesce(leak["items"], F.lit(0)).cast("long").alias("n_items"),
         F.coalesce(leak["equal"], F.lit(0)).cast("long").alias("equal_words"), leak["words"].alias("item_words"),
     )

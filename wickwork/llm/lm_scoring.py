@@ -12,11 +12,13 @@ search and returns sums by text. The number of shards follows the training token
 SHARD_TOKENS whatever the corpus; a word with more than a quarter of that is split by the context, and its
 count is sent to every task (at most four words a shard).
 
-VOCABULARY is for models of a fixed size: the bigrams then know the commonest words only (all of a common
-count or none) and take any other for the class "rare", whose share is divided by the unigram model.
+A bigram's rows in a shard are settled in chunks: first all rows are counted, a chunk of CHUNK bigrams at a
+time, then the trie is built and each chunk is looked up in it. A task keeps its rows packed, as they came, and
+unpacks one chunk at a time, so what grows with a hot word's texts are bytes that the shuffle has brought.
 
 Defined results: a null text is empty and has one token, the end. Without training texts every count is 0.
-A null id counts as the empty text. Rows that repeat an id are texts of their own. Other columns are ignored.
+A null id counts as the empty text. Rows that repeat an id are texts of their own, no rows give none. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,19 +36,20 @@ from wickwork.llm.base import cut, table
 from wickwork.llm.elias_fano import Map, Sequence
 
 HASH_BITS = 63
-VOCABULARY: int | None = None
 MU = 1000.0
 SHARD_TOKENS = 2_000_000
 BATCH_DOCS, BATCH_BYTES = 1024, 2_000_000
 DOC_BITS = 10
-BIGRAMS, RARES, ABOUT = 0, 1, 2
+BIGRAMS, ABOUT = 0, 1
+#: Bigrams (with their texts) that a task unpacks at a time.
+CHUNK = 2_000_000
 
 
 def _hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) >> (64 - HASH_BITS)
 
 
-START, END, RARE = (_hash(name) for name in (b" start", b" end", b" rare"))  # no word has a space
+START, END = (_hash(name) for name in (b" start", b" end"))  # no word has a space
 
 
 def held_out(doc_id: Column) -> Column:
@@ -100,15 +103,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Totals:
-    """The totals of the unigram model, the counts of words that are split, and the known words if the model's size is fixed."""
+    """The totals of the unigram model, and the counts of words that are split."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, docs: int, tokens: int, types: int, rare: tuple[int, int], known: np.ndarray | None) -> None:
-        self.docs, self.tokens, self.known = docs, tokens, None if known is None else np.sort(known)
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, docs: int, tokens: int, types: int) -> None:
+        self.docs, self.tokens = docs, tokens
         self.whole = float(tokens + types + 1)
         self.shards = max(1, -(-tokens // SHARD_TOKENS))
-        # hash -> c + 1 (of the class: of all that it may hold) and c as context
-        special = np.array([START, END, RARE], np.uint64)
-        hashes, plus_one, as_context = (np.concatenate(x) for x in ((special, hashes), ([1, docs + 1, sum(rare) + 1], counts + 1), ([docs, 0, rare[0]], counts)))
+        # hash -> c + 1 and c as context
+        hashes, plus_one, as_context = (np.concatenate(x) for x in ((np.array([START, END], np.uint64), hashes), ([1, docs + 1], counts + 1), ([docs, 0], counts)))
         order = np.argsort(hashes)
         self.special, self.plus_one, self.as_context = hashes[order], plus_one[order].astype(float), as_context[order].astype(float)
         self.parts = np.maximum(1, -(-4 * plus_one[order].astype(np.int64) // SHARD_TOKENS)).astype(np.uint64)
@@ -118,11 +120,6 @@ class Totals:
         at = np.minimum(np.searchsorted(self.special, h), len(self.special) - 1)
         return at, self.special[at] == h
 
-    def is_known(self, h: np.ndarray) -> np.ndarray:
-        if self.known is None or not len(self.known):
-            return np.full(len(h), self.known is None)
-        return self.known[np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)] == h
-
     def shard(self, hashes: np.ndarray, word: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Of bigrams, whose words and contexts are places in hashes."""
         at, special = self.find(hashes)
@@ -134,14 +131,6 @@ class Totals:
         return out
 
 
-def _grouped(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (value, doc), sorted, with how often each came."""
-    order = np.lexsort((doc, values))
-    values, doc = values[order], doc[order]
-    first = np.flatnonzero(np.concatenate([[True], (values[1:] != values[:-1]) | (doc[1:] != doc[:-1])])) if len(values) else np.empty(0, np.intp)
-    return values[first], doc[first], np.diff(np.append(first, len(values)))
-
-
 def _by_shard(shard: np.ndarray, shards: int) -> Iterator[np.ndarray]:
     """The places of each shard that occurs, in order."""
     order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
@@ -155,7 +144,7 @@ def _steps(x: np.ndarray) -> np.ndarray:
 
 
 def _packed(hashes: np.ndarray, word: np.ndarray, context: np.ndarray, doc: np.ndarray, count: np.ndarray) -> bytes:
-    """Bigrams sorted by word: the distinct words with how many bigrams each has, the distinct contexts, and the bigrams."""
+    """Bigrams sorted by word: the distinct words with how many bigrams each has, the distinct contexts, and the bigrams (count: twice the count, plus 1 if the text trains)."""
     first = np.flatnonzero(np.diff(word, prepend=-1))
     contexts, of = np.unique(context, return_inverse=True)
     sizes = np.array([len(first), len(contexts), len(word)], "<u4").tobytes()
@@ -191,12 +180,9 @@ def _rows(sent):
                 words = [_words(x) for x in piece.column("text").cast(pa.binary()).to_pylist()]
                 n = np.array([len(w) for w in words])
                 h = np.fromiter((_hash(w) for doc in words for w in doc), np.uint64, int(n.sum()))
-                doc = np.repeat(np.arange(len(n)), n)
-                rare = np.zeros(len(h), bool) if t.known is None else ~t.is_known(h)
-                hashes, ids = np.unique(np.concatenate([np.array([START, END], np.uint64), np.where(rare, np.uint64(RARE), h)]), return_inverse=True)
+                hashes, ids = np.unique(np.concatenate([np.array([START, END], np.uint64), h]), return_inverse=True)
                 start, stop, ids = ids[0], ids[1], ids[2:]
                 train = ~np.asarray(piece.column("held_out").to_numpy(zero_copy_only=False), bool)
-                head = np.packbits(train, bitorder="little").tobytes().ljust(1 << (DOC_BITS - 3), b"\0")
                 # every text as start, words, end
                 follow = np.insert(ids, np.cumsum(n), stop)
                 before = np.concatenate([[start], follow[:-1]])
@@ -211,17 +197,11 @@ def _rows(sent):
                 w, v = (key >> np.uint64(bits + DOC_BITS)).astype(np.int64), (key >> np.uint64(DOC_BITS) & np.uint64((1 << bits) - 1)).astype(np.int64)
                 shard = t.shard(hashes, w, v)
                 for i in _by_shard(shard, t.shards):
-                    out.append((int(shard[i[0]]), BIGRAMS, head + _packed(hashes, w[i], v[i], d[i], c[i])))
-                if rare.any():
-                    x, d, c = _grouped(h[rare], doc[rare])
-                    shard = (x % np.uint64(t.shards)).astype(np.int32)
-                    for i in _by_shard(shard, t.shards):
-                        out.append((int(shard[i[0]]), RARES, head + planes(_steps(x[i]), 8) + planes(d[i], 2) + planes(c[i], 4)))
+                    out.append((int(shard[i[0]]), BIGRAMS, _packed(hashes, w[i], v[i], d[i], 2 * c[i] + train[d[i]])))
                 # what the special words add; the others' counts are known to their shards
                 place, special = t.find(hashes)
-                plain = special & (hashes != np.uint64(RARE))
-                base = np.bincount(of, np.where(plain, np.log10(t.plus_one[place] / t.whole), 0)[follow], len(n))
-                known = np.bincount(of, (plain & (t.plus_one[place] > 1))[follow], len(n))
+                base = np.bincount(of, np.where(special, np.log10(t.plus_one[place] / t.whole), 0)[follow], len(n))
+                known = np.bincount(of, (special & (t.plus_one[place] > 1))[follow], len(n))
                 score = -np.bincount(of, np.where(special, np.log10(t.as_context[place] + MU), 0)[before], len(n))
                 facts = pa.table({"doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"), "n_tokens": n + 1, "known": known.astype(np.int64), "base": base, "score": score})
                 sink = pa.BufferOutputStream()
@@ -233,6 +213,14 @@ def _rows(sent):
     return run
 
 
+def _summed(word: np.ndarray, context: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (word, context) in order with the sums of their counts."""
+    order = np.lexsort((context, word))
+    word, context = word[order], context[order]
+    first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1])])) if len(word) else np.empty(0, np.intp)
+    return word[first], context[first], np.add.reduceat(count[order], first) if len(first) else count[:0]
+
+
 class Trie:
     """The bigrams of a shard, reversed: words, pointers to the contexts they follow, and quantised values."""
 
@@ -279,54 +267,63 @@ class Trie:
 def _sums(sent):
     """The rows of each shard to sums by text: rows (batch, kind, data)."""
 
-    def of_bigrams(t: Totals, rows: list[tuple[int, bytes]]) -> list[np.ndarray]:
-        head, parts = 1 << (DOC_BITS - 3), []
+    def chunks(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
+        """Rows that hold about CHUNK bigrams together, with the place of the first."""
+        first = n = 0
+        for k, (_, data) in enumerate(rows):
+            n += int(np.frombuffer(data, "<u4", 1, 8)[0])
+            if n >= CHUNK or k == len(rows) - 1:
+                yield first, rows[first : k + 1]
+                first, n = k + 1, 0
+
+    def opened(rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, ...]:
+        """Of a chunk's bigrams: the distinct words and contexts, each bigram's places in them, its text, count, and whether it trains."""
+        parts = []
         for k, (_, data) in enumerate(rows):
-            words, sizes, contexts, context, d, c = _unpacked(memoryview(data)[head:])
-            train = np.unpackbits(np.frombuffer(data, np.uint8, head), bitorder="little")[d].astype(bool)
-            parts.append((words, sizes, contexts, context, (d + (k << DOC_BITS)).astype(np.int32), c, train))
+            words, sizes, contexts, context, d, c = _unpacked(memoryview(data))
+            parts.append((words, sizes, contexts, context, (d + (k << DOC_BITS)).astype(np.int32), c >> 1, (c & 1).astype(bool)))
         words, word = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         contexts, context = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
         starts = np.cumsum([0, *(len(p[2]) for p in parts)])
         word = np.repeat(word, np.concatenate([p[1] for p in parts]))
         context = np.concatenate([context[a + p[3]] for a, p in zip(starts, parts, strict=False)])
-        doc, count, train = (np.concatenate([p[i] for p in parts]) for i in (4, 5, 6))
-        del parts
-        width = max(len(contexts), 1)
-        pairs, place = np.unique(word * width + context, return_inverse=True)
-        del context
-        seen = np.bincount(place[train], count[train], len(pairs))
-        at, special = t.find(words)
-        c = np.where(special, 0, np.bincount(word[train], count[train], len(words)))
-        prior = MU * np.where(special, t.plus_one[at], c + 1) / t.whole
-        w, v = pairs // width, pairs % width
-        some = np.flatnonzero(seen)
-        (w_in, w_of), (v_in, v_of) = (np.unique(x[some], return_inverse=True) for x in (w, v))
-        value = Trie(words[w_in], contexts[v_in], w_of, v_of, np.log10(seen[some] + prior[w[some]])).find(words, contexts, w, v)
-        new = np.isnan(value)
-        value[new] = np.log10(prior[w[new]])
-        alone = [np.where(special, 0, x)[word] for x in (np.log10(c + MU), np.log10((c + 1) / t.whole), c > 0)]
-        return [np.bincount(doc, count * x, len(rows) << DOC_BITS) for x in (value[place] - alone[0], alone[1], alone[2])]
-
-    def of_rares(t: Totals, rows: list[tuple[int, bytes]]) -> list[np.ndarray]:
-        head, parts = 1 << (DOC_BITS - 3), []
-        for k, (_, data) in enumerate(rows):
-            view = memoryview(data)[head:]
-            n = len(view) // 14
-            d = unplaned(view[8 * n :], 2, n).astype(np.int32)
-            train = np.unpackbits(np.frombuffer(data, np.uint8, head), bitorder="little")[d].astype(bool)
-            parts.append((np.cumsum(unplaned(view, 8, n), dtype=np.uint64), d + (k << DOC_BITS), unplaned(view[10 * n :], 4, n).astype(np.int64), train))
-        key, doc, count, train = (np.concatenate(x) for x in zip(*parts, strict=True))
-        distinct, place = np.unique(key, return_inverse=True)
-        c = np.bincount(place[train], count[train], len(distinct))
-        of_class = t.plus_one[t.find(np.array([RARE], np.uint64))[0]]
-        return [np.bincount(doc, count * x[place], len(rows) << DOC_BITS) for x in (np.log10((c + 1) / of_class), np.log10((c + 1) / t.whole), c > 0)]
-
-    def settle(kind: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
-        score, base, known = (of_bigrams if kind == BIGRAMS else of_rares)(sent.value, rows)
-        for k, (name, _) in enumerate(rows):
-            here = slice(k << DOC_BITS, (k + 1) << DOC_BITS)
-            yield name, kind, score[here].tobytes() + base[here].tobytes() + planes(known[here].astype(np.int64), 4)
+        return words, contexts, word, context, *(np.concatenate([p[i] for p in parts]) for i in (4, 5, 6))
+
+    def counted(rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct bigrams of training texts in order: word, context, count."""
+        total = None
+        for _, some in chunks(rows):
+            words, contexts, word, context, _, count, train = opened(some)
+            width = max(len(contexts), 1)
+            pairs, place = np.unique((word * width + context)[train], return_inverse=True)
+            new = words[pairs // width], contexts[pairs % width], np.bincount(place, count[train], len(pairs))
+            total = new if total is None else _summed(*(np.concatenate(x) for x in zip(total, new, strict=True)))
+        return total
+
+    def settle(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+        t = sent.value
+        w, v, seen = counted(rows)
+        (words, word), (contexts, context) = (np.unique(x, return_inverse=True) for x in (w, v))
+        c = np.bincount(word, seen, len(words))
+
+        def plus_one(h: np.ndarray) -> np.ndarray:
+            """c + 1 of words, all of whose bigrams are here unless their counts are known to all tasks."""
+            at, special = t.find(h)
+            i = np.minimum(np.searchsorted(words, h), max(len(words) - 1, 0))
+            here = np.where(words[i] == h, c[i], 0) if len(words) else np.zeros(len(h))
+            return np.where(special, t.plus_one[at], here + 1)
+
+        trie = Trie(words, contexts, word, context, np.log10(seen + MU * plus_one(words)[word] / t.whole))
+        for _, some in chunks(rows):
+            h, contexts_, word, context, doc, count, _ = opened(some)
+            value, own, special = trie.find(h, contexts_, word, context), plus_one(h), t.find(h)[1]
+            new = np.isnan(value)
+            value[new] = np.log10(MU * own / t.whole)[word[new]]
+            alone = [np.where(special, 0, x)[word] for x in (np.log10(own - 1 + MU), np.log10(own / t.whole), own > 1)]
+            score, base, known = (np.bincount(doc, count * x, len(some) << DOC_BITS) for x in (value - alone[0], alone[1], alone[2]))
+            for k, (name, _) in enumerate(some):
+                here = slice(k << DOC_BITS, (k + 1) << DOC_BITS)
+                yield name, BIGRAMS, score[here].tobytes() + base[here].tobytes() + planes(known[here].astype(np.int64), 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -338,13 +335,13 @@ def _sums(sent):
                 if kind == ABOUT:
                     yield packed([(name, kind, data)])
                     continue
-                if at != (shard, kind):
+                if at != shard:
                     if rows:
-                        yield packed(list(settle(at[1], rows)))
-                    at, rows = (shard, kind), []
+                        yield packed(list(settle(rows)))
+                    at, rows = shard, []
                 rows.append((name, data))
         if rows:
-            yield packed(list(settle(at[1], rows)))
+            yield packed(list(settle(rows)))
 
     return run
 
@@ -385,19 +382,8 @@ def totals(train: DataFrame) -> Totals:
     docs = train.count()
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     hot = counts.where(F.col("n") > SHARD_TOKENS / 4)  # at most four a shard
-    known, rare = None, (0, 0)
-    if VOCABULARY is not None:
-        by_count = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).collect()  # at most 65,536 rows
-        least, words = 1 << 62, 0
-        for r in by_count:
-            words += r.words
-            if words > VOCABULARY:
-                break
-            least = r.n
-        left = counts.where(F.col("n") < least).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-        known, rare, hot = np.asarray(counts.where(F.col("n") >= least).select("h").toArrow()["h"], np.int64).astype(np.uint64), (left.n, left.v), hot.where(F.col("n") >= least)
     found = hot.toArrow()
-    return Totals(np.asarray(found["h"], np.int64).astype(np.uint64), np.asarray(found["n"], np.int64), docs, total.n + docs, total.v + (docs > 0), rare, known)
+    return Totals(np.asarray(found["h"], np.int64).astype(np.uint64), np.asarray(found["n"], np.int64), docs, total.n + docs, total.v + (docs > 0))
 
 
 def scored(docs: DataFrame) -> DataFrame:

@@ -1,15 +1,22 @@
 """PII: format-preserving pseudonyms from a keyed Feistel network.
 
-Values are found by pattern and validated (Luhn for cards, ranges for social security numbers and
-addresses, the calendar for dates; phone numbers may have any area code and exchange); each is a number
-in the domain of its format, and the network permutes that domain under a key. The result has the same
-format and passes the same validation, equal values get equal pseudonyms in every document, different
-ones stay different, and the key's holder can turn them back. Letters and digits of mail addresses and
-secrets are permuted in their own alphabets.
+A text is read once from left to right and each value found belongs to one kind: mail addresses, secrets
+(values after password=, secret=, token=, api_key= or the like; keys that begin with AKIA or sk-), phone
+numbers, cards, dates, social security numbers and IPv4 addresses. Numbers are validated (Luhn for cards, ranges
+for social security numbers and addresses, the calendar for dates of 1900 to 2099; phone numbers may have any area
+code and exchange). A value is a number in the domain of its format, and the network permutes that domain under a
+key. The result has the same format and passes the same validation, equal values get equal pseudonyms in every
+document and different ones different. A pseudonym is found where its value was and as the same kind, so the key's
+holder can turn texts back. A mail address's local part is permuted as a whole, each character within its class
+(small letter, capital, digit), and so are its host and any secret that isn't hexadecimal.
+
+Not covered: names, postal addresses, phone numbers without separators or of other countries' forms, IBAN, IPv6,
+other secrets. A part of one or two letters has a small domain: it is hidden from readers, not from guessing.
 
 Texts are rewritten where they lie: no shuffle and no table of values.
 
-Defined results: null stays null, and a text without values stays as it is. Other columns are ignored.
+Defined results: null stays null, and a text without values stays as it is, however long. Rows that repeat are
+rewritten alike, no rows give none. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ import datetime
 import hashlib
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -32,16 +39,21 @@ LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTU
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 # The patterns. Named groups are the kinds.
-WITH_DIGITS = re.compile(
-    r"(?<![\w.+-])(?:"
+SECRET_NAME = r"(?i:password|passwd|pwd|secret|api_key|apikey|access_token|token)"
+PATTERN = re.compile(
+    r"(?P<email>(?<![\w.+-])(?P<local>[A-Za-z0-9._%+-]+)@(?P<host>(?:[A-Za-z0-9-]+\.)+)[A-Za-z]{2,}(?!\w))"
+    r"|(?P<secret>\b(?:"
+    r"(?P<name>" + SECRET_NAME + r"\s*[=:]\s*[\"']?)(?:(?P<hex>[0-9a-f]{8,}|[0-9A-F]{8,})(?![\w&!@#$%^*+~-])|(?P<word>(?=[A-Za-z&!@#$%^*_+~-]*[0-9])(?=[0-9&!@#$%^*_+~-]*[A-Za-z])[\w&!@#$%^*+~-]{8,}))"
+    r"|(?P<key>AKIA)(?P<tail>[0-9A-Z]{16})\b|sk-(?P<sk>[A-Za-z0-9]{16,})\b))"
+    r"|(?<![\w.+-])(?:"
     r"(?P<phone>(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})"
-    r"|(?P<card>\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5})"
-    r"|(?P<date>\d{4}-\d\d-\d\d|\d\d[/.]\d\d[/.]\d{4})"
-    r"|(?P<ssn>\d{3}-\d\d-\d{4})"
-    r"|(?P<ip>\d{1,3}(?:\.\d{1,3}){3}(?!\.\d)))(?!\w)"
+    r"|(?P<card>[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
+    r"|(?P<date>[0-9]{4}-[0-9][0-9]-[0-9][0-9]|[0-9][0-9](?P<sep>[/.])[0-9][0-9](?P=sep)[0-9]{4})"
+    r"|(?P<ssn>[0-9]{3}-[0-9][0-9]-[0-9]{4})"
+    r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])))(?!\w)"
 )
-EMAIL = re.compile(r"(?<![\w.+-])([A-Za-z0-9._%+-]+)@((?:[A-Za-z0-9-]+\.)+)([A-Za-z]{2,})(?!\w)")
-SECRET = re.compile(r"(?P<key>\bAKIA)(?P<tail>[0-9A-Z]{16})\b|(?P<name>\b(?:password|passwd|secret|api_key|token)\s*[=:]\s*[\"']?)(?P<hex>[0-9a-f]{8,})\b", re.IGNORECASE)
+#: What every value holds.
+SIGN = re.compile(r"[@0-9]")
 
 
 class Feistel:
@@ -69,19 +81,25 @@ class Feistel:
             if x < n:
                 return x
 
-    def text(self, tag: str, s: str, alphabet: str, back: bool = False) -> str:
-        """s, whose characters are all in alphabet, permuted among the texts of its length."""
+    def text(self, tag: str, s: str, alphabets: Sequence[str], back: bool = False) -> str:
+        """s, whose characters are each in the alphabet of their place, permuted among all such texts."""
         if not s:
             return s
-        x, k = 0, len(alphabet)
-        for c in s:
-            x = x * k + alphabet.index(c)
-        x, out = self.permute(tag, k ** len(s), x, back), []
-        for _ in s:
-            x, c = divmod(x, k)
-            out.append(alphabet[c])
+        x, n, out = 0, 1, []
+        for c, a in zip(s, alphabets, strict=True):
+            x, n = x * len(a) + a.index(c), n * len(a)
+        x = self.permute(tag, n, x, back)
+        for a in reversed(alphabets):
+            x, c = divmod(x, len(a))
+            out.append(a[c])
         return "".join(reversed(out))
 
+    def classes(self, tag: str, s: str, back: bool = False) -> str:
+        """Small letters, capitals and digits of s, each within its class and all together; other characters stay."""
+        own = [next((a for a in (LOWER, UPPER, DIGITS) if c in a), c) for c in s]
+        form = "".join(a[0] for a in own)
+        return self.text(f"{tag} {form}", s, own, back)
+
 
 def _filled(form: str, digits: str) -> str:
     """form with its digits replaced in order."""
@@ -102,7 +120,7 @@ def card(f: Feistel, s: str, back: bool) -> str | None:
     d = _digits(s)
     if luhn(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
         return None
-    body = d[0] + f.text("card", d[1:-1], DIGITS, back)
+    body = d[0] + f.text("card", d[1:-1], [DIGITS] * (len(d) - 2), back)
     return _filled(s, body + str(luhn(body)))
 
 
@@ -160,36 +178,48 @@ def date(f: Feistel, s: str, back: bool) -> str | None:
 VALUES: dict[str, Callable[[Feistel, str, bool], str | None]] = {"card": card, "phone": phone, "ssn": ssn, "ip": ip, "date": date}
 
 
-def _by_alphabet(f: Feistel, tag: str, s: str, back: bool) -> str:
-    """Runs of lower-case letters, capitals and digits are permuted each among the runs of their kind and length."""
-    return re.sub("[a-z]+|[A-Z]+|[0-9]+", lambda m: f.text(tag, m[0], LOWER if m[0][0] in LOWER else UPPER if m[0][0] in UPPER else DIGITS, back), s)
+def _walked(step: Callable[[str], str], s: str, fits: Callable[[str], bool]) -> str:
+    """step again and again until the result fits, as s does; the inverse step then leads back."""
+    s = step(s)
+    while not fits(s):
+        s = step(s)
+    return s
+
+
+def hexadecimal(f: Feistel, s: str, back: bool) -> str:
+    small = s.lower() == s  # digits alone count as small
+    alphabet = HEX if small else HEX.upper()
+    return _walked(lambda x: f.text("hex" if small else "HEX", x, [alphabet] * len(x), back), s, lambda x: small or x.lower() != x)
+
+
+def email(f: Feistel, m: re.Match, back: bool) -> str:
+    return f"{f.classes('mail', m['local'], back)}@{f.classes('host', m['host'], back)}{m[0][len(m['local']) + 1 + len(m['host']) :]}"
+
+
+def secret(f: Feistel, m: re.Match, back: bool) -> str:
+    if m["key"]:
+        return m["key"] + f.text("key", m["tail"], [DIGITS + UPPER] * 16, back)
+    if m["sk"]:
+        return "sk-" + f.classes("sk", m["sk"], back)
+    if m["hex"]:
+        return m["name"] + hexadecimal(f, m["hex"], back)
+    # must not become hexadecimal, or it would be turned back as such
+    return m["name"] + _walked(lambda x: f.classes("word", x, back), m["word"], lambda x: not re.fullmatch("[0-9a-f]{8,}|[0-9A-F]{8,}", x))
 
 
 def rewrite(f: Feistel, text: str, counts: dict[str, int] | None = None, back: bool = False) -> str:
     """text with its values replaced; with back, pseudonyms turned into the values again."""
 
-    def seen(kind: str, new: str) -> str:
+    def value(m: re.Match) -> str:
+        kind = next(k for k in KINDS if m[k])
+        new = email(f, m, back) if kind == "email" else secret(f, m, back) if kind == "secret" else VALUES[kind](f, m[0], back)
+        if new is None:
+            return m[0]
         if counts is not None:
             counts[kind] = counts.get(kind, 0) + 1
         return new
 
-    def number(m: re.Match) -> str:
-        kind = next(k for k in VALUES if m[k])
-        new = VALUES[kind](f, m[0], back)
-        return m[0] if new is None else seen(kind, new)
-
-    def email(m: re.Match) -> str:
-        return seen("email", f"{_by_alphabet(f, 'mail', m[1], back)}@{_by_alphabet(f, 'host', m[2], back)}{m[3]}")
-
-    def secret(m: re.Match) -> str:
-        if m["key"]:
-            return seen("secret", m["key"] + f.text("key", m["tail"].upper(), DIGITS + UPPER, back))
-        return seen("secret", m["name"] + f.text("hex", m["hex"].lower(), HEX, back))
-
-    text = SECRET.sub(secret, text)
-    if "@" in text:
-        text = EMAIL.sub(email, text)
-    return WITH_DIGITS.sub(number, text) if re.search("[0-9]", text) else text
+    return PATTERN.sub(value, text) if SIGN.search(text) or re.search(SECRET_NAME, text) else text
 
 
 def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
