@@ -57,6 +57,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing will read again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def met_by_key(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
     """rows joined with table, which has one row a key, by key; weight is how many of the rows hold it.
 
