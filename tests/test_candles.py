@@ -122,7 +122,7 @@ def test_samples_are_bounded(spark):
     df = bars(spark, 200, change=low)
     assert found(df)["OHLC_LOW_TOO_HIGH"][1] == 200
     assert len(validate.samples(df).where("code = 'OHLC_LOW_TOO_HIGH'").first().samples) == 5
-    assert "OHLC_LOW_TOO_HIGH: 200" in validate.report_text(validate.issues(df), validate.envelope(df))
+    assert "OHLC_LOW_TOO_HIGH: 200 lows are above open or close" in validate.report_text(validate.issues(df), validate.envelope(df))
 
 
 def test_structural_codes(spark):
@@ -249,7 +249,11 @@ def test_store(spark, tmp_path):
     back, manifest = store.read(spark, root, "X", "1")
     assert back.count() == 40 and manifest["row_count"] == 40 and manifest["is_authoritative"] is False
     assert store.verify_integrity(spark, root, "X", "1") and store.revalidate(spark, root, "X", "1") == 0 and store.revalidate(spark, root, "X", "5") == 2
-    assert json.loads(store.manifest_json(manifest))["source"] == "t"
+    assert json.loads(store.manifest_json(manifest))["source"] == "t" and manifest["content_hash"] is None and manifest["failed_chunks"] == []
+    assert store.write(df, root, source="t", found=validate.issues(df), force=True, exact=True).first().content_hash == store.content_hash(df) and store.verify_integrity(spark, root, "X", "1", exact=True)
+    import pyarrow.parquet as pq
+
+    assert all(str(pq.read_schema(p).field("ts").type).startswith("timestamp[us") for p in (tmp_path / "store/data").rglob("*.parquet"))
     df.withColumn("close", F.col("close") + 0.5).drop("_seq").write.mode("overwrite").partitionBy("symbol", "resolution").parquet(root + "/data")
     assert not store.verify_integrity(spark, root, "X", "1")
 
@@ -265,6 +269,8 @@ def test_pipeline(spark, tmp_path):
     assert out.refusal is None and pipeline.exit_code(out) == 0 and "stored" in out.summary()
     out = pipeline.download(answers(spark, [answer(5), '{"s":"error","code":429,"message":"rate limit"}']), str(tmp_path / "b"), source="fake")
     assert "failed chunks" in out.refusal and pipeline.exit_code(out) == 1
+    forced = pipeline.download(answers(spark, [answer(5), '{"s":"error","code":429,"message":"rate limit"}']), str(tmp_path / "b"), source="fake", operations=["sort_by_timestamp"], force=True).manifests.first()
+    assert len(forced.failed_chunks) == 1 and forced.failed_chunks[0].status != "ok" and (forced.rows_before_cleaning, forced.rows_after_cleaning) == (5, 5) and forced.cleaning == ["sort_by_timestamp"]
     assert pipeline.download(answers(spark, ['{"s":"ok","candles":[]}']), str(tmp_path / "c"), source="fake").refusal == "refused: no rows"
 
 
@@ -310,3 +316,32 @@ def test_stream(spark, tmp_path):
         assert {(r.code, r.n) for r in spark.table("stream_issues").collect()} == {("NON_POSITIVE_PRICE", 1)}
     finally:
         q.stop()
+
+
+def test_sorting_keeps_ties(spark):
+    df = bars(spark)
+    back = df.withColumn("_seq", 100 - F.col("_seq"))
+    rows, record = clean.clean(back.union(back.withColumn("_seq", F.col("_seq") + 500).withColumn("close", F.lit(1.0))), ["sort_by_timestamp"])
+    got = rows.orderBy("_seq").collect()
+    assert [r._seq for r in got] == list(range(80)) and [r.ts for r in got] == sorted(r.ts for r in got) and all(r.close == 1.0 for r in got[1::2]) and record.to_dict()["rows_removed"] == 0
+
+
+def test_reports_as_values(spark):
+    df = bars(spark, change=put(3, "low", 99999.0))
+    report = validate.to_dict(validate.report_rows(validate.issues(df), validate.envelope(df), validate.samples(df)))["X", "1"]
+    assert report["usable"] is False and report["row_count"] == 40
+    found = {i["code"]: i for i in report["issues"]}
+    assert found["OHLC_LOW_TOO_HIGH"]["message"] == "1 lows are above open or close" and len(found["OHLC_LOW_TOO_HIGH"]["samples"]) == 1
+    clean_one = validate.to_dict(validate.report_rows(validate.issues(bars(spark)), validate.envelope(bars(spark))))["X", "1"]
+    assert clean_one["usable"] is True
+
+
+def test_command_line(spark, tmp_path, capsys):
+    answers(spark, [answer(5)]).write.parquet(str(tmp_path / "p"))
+    run = lambda *a: pipeline.main([str(tmp_path / "store"), *a])
+    assert run("--payloads", str(tmp_path / "p"), "--no-persist") == 0 and "not stored" in capsys.readouterr().out and not (tmp_path / "store").exists()
+    assert run("--payloads", str(tmp_path / "p"), "--clean", "sort_by_timestamp") == 0
+    for wrong in ((), ("--fetch", "m:f"), ("--fetch", "m:f", "--check", "X", "1")):
+        with pytest.raises(SystemExit) as refused:
+            run(*wrong)
+        assert refused.value.code == 2

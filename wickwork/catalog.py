@@ -133,6 +133,15 @@ _add(
     f"with {ORDERED}, flagged as ({_counts.replace('select symbol', 'select seq, us, symbol')}), first as (select *, row_number() over (partition by symbol, resolution, code order by seq) as k from flagged) "
     "select symbol, resolution, code, string_agg(us::varchar, ',' order by seq) as samples from first where k <= 5 group by symbol, resolution, code",
 )
+_add(
+    "d00_issue_messages",
+    lambda spark, d: validate.with_messages(validate.issues(tables.candles(spark, d), RULES), validate.envelope(tables.candles(spark, d), RULES)),
+    f"""with {ORDERED}, flagged as ({_counts}), found as (select symbol, resolution, code, severity, count(*) as n from flagged group by all), e as (
+      select symbol, resolution, count(*) filter (where same > 1) as rows_, max(gap / 86400000000) filter (where gap > step and not same_day) as days from ordered group by all
+    ), texts as (select unnest({list(validate.MESSAGES)}) as code, unnest({list(validate.MESSAGES.values())!r}) as text)
+    select symbol, resolution, code, severity, n, n || ' ' || replace(replace(text, '{{rows}}', rows_::varchar), '{{days}}', coalesce(round(days, 2)::decimal(18, 2)::varchar, '?')) as message
+    from found join e using (symbol, resolution) join texts using (code)""",
+)
 _add(
     "d00_usable_datasets",
     lambda spark, d: validate.usable(validate.issues(tables.candles(spark, d), RULES)),
@@ -299,6 +308,11 @@ _add(
     lambda spark, d: spark.createDataFrame([(c,) for c in validate.SEVERITY], "code string").join(validate.issues(tables.candles(spark, d), RULES).select("code"), "code", "left_anti"),
     f"with {ORDERED}, flagged as ({_counts}) select unnest({list(validate.SEVERITY)}) as code except select code from flagged",
 )
+_add(
+    "h08_sort_by_timestamp",
+    lambda spark, d: _us(clean.clean(tables.doubled(spark, d), ["sort_by_timestamp"])[0], "close"),
+    f"with {DOUBLED} select symbol, resolution, row_number() over (partition by symbol, resolution order by us, seq) - 1 as seq, us, close from doubled",
+)
 _add("h07_clean", lambda spark, d: _us(clean.clean(tables.doubled(spark, d), ["drop_exact_duplicate_rows", "drop_conflicting_duplicate_timestamps"])[0], "close"), SQL["h04_conflicts_keep_first"])
 
 
@@ -319,7 +333,42 @@ _add(
     _roundtrip,
     f"with {CANDLES} select symbol, resolution, count(*) as rows, count(*) as row_count, round(sum(close), 2) as close_sum, 'valid' as validation_status, 'unknown' as fetch_status, true as forced, false as is_authoritative from daily group by all",
 )
-_add("b07_day_hashes", lambda spark, d: store.day_hashes(tables.candles(spark, d)))
+_price = lambda c: f"coalesce(case when isinf({c}) then {c}::varchar else format('{{:.9e}}', {c}) end, '')"
+_add(
+    "b07_day_hashes",
+    lambda spark, d: store.day_hashes(tables.candles(spark, d)),
+    f"""with {CANDLES}, line as (
+      select symbol, resolution, us, (us + 19800000000) // 86400000000 as day, concat_ws(',', us::varchar, {', '.join(map(_price, PRICES))}, coalesce(volume::varchar, '')) as line from candles
+    ), days as (
+      select symbol, resolution, day, sha256(string_agg(line, chr(10) order by us, line)) as h from line group by all
+    ) select symbol, resolution, sha256(string_agg(h, '' order by day)) as hash from days group by all""",
+)
+
+
+def _manifests(spark: SparkSession, d: str) -> DataFrame:
+    """Stored with all its findings by force; what the manifests say of them."""
+    import uuid
+
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
+    rows = tables.candles(spark, d)
+    record = clean.CleaningRecord(["none"], 3, 2)
+    out = store.write(rows, f"{folder}/candles-{uuid.uuid4().hex}", source="events", found=validate.issues(rows, RULES), cleaning=record, force=True)
+    return out.select(
+        *KEYS, "timezone", "row_count", "day_hash", "content_hash", "validation_status", F.array_join("validation_error_codes", ",").alias("codes"), F.size("failed_chunks").alias("failed_chunks"), "rows_before_cleaning", "rows_after_cleaning", "is_authoritative"
+    )
+
+
+_add(
+    "b04_manifests",
+    _manifests,
+    SQL["b07_day_hashes"].replace(f"with {CANDLES}", f"with {ORDERED}").replace(
+        "select symbol, resolution, sha256(string_agg(h, '' order by day)) as hash from days group by all",
+        f"""select symbol, resolution, '{times.IST}' as timezone, any_value(c.n) as row_count, sha256(string_agg(h, '' order by day)) as day_hash, null::varchar as content_hash, any_value(case when e.codes is null then 'valid' else 'invalid' end) as validation_status,
+      any_value(coalesce(e.codes, '')) as codes, 0 as failed_chunks, 3::bigint as rows_before_cleaning, 2::bigint as rows_after_cleaning, false as is_authoritative
+      from days join (select symbol, resolution, count(*) as n from candles group by all) c using (symbol, resolution)
+      left join (select symbol, resolution, string_agg(distinct code, ',' order by code) as codes from ({_counts}) where severity = 'ERROR' group by all) e using (symbol, resolution) group by all""",
+    ),
+)
 
 
 def _authority(spark: SparkSession, d: str) -> DataFrame:

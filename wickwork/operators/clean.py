@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickwork.operators.schema import COLUMNS, KEYS, SEQ, normalise
+from wickwork.operators.schema import COLUMNS, KEYS, SEQ, normalise, resequenced
 
 
 @dataclass
@@ -37,6 +37,11 @@ def drop_conflicting_duplicate_timestamps(df: DataFrame, keep: str | bool = "fir
     return df.withColumn("_n", F.row_number().over(same.orderBy(order))).where("_n = 1").drop("_n")
 
 
+def sort_by_timestamp(df: DataFrame) -> DataFrame:
+    """Time order, rows of equal times as they were. Order is a column here, so ``_seq`` is numbered anew."""
+    return resequenced(df)
+
+
 def conflicting_timestamps(df: DataFrame) -> DataFrame:
     """(symbol, resolution, n): times that still repeat, with different values, after exact duplicates are gone."""
     times = drop_exact_duplicate_rows(df).groupBy(*KEYS, "ts").count().where("count > 1 and ts is not null")
@@ -46,6 +51,7 @@ def conflicting_timestamps(df: DataFrame) -> DataFrame:
 OPERATIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "drop_exact_duplicate_rows": drop_exact_duplicate_rows,
     "drop_conflicting_duplicate_timestamps": drop_conflicting_duplicate_timestamps,
+    "sort_by_timestamp": sort_by_timestamp,
 }
 
 

@@ -208,14 +208,49 @@ def usable(found: DataFrame) -> DataFrame:
     return found.groupBy(*KEYS).agg((F.count_if(F.col("severity") == ERROR) == 0).alias("usable"))
 
 
+#: What each code says of its count; {rows} and {days} are of the dataset's envelope.
+MESSAGES = {
+    "SCHEMA_MISSING_COLUMNS": "required columns are missing", "EMPTY_DATASET": "the dataset was requested and has no rows", "TZ_NAIVE": "times have no zone", "TZ_NOT_IST": "times are of another zone than the exchange",
+    "TS_NOT_SORTED": "rows are earlier than the row before", "DUPLICATE_TIMESTAMPS": "times occur more than once, in {rows} rows", "OHLC_HIGH_TOO_LOW": "highs are below open or close",
+    "OHLC_LOW_TOO_HIGH": "lows are above open or close", "OHLC_HIGH_BELOW_LOW": "highs are below the low", "NON_POSITIVE_PRICE": "rows have a price that is not positive", "NULL_PRICE": "rows lack a price",
+    "NON_FINITE_PRICE": "rows have an infinite price", "NULL_VOLUME": "rows lack a volume", "NEGATIVE_VOLUME": "rows have a negative volume", "TS_NOT_MINUTE_ALIGNED": "times are not on a whole minute",
+    "WITHIN_DAY_GAPS": "gaps within a day", "TRADING_CALENDAR_NOT_CONFIGURED": "gaps across days are not judged without a calendar, the largest of {days} days",
+    "EXCESSIVE_DATA_GAP": "gaps across days exceed the limit, the largest of {days} days", "IMPLAUSIBLE_DATA_GAP": "gaps no calendar explains, the largest of {days} days",
+    "SESSION_WINDOW_NOT_CHECKED": "no session window was given", "OUTSIDE_SESSION_WINDOW": "rows lie outside the session", "EXTREME_RETURN": "returns are further from the mean than the limit",
+}
+
+
+def with_messages(found: DataFrame, about: DataFrame) -> DataFrame:
+    """issues with a column message; about: the datasets' envelope."""
+    text = F.element_at(F.create_map(*(F.lit(x) for pair in MESSAGES.items() for x in pair)), F.col("code"))
+    days = F.coalesce(F.round("largest_gap_days", 2).cast("decimal(18,2)").cast("string"), F.lit("?"))
+    text = F.replace(F.replace(text, F.lit("{rows}"), F.coalesce(F.col("duplicate_rows").cast("string"), F.lit("?"))), F.lit("{days}"), days)
+    met = found.join(about.select(*KEYS, "duplicate_rows", "largest_gap_days"), KEYS, "left")
+    return met.select(*found.columns, F.concat(F.col("n").cast("string"), F.lit(" "), text).alias("message"))
+
+
+def report_rows(found: DataFrame, about: DataFrame, first: DataFrame | None = None) -> DataFrame:
+    """Per dataset, as one row: the envelope, whether it is usable, and its issues with messages and samples (first: of samples)."""
+    told = with_messages(found, about)
+    told = told.join(first, [*KEYS, "code"], "left") if first is not None else told.withColumn("samples", F.lit(None).cast("array<timestamp>"))
+    told = told.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("code", "severity", "message", F.col("n").alias("count"), "samples"))).alias("issues"))
+    out = about.join(told, KEYS, "full").withColumn("issues", F.coalesce("issues", F.expr("array()").cast(told.schema["issues"].dataType)))
+    return out.withColumn("usable", ~F.exists("issues", lambda i: i["severity"] == ERROR))
+
+
+def to_dict(report: DataFrame) -> dict[tuple[str, str], dict]:
+    """report_rows by dataset, as plain values: a table of a row a dataset."""
+    return {(r.symbol, r.resolution): r.asDict(recursive=True) for r in report.collect()}
+
+
 def report_text(found: DataFrame, about: DataFrame) -> str:
     """A plain report of every dataset, from tables of a few rows each."""
     lines = []
     issues_of: dict[tuple, list] = {}
-    for r in found.orderBy(*KEYS, "severity", "code").collect():
+    for r in with_messages(found, about).orderBy(*KEYS, "severity", "code").collect():
         issues_of.setdefault((r.symbol, r.resolution), []).append(r)
     for r in about.withColumns({"a": times.iso(F.col("first_ts")), "b": times.iso(F.col("last_ts"))}).orderBy(*KEYS).collect():
         own = issues_of.get((r.symbol, r.resolution), [])
         lines.append(f"{r.symbol} {r.resolution}: {r.row_count} rows, {r.a} to {r.b}, {'NOT usable' if any(x.severity == ERROR for x in own) else 'usable'}")
-        lines += [f"  [{x.severity}] {x.code}: {x.n}" for x in own]
+        lines += [f"  [{x.severity}] {x.code}: {x.message}" for x in own]
     return "\n".join(lines)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 import datetime
-from collections.abc import Sequence
+import importlib
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wickwork.operators import clean, validate
 from wickwork.operators.schema import resequenced
 from wickwork.plans import store
-from wickwork.sources import payloads
+from wickwork.sources import payloads, provider
 
 
 @dataclass
@@ -26,12 +27,12 @@ class Outcome:
 
     def summary(self) -> str:
         lines = [f"{r.symbol} {r.resolution}: {r.requested} chunks, {r.failed} failed, {r.rows} rows, {r.removed} repeated, {r.conflicting} conflicting" for r in self.coverage.collect()]
-        return "\n".join([*lines, validate.report_text(self.issues, validate.envelope(self.candles)), self.refusal or "stored"])
+        return "\n".join([*lines, validate.report_text(self.issues, validate.envelope(self.candles)), self.refusal or ("stored" if self.manifests is not None else "not stored")])
 
 
 def download(answers: DataFrame, root: str | None, *, source: str, operations: Sequence[str] | None = None, rules: validate.Rules = validate.Rules(), notes: str = "", force: bool = False) -> Outcome:
     """answers: a payload table (wickwork.sources.payloads). With root None nothing is stored. A refusal is returned, not raised."""
-    rows, _, coverage = payloads.fetch(answers)
+    rows, chunks, coverage = payloads.fetch(answers)
     cleaned, record = clean.clean(rows, operations)
     cleaned = resequenced(cleaned).persist()
     found = validate.issues(cleaned, rules, requested=answers.select("symbol", "resolution"))
@@ -40,7 +41,7 @@ def download(answers: DataFrame, root: str | None, *, source: str, operations: S
         out.refusal = "refused: no rows"
     elif root is not None:
         try:
-            out.manifests = store.write(cleaned, root, source=source, found=found, coverage=coverage, cleaning=record.operations, notes=notes, force=force)
+            out.manifests = store.write(cleaned, root, source=source, found=found, coverage=coverage, chunks=chunks, cleaning=record, notes=notes, force=force)
         except (store.UnvalidatedDataError, store.IncompleteAcquisitionError) as error:
             out.refusal = str(error)
     return out
@@ -51,28 +52,53 @@ def exit_code(outcome: Outcome) -> int:
     return int(outcome.manifests is None or bool(outcome.manifests.where("not is_authoritative").head(1)))
 
 
+def _fetcher(name: str) -> Callable[[str, str, datetime.date, datetime.date], str]:
+    """The vendor's function (symbol, resolution, first day, last day) -> payload, by "module:function"."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
-    """Exit codes: 0 authoritative, 1 not, 2 usage, 3 authentication."""
-    p = argparse.ArgumentParser(prog="wickwork", description="Store vendor payloads (Parquet: symbol, resolution, chunk, from_date, to_date, payload) as validated candles, or check stored ones.")
+    """Exit codes: 0 authoritative (or, with --no-persist, usable), 1 not, 2 usage, 3 authentication."""
+    p = argparse.ArgumentParser(prog="wickwork", description="Store vendor payloads (Parquet: symbol, resolution, chunk, from_date, to_date, payload, or a vendor's function) as validated candles, or check stored ones.")
     p.add_argument("root")
     p.add_argument("--payloads")
+    p.add_argument("--fetch", metavar="MODULE:FUNCTION", help="a vendor's function; needs --symbol, --resolution, --start and --end")
+    p.add_argument("--symbol")
+    p.add_argument("--resolution")
+    p.add_argument("--start", type=datetime.date.fromisoformat)
+    p.add_argument("--end", type=datetime.date.fromisoformat)
+    p.add_argument("--pause", type=float, default=0.25)
+    p.add_argument("--probe", action="store_true", help="with --fetch: only find the first day that has data")
     p.add_argument("--check", nargs=2, metavar=("SYMBOL", "RESOLUTION"))
     p.add_argument("--since", type=datetime.date.fromisoformat)
     p.add_argument("--clean", action="append", choices=sorted(clean.OPERATIONS))
     p.add_argument("--force", action="store_true")
+    p.add_argument("--no-persist", action="store_true")
     a = p.parse_args(argv)
-    if bool(a.payloads) == bool(a.check):
-        p.error("give --payloads or --check")
+    if sum(map(bool, (a.payloads, a.fetch, a.check))) != 1:
+        p.error("give one of --payloads, --fetch and --check")
+    if a.fetch and not (a.symbol and a.resolution and a.start and a.end and a.start <= a.end):
+        p.error("--fetch needs --symbol, --resolution, --start and --end in order")
     spark = SparkSession.builder.appName("wickwork").getOrCreate()
     if a.check:
         return store.revalidate(spark, a.root, *a.check)
-    answers = spark.read.parquet(a.payloads)
-    if a.since:
-        answers = answers.where(answers["to_date"] >= a.since)
     try:
-        outcome = download(answers, a.root, source=a.payloads, operations=a.clean, force=a.force)
+        if a.probe:
+            get = _fetcher(a.fetch)
+            print(payloads.probe_earliest(lambda x, y: '"candles":[]' not in get(a.symbol, a.resolution, x, y).replace(" ", ""), a.end, a.start))
+            return 0
+        if a.fetch:
+            answers = provider.read_payloads(spark, provider.provider("wickwork_cli", _fetcher(a.fetch)), symbol=a.symbol, resolution=a.resolution, start=a.start, end=a.end, pause=a.pause).persist()
+        else:
+            answers = spark.read.parquet(a.payloads)
+        if a.since:
+            answers = answers.where(answers["to_date"] >= a.since)
+        outcome = download(answers, None if a.no_persist else a.root, source=a.payloads or a.fetch, operations=a.clean, force=a.force)
     except payloads.AuthError as error:
         print(error)
         return 3
     print(outcome.summary())
+    if a.no_persist:
+        return int(outcome.refusal is not None or bool(validate.by_severity(outcome.issues, "ERROR").head(1)))
     return exit_code(outcome)

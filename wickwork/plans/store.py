@@ -12,6 +12,8 @@ import json
 import os
 import platform
 import subprocess
+from collections.abc import Iterator
+from contextlib import contextmanager
 from importlib import metadata
 
 from pyspark.sql import Column, DataFrame
@@ -20,11 +22,14 @@ from pyspark.sql import types as T
 
 from wickwork.functions import times
 from wickwork.operators import validate
+from wickwork.operators.clean import CleaningRecord
 from wickwork.operators.schema import CANONICAL, COLUMNS, KEYS, PRICES, SEQ, assert_canonical, normalise
 
 MANIFEST = (
-    "symbol string, resolution string, source string, fetched_at string, row_count long, first_ts string, last_ts string, content_hash string, validation_status string, error_count long, warning_count long, "
-    "fetch_status string, chunks_requested long, chunks_failed long, forced boolean, notes string, requested_range map<string,string>, cleaning array<string>, software map<string,string>, git_revision string"
+    "symbol string, resolution string, source string, fetched_at string, timezone string, row_count long, first_ts string, last_ts string, day_hash string, content_hash string, "
+    "validation_status string, error_count long, warning_count long, validation_error_codes array<string>, fetch_status string, chunks_requested long, chunks_failed long, "
+    "failed_chunks array<struct<from_date:string,to_date:string,status:string>>, forced boolean, notes string, requested_range map<string,string>, cleaning array<string>, rows_before_cleaning long, "
+    "rows_after_cleaning long, software map<string,string>, git_revision string"
 )
 
 
@@ -58,13 +63,27 @@ def content_hash(df: DataFrame) -> str:
 def day_hashes(df: DataFrame) -> DataFrame:
     """The scalable hash (version "day-sha256"): per dataset a SHA-256 over its days' SHA-256, all on the executors.
 
-    A day of a dataset is one group, so no task holds more than a day's rows of it.
+    A day's rows are hashed as lines in order of time and then of the line, prices with ten significant digits. A
+    day of a dataset is one group, so no task holds more than a day's rows of it.
     """
-    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    line = F.concat_ws(",", F.unix_micros("ts").cast("string"), *map(cell, [*PRICES, "volume"]))
-    rows = df.select(*KEYS, times.ist_day(F.col("ts")).alias("day"), "ts", SEQ, line.alias("line"))
-    days = rows.groupBy(*KEYS, "day").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", SEQ, "line"))), lambda x: x["line"]), "\n"), 256).alias("h"))
-    return days.groupBy(*KEYS).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("day", "h"))), lambda x: x["h"]), ""), 256).alias("hash"))
+    price = lambda c: F.when(F.abs(c) == float("inf"), F.when(F.col(c) > 0, "inf").otherwise("-inf")).when(F.col(c).isNotNull() & ~F.isnan(c), F.format_string("%.9e", c))
+    line = F.concat_ws(",", *(F.coalesce(x, F.lit("")) for x in (F.unix_micros("ts").cast("string"), *map(price, PRICES), F.col("volume").cast("string"))))
+    rows = df.select(*KEYS, times.ist_day(F.col("ts")).alias("day"), "ts", line.alias("line"))
+    joined = lambda order, text, by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), by)
+    days = rows.groupBy(*KEYS, "day").agg(F.sha2(joined("ts", "line", "\n"), 256).alias("h"))
+    return days.groupBy(*KEYS).agg(F.sha2(joined("day", "h", ""), 256).alias("hash"))
+
+
+@contextmanager
+def _microseconds(spark) -> Iterator[None]:
+    """While it lasts Parquet gets times as 64-bit microseconds, which have statistics to prune by, and not as INT96."""
+    name = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def git_revision(folder: str = ".") -> str:
@@ -87,33 +106,47 @@ def software_versions(spark_version: str) -> dict[str, str]:
 
 
 def write(
-    df: DataFrame, root: str, *, source: str, found: DataFrame, coverage: DataFrame | None = None, requested_range: dict[str, str] | None = None, cleaning: list[str] | None = None, notes: str = "", force: bool = False,
+    df: DataFrame, root: str, *, source: str, found: DataFrame, coverage: DataFrame | None = None, chunks: DataFrame | None = None, requested_range: dict[str, str] | None = None,
+    cleaning: CleaningRecord | None = None, notes: str = "", force: bool = False, exact: bool = False,
 ) -> DataFrame:
-    """Store the datasets of df and return their manifest rows. found: validate.issues of them; coverage: of payloads.fetch.
+    """Store the datasets of df and return their manifest rows. found: validate.issues of them; coverage, chunks: of payloads.fetch.
 
-    Nothing is written if any dataset has an ERROR or a failed chunk, unless forced, which is recorded.
+    Nothing is written if any dataset has an ERROR or a failed chunk, unless forced, which is recorded. The
+    manifests hold the hashes by day, all of one job; with exact also content_hash, one dataset after the other.
     """
-    errors = {(r.symbol, r.resolution): (r.e, r.w) for r in found.groupBy(*KEYS).agg(F.count_if(F.col("severity") == "ERROR").alias("e"), F.count_if(F.col("severity") == "WARNING").alias("w")).collect()}
+    is_error = F.col("severity") == "ERROR"
+    tally = found.groupBy(*KEYS).agg(F.count_if(is_error).alias("e"), F.count_if(F.col("severity") == "WARNING").alias("w"), F.array_sort(F.collect_set(F.when(is_error, F.col("code")))).alias("codes"))
+    errors = {(r.symbol, r.resolution): (r.e, r.w, r.codes) for r in tally.collect()}
     fetched = {(r.symbol, r.resolution): (r.requested, r.failed) for r in coverage.select(*KEYS, "requested", "failed").collect()} if coverage is not None else {}
     if not force:
-        if bad := sorted(k for k, (e, _) in errors.items() if e):
+        if bad := sorted(k for k, x in errors.items() if x[0]):
             raise UnvalidatedDataError(f"refused: validation errors in {bad}")
         if bad := sorted(k for k, (_, n) in fetched.items() if n):
             raise IncompleteAcquisitionError(f"refused: failed chunks in {bad}")
+    lost: dict[tuple, list] = {}
+    for r in chunks.where("not ok").select(*KEYS, F.col("from_date").cast("string").alias("a"), F.col("to_date").cast("string").alias("b"), "status").orderBy(*KEYS, "a").collect() if chunks is not None else ():
+        lost.setdefault((r.symbol, r.resolution), []).append((r.a, r.b, r.status))
     spark = df.sparkSession
     rows = normalise(df)
     assert_canonical(rows.select(*(c for c in rows.columns if c != SEQ)))
-    ordered = rows.repartition(*KEYS).sortWithinPartitions(*KEYS, F.col("ts").asc_nulls_last(), *([SEQ] if SEQ in rows.columns else []))
-    writer = ordered.drop(SEQ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-    writer.partitionBy(*KEYS).parquet(f"{root}/data")
-    about = {(r.symbol, r.resolution): r for r in _data(spark, root).groupBy(*KEYS).agg(F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b")).select(*KEYS, "n", times.iso(F.col("a")).alias("a"), times.iso(F.col("b")).alias("b")).collect()}
+    # a task has a year of a dataset
+    ordered = rows.repartition(*KEYS, F.year("ts")).sortWithinPartitions(*KEYS, F.col("ts").asc_nulls_last(), *([SEQ] if SEQ in rows.columns else []))
+    with _microseconds(spark):
+        writer = ordered.drop(SEQ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+        writer.partitionBy(*KEYS).parquet(f"{root}/data")
+    stored = _data(spark, root).join(F.broadcast(rows.select(*KEYS).distinct()), KEYS, "left_semi")
+    about = stored.groupBy(*KEYS).agg(F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("b")).select(*KEYS, "n", times.iso(F.col("a")).alias("a"), times.iso(F.col("b")).alias("b"))
     now, software, revision = datetime.datetime.now(datetime.UTC).isoformat(), software_versions(spark.version), git_revision(os.path.dirname(__file__))
     manifests = []
-    for k in [(r.symbol, r.resolution) for r in rows.select(*KEYS).distinct().collect()]:
-        (e, w), got, a = errors.get(k, (0, 0)), fetched.get(k), about[k]
+    for r in about.join(day_hashes(stored), KEYS).orderBy(*KEYS).collect():
+        k = (r.symbol, r.resolution)
+        (e, w, codes), got = errors.get(k, (0, 0, [])), fetched.get(k)
         status = "unknown" if got is None else "partial" if got[1] else "complete"
-        one = _data(spark, root).where((F.col("symbol") == k[0]) & (F.col("resolution") == k[1]))
-        manifests.append((*k, source, now, a.n, a.a, a.b, content_hash(one), "invalid" if e else "valid", e, w, status, *(got or (None, None)), force, notes, requested_range or {}, cleaning or [], software, revision))
+        serial = content_hash(stored.where((F.col("symbol") == k[0]) & (F.col("resolution") == k[1]))) if exact else None
+        manifests.append((
+            *k, source, now, times.IST, r.n, r.a, r.b, r.hash, serial, "invalid" if e else "valid", e, w, codes, status, *(got or (None, None)), lost.get(k, []), force, notes, requested_range or {},
+            cleaning.operations if cleaning else [], cleaning and cleaning.rows_before, cleaning and cleaning.rows_after, software, revision,
+        ))
     out = spark.createDataFrame(manifests, MANIFEST)
     out.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEYS).json(f"{root}/manifests")
     return out.withColumn("is_authoritative", is_authoritative())
@@ -145,9 +178,14 @@ def read(spark, root: str, symbol: str, resolution: str) -> tuple[DataFrame, dic
     return normalise(rows), found[0].asDict(recursive=True)
 
 
-def verify_integrity(spark, root: str, symbol: str, resolution: str) -> bool:
-    rows, manifest = read(spark, root, symbol, resolution)
-    return content_hash(rows) == manifest["content_hash"]
+def _unchanged(rows: DataFrame, manifest: dict, exact: bool = False) -> bool:
+    found = day_hashes(rows).first()
+    return bool(found) and found.hash == manifest["day_hash"] and (not exact or content_hash(rows) == manifest["content_hash"])
+
+
+def verify_integrity(spark, root: str, symbol: str, resolution: str, exact: bool = False) -> bool:
+    """Whether the stored rows are those of the manifest, by the hashes of their days; with exact by the serial hash as well."""
+    return _unchanged(*read(spark, root, symbol, resolution), exact)
 
 
 def manifest_json(manifest: dict) -> str:
@@ -164,4 +202,4 @@ def revalidate(spark, root: str, symbol: str, resolution: str, rules: validate.R
 
     found = validate.issues(resequenced(rows.withColumn(SEQ, F.monotonically_increasing_id())), rules)
     usable = not validate.by_severity(found, "ERROR").head(1)
-    return int(not (usable and content_hash(rows) == manifest["content_hash"]))
+    return int(not (usable and _unchanged(rows, manifest)))
