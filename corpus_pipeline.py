@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from wickwork.llm import decontamination, mixing, near_dedup, quality_rules, token_output
-from wickwork.llm.base import shared_folder, table
+from wickwork.llm.base import removed, shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
+    """The last stage's rows. A stage's table is deleted once the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES:
+        folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before:
+            removed(spark, before)
+        before = folder
     return docs
