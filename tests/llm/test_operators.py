@@ -343,6 +343,17 @@ def test_rules_leave_columns_alone(spark, labels, extra):
     assert kept.columns == docs.columns and [(r.doc_id, r[extra]) for r in kept.collect()] == [(3, "x3")]
 
 
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_filter_equals_the_verdicts_row_by_row(spark, odd, labels, monkeypatch, few):
+    """Also for rows without an id, and for ids that repeat with another text."""
+    monkeypatch.setattr(base, "FEW_GONE", few)
+    good = " ".join(f"w{i}" for i in range(50))
+    docs = odd.select("doc_id", "text", "lang").union(spark.createDataFrame([(1, good, "en"), (None, good, None), (None, good, "en"), (1, "short", "en")], "doc_id long, text string, lang string"))
+    want = quality_rules.rules(docs, labels).where("kept").select("doc_id", "q_words").collect()
+    got = [(r.doc_id, len(r.text.split())) for r in quality_rules.filtered(docs, labels).collect()]
+    assert sorted(got, key=repr) == sorted(map(tuple, want), key=repr) and len(got) == 3
+
+
 # --- PII ----------------------------------------------------------------------------------------------------
 def test_feistel_is_a_permutation():
     f = pii.Feistel(b"k")

@@ -7,7 +7,6 @@ is why the Python parts work on UTF-8 bytes; the native parts use the patterns b
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +15,9 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[ \\t-\\r]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Bounds of met_by_key and met_by_salt.
+#: Bounds of met_by_key, met_by_salt and without.
 HOT_ROWS, HOT_KEYS, SALTS = 1_000, 100_000, 16
+FEW_GONE = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,13 +50,6 @@ def cut(df: DataFrame, per_task: int = 0) -> DataFrame:
     return out.coalesce(max(1, -(-out.count() // per_task))) if per_task else out
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same rows as Parquet in a new folder among the shared ones: whole texts take less room than in cut()."""
-    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
-
-
 def removed(spark: SparkSession, folder: str) -> None:
     """Delete a folder that nothing will read again."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -76,6 +69,23 @@ def met_by_key(rows: DataFrame, table: DataFrame, key: str, weight: str) -> Data
     return met.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(~is_hot), key))
 
 
+def row_of(*columns: str) -> Column:
+    """With doc_id this tells a row from any of another text (or of whatever the columns hold)."""
+    return F.xxhash64(*columns).alias("row")
+
+
+def without(docs: DataFrame, gone: DataFrame, *columns: str) -> DataFrame:
+    """The rows of docs, untouched, that aren't in gone (doc_id, row: row_of the columns).
+
+    Up to FEW_GONE of those are sent to all tasks; more meet the documents in a shuffle.
+    """
+    gone = cut(gone.select("doc_id", "row").distinct())
+    held = docs.select(F.struct(*docs.columns).alias("held"), "doc_id", row_of(*columns))
+    few = gone.limit(FEW_GONE + 1).count() <= FEW_GONE
+    same = F.col("h.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("h.row") == F.col("g.row"))
+    return held.alias("h").join((F.broadcast(gone) if few else gone).alias("g"), same, "left_anti").select("held.*")
+
+
 def met_by_salt(rows: DataFrame, table: DataFrame, key: str, other: str, salt: Column, few: int, how: str = "inner") -> DataFrame:
     """rows joined with table, which has one row a key, where key equals other or both are null.
 

@@ -36,10 +36,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import cut, met_by_key, table
+from wickwork.llm.base import cut, met_by_key, row_of, table, without
 
 REGISTERS = 128
 BAND = 4
@@ -131,11 +131,6 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", row_of("text"), "text").mapInArrow(run, "doc_id long, row long, n long, s1 long, s2 long, regs array<bigint>")
 
 
-def row_of(text: str) -> Column:
-    """With doc_id this tells a row from any of another text."""
-    return F.xxhash64(text).alias("row")
-
-
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """(rep, hashes) of docs with columns rep and text."""
 
@@ -303,9 +298,7 @@ def linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that stay: one document of each component."""
-    gone = _rows(docs, width, percent).where("not kept").select("doc_id", "row").distinct()
-    held = docs.select(F.struct(*docs.columns).alias("held"), "doc_id", row_of("text"))
-    return held.join(gone, ["doc_id", "row"], "left_anti").select("held.*")
+    return without(docs, _rows(docs, width, percent).where("not kept"), "text")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import SPACE, UPPER, cut, met_by_salt, table, words_of, written
+from wickwork.llm.base import SPACE, UPPER, cut, met_by_salt, row_of, table, without, words_of
 
 # The symbols counted, the base rule, the grid, and the risk allowed for all shares together.
 SYMBOLS = "#*$%&|<>"
@@ -142,11 +142,10 @@ def rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, whole and with their own columns.
 
-    The texts are counted once: the rows are written with their counts, learned from and then filtered.
+    The texts are counted once, and the rejected rows then taken out by id and a hash of text and language.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("q_row"), "doc_id", "lang", "text")
-    counted = written(counts(rows).drop("text"))
-    return judged(counted, cut(certified(counted.drop("q_row"), labels))).where("kept").select("q_row.*")
+    counted = cut(counts(docs.select("doc_id", "lang", "text", row_of("text", "lang"))).drop("text"))
+    return without(docs, judged(counted, cut(certified(counted, labels))).where("not kept"), "text", "lang")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
