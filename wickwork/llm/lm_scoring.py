@@ -42,7 +42,7 @@ BATCH_DOCS, BATCH_BYTES = 1024, 2_000_000
 DOC_BITS = 10
 BIGRAMS, ABOUT = 0, 1
 #: Bigrams (with their texts) that a task unpacks at a time.
-CHUNK = 2_000_000
+CHUNK = 300_000
 
 
 def _hash(word: bytes) -> int:
@@ -291,14 +291,17 @@ def _sums(sent):
 
     def counted(rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct bigrams of training texts in order: word, context, count."""
-        total = None
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        merged = 0
         for _, some in chunks(rows):
             words, contexts, word, context, _, count, train = opened(some)
             width = max(len(contexts), 1)
             pairs, place = np.unique((word * width + context)[train], return_inverse=True)
-            new = words[pairs // width], contexts[pairs % width], np.bincount(place, count[train], len(pairs))
-            total = new if total is None else _summed(*(np.concatenate(x) for x in zip(total, new, strict=True)))
-        return total
+            held.append((words[pairs // width], contexts[pairs % width], np.bincount(place, count[train], len(pairs))))
+            if sum(len(x[0]) for x in held) > 2 * merged + 4 * CHUNK:
+                held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+                merged = len(held[0][0])
+        return _summed(*map(np.concatenate, zip(*held, strict=True)))
 
     def settle(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
         t = sent.value
