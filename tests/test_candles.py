@@ -108,8 +108,9 @@ def test_blocks_change_nothing(spark):
     from wickwork.sources import tables
 
     df, sort = tables.candles(spark, SMALL), lambda d: sorted(map(tuple, d.collect()), key=repr)
-    for block in (7, 1000):
-        rules = validate.Rules(sigma=3.0)
+    assert validate._largest(df) > 100
+    for block in (7, 100):
+        rules = validate.Rules(sigma=3.0, block=None)
         assert sort(validate.issues(df, validate.Rules(sigma=3.0, block=block))) == sort(validate.issues(df, rules))
         assert sort(validate.samples(df, validate.Rules(sigma=3.0, block=block))) == sort(validate.samples(df, rules))
 
@@ -197,6 +198,8 @@ def test_payloads(spark):
     assert (got[2].first().failed, got[2].first().empty, got[2].first().complete) == (4, 1, False)
     with pytest.raises(payloads.AuthError):
         payloads.fetch(answers(spark, [answer(2), '{"s":"error","code":-16,"message":"Invalid"}']))
+    about = payloads.fetch(answers(spark, [answer(2), '{"s":"error","code":-16,"message":"Invalid"}']), refused="record")[2].first()
+    assert (about.requested, about.failed, about.rows) == (2, 1, 2)
     with pytest.raises(schema.SchemaError, match="six"):
         payloads.fetch(answers(spark, ['{"s":"ok","candles":[[1,2,3,4]]}']))
     with pytest.raises(schema.SchemaError, match="numeric"):

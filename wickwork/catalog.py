@@ -239,11 +239,11 @@ _add(
 )
 _add(
     "a03_fetch_without_duplicates",
-    lambda spark, d: payloads.fetch(tables.payloads(spark, d).where(F.col("chunk") % 7 != 5))[2].select("symbol", "requested", "failed", "rows", "removed", "conflicting"),
+    lambda spark, d: payloads.fetch(tables.payloads(spark, d), refused="record")[2].select("symbol", "requested", "failed", "rows", "removed", "conflicting"),
     f"""with {STATUS}, rows_ as (select event_type as symbol, epoch_us(ts) // 1000000 as s, event_id from events where event_id // 500 % 7 in (0, 6)),
     d as (select symbol, count(*) as n from (select distinct * from rows_) group by 1), x as (select symbol, count(*) as n from (select symbol, s from (select distinct * from rows_) group by all having count(*) > 1) group by 1)
     select p.symbol, count(*) as requested, count(*) filter (where status <> 'ok') as failed, any_value(coalesce(d.n, 0)) as rows, (sum(got) - any_value(coalesce(d.n, 0)))::bigint as removed, any_value(coalesce(x.n, 0)) as conflicting
-    from parsed p left join d using (symbol) left join x using (symbol) where kind <> 5 group by p.symbol""",
+    from parsed p left join d using (symbol) left join x using (symbol) group by p.symbol""",
 )
 
 
@@ -270,7 +270,7 @@ _add(
 )
 _add(
     "c04_normalise",
-    lambda spark, d: _us(resequenced(normalise(tables.candles(spark, d).withColumn("extra", F.lit(1)), check=True)), *PRICES, "volume"),
+    lambda spark, d: _us(resequenced(normalise(tables.candles(spark, d).withColumn("extra", F.lit(1)), ordered=False)), *PRICES, "volume"),
     f"with {CANDLES} select symbol, resolution, row_number() over (partition by symbol, resolution order by us nulls last, seq) - 1 as seq, us, open, high, low, close, volume from candles",
 )
 

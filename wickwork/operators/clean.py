@@ -59,7 +59,7 @@ def clean(df: DataFrame, operations: Sequence[str] | None = None) -> tuple[DataF
     """Normalise, then the named operations in order."""
     if unknown := [o for o in operations or () if o not in OPERATIONS]:
         raise ValueError(f"unknown cleaning operation(s) {unknown}; known: {sorted(OPERATIONS)}")
-    out, record = normalise(df), CleaningRecord(rows_before=df.count())
+    out, record = normalise(df, ordered=not operations), CleaningRecord(rows_before=df.count())
     for name in operations or ():
         out = out.transform(OPERATIONS[name])
         record.operations.append(name)

@@ -58,15 +58,19 @@ def cast_strictly(df: DataFrame) -> DataFrame:
 
 
 def check_destroyed(df: DataFrame) -> None:
-    """Raise for values present in the source that aren't numbers: one aggregate, at most five samples a column."""
+    """Raise for values present in the source that aren't numbers: one aggregate, and the first five of a column that has any."""
     cast = cast_strictly(df.withColumns({f"_raw_{c}": F.col(c).cast("string") for c in [*PRICES, "volume"]}))
     bad = cast.where(F.size("_destroyed") > 0).select(F.explode("_destroyed").alias("column"), F.coalesce(*(F.when(F.array_contains("_destroyed", c), F.col(f"_raw_{c}")) for c in [*PRICES, "volume"])).alias("value"))
-    for row in bad.groupBy("column").agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set("value")), 1, 5).alias("values")).collect():
-        raise SchemaError(f"column {row.column!r}: {row.n} value(s) present but not numeric, such as {row['values']}; they are not turned into missing ones")
+    for row in bad.groupBy("column").agg(F.count("*").alias("n")).orderBy("column").collect():
+        values = [r.value for r in bad.where(F.col("column") == row.column).select("value").distinct().orderBy("value").limit(5).collect()]
+        raise SchemaError(f"column {row.column!r}: {row.n} value(s) present but not numeric, such as {values}; they are not turned into missing ones")
 
 
-def normalise(df: DataFrame, check: bool = True) -> DataFrame:
-    """Six columns, with any keys and ``_seq`` before them, in time order; no value is replaced, filled or dropped."""
+def normalise(df: DataFrame, check: bool = True, ordered: bool = True) -> DataFrame:
+    """Six columns, with any keys and ``_seq`` before them, in time order; no value is replaced, filled or dropped.
+
+    With ordered=False rows stay where they are, without a shuffle, for callers that deal them anew.
+    """
     if missing := missing_columns(df):
         raise SchemaError(f"missing column(s) {missing}; required are {COLUMNS}")
     if not isinstance(df.schema["ts"].dataType, T.TimestampType):
@@ -75,7 +79,8 @@ def normalise(df: DataFrame, check: bool = True) -> DataFrame:
         check_destroyed(df)
     extra = [c for c in [*KEYS, SEQ] if c in df.columns]
     order = [*(c for c in extra if c != SEQ), F.col("ts").asc_nulls_last(), *([SEQ] if SEQ in extra else [])]
-    return cast_strictly(df).select(*extra, *COLUMNS).sort(*order)
+    out = cast_strictly(df).select(*extra, *COLUMNS)
+    return out.sort(*order) if ordered else out
 
 
 def resequenced(df: DataFrame) -> DataFrame:

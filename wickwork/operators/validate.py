@@ -1,7 +1,7 @@
 """The validator: 22 checks over many datasets at once, as flags on rows.
 
 All flags need one exchange, by (symbol, resolution): lag, counts of equal times and the moments of the
-returns share that clustering. An issue's count and samples both come from the flagged rows alone, so a
+returns share that clustering. If a dataset is too large for a task, rows are dealt by blocks instead. An issue's count and samples both come from the flagged rows alone, so a
 clean dataset sends nothing to the second shuffle.
 """
 
@@ -35,8 +35,8 @@ LEAST_ROWS_FOR_RETURNS = 30
 class Rules:
     """interval: minutes of a bar, "resolution" to take them from each dataset's resolution, None to skip those checks.
 
-    block: with a number, rows are dealt by dataset and blocks of so many sequence numbers, for datasets too
-    large for a task; without it by dataset alone, in a single exchange. The results are the same.
+    block: if any dataset has more rows than this, rows are dealt by dataset and blocks of so many sequence
+    numbers; else, or with None, by dataset alone, in a single exchange. The results are the same.
     """
 
     interval: int | str | None = "resolution"
@@ -44,7 +44,7 @@ class Rules:
     session: tuple[datetime.time, datetime.time] | None = None
     max_session_gap_days: float | None = None
     source_zone: str = times.IST
-    block: int | None = None
+    block: int | None = 2_000_000
 
 
 def row_flags() -> dict[str, Column]:
@@ -73,6 +73,11 @@ def _change() -> Column:
     return F.when(before == 0, F.when(close > 0, math.inf).when(close < 0, -math.inf)).otherwise(close / before - 1)
 
 
+def _largest(df: DataFrame) -> int:
+    """Rows of the largest dataset, by an aggregate of the keys alone."""
+    return df.groupBy(*KEYS).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
 def _by_dataset(df: DataFrame) -> DataFrame:
     w, every = Window.partitionBy(*KEYS).orderBy(SEQ), Window.partitionBy(*KEYS)
     d = df.withColumns({"_ts": F.lag("ts").over(w), "_close": F.lag("close").over(w)}).withColumn("_change", _change())
@@ -97,7 +102,7 @@ def with_order(df: DataFrame, rules: Rules) -> DataFrame:
     """df with what the ordered checks need: time since the row before, equal times, z-score of the return."""
     same = Window.partitionBy(*KEYS, "ts")
     d = _clean_nan(df)
-    d = _by_block(d, rules.block) if rules.block else _by_dataset(d)
+    d = _by_block(d, rules.block) if rules.block and _largest(df) > rules.block else _by_dataset(d)
     d = d.withColumn("_gap", F.unix_micros("ts") - F.unix_micros("_ts"))
     d = d.withColumns({"_same": F.count("*").over(same), "_first": F.row_number().over(same.orderBy(SEQ)) == 1})
     minutes = times.resolution_minutes(F.col("resolution")) if rules.interval == "resolution" else F.lit(rules.interval)

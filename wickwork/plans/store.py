@@ -127,7 +127,7 @@ def write(
     for r in chunks.where("not ok").select(*KEYS, F.col("from_date").cast("string").alias("a"), F.col("to_date").cast("string").alias("b"), "status").orderBy(*KEYS, "a").collect() if chunks is not None else ():
         lost.setdefault((r.symbol, r.resolution), []).append((r.a, r.b, r.status))
     spark = df.sparkSession
-    rows = normalise(df)
+    rows = normalise(df, ordered=False)
     assert_canonical(rows.select(*(c for c in rows.columns if c != SEQ)))
     # a task has a year of a dataset
     ordered = rows.repartition(*KEYS, F.year("ts")).sortWithinPartitions(*KEYS, F.col("ts").asc_nulls_last(), *([SEQ] if SEQ in rows.columns else []))

@@ -48,9 +48,9 @@ def with_status(payloads: DataFrame) -> DataFrame:
     return payloads.withColumn("status", status).withColumn("candles", F.when(F.col("status") == "ok", F.coalesce(rows, F.array().cast("array<array<string>>"))))
 
 
-def bad_widths(parsed: DataFrame) -> DataFrame:
-    """Chunks with a candle that hasn't six fields."""
-    return parsed.where(F.exists("candles", lambda r: F.size(r) != 6)).select(*KEYS, "chunk")
+def bad_width() -> Column:
+    """Whether a chunk has a candle that hasn't six fields."""
+    return F.exists("candles", lambda r: F.size(r) != 6)
 
 
 def candles_of(parsed: DataFrame) -> DataFrame:
@@ -76,16 +76,20 @@ def coverage(chunks: DataFrame) -> DataFrame:
     )
 
 
-def fetch(payloads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def fetch(payloads: DataFrame, refused: str = "raise") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(candles without exact duplicates, chunk report, coverage with rows removed and conflicting times).
 
-    An authentication error or a malformed row stops the run; other failed chunks are recorded.
+    A malformed row stops the run, and so does an authentication error, unless refused is "record": then it is
+    recorded as the other failed chunks are.
     """
+    if refused not in ("raise", "record"):
+        raise ValueError(f"refused is raise or record, not {refused!r}")
     parsed = with_status(payloads)
-    if refused := parsed.where("status = 'auth'").select("chunk").head(1):
-        raise AuthError(f"the vendor refused chunk {refused[0].chunk} as unauthenticated")
-    if wrong := bad_widths(parsed).head(1):
-        raise SchemaError(f"chunk {wrong[0].chunk} has a candle without six fields")
+    seen = parsed.agg(F.min(F.when(F.col("status") == "auth", F.col("chunk"))).alias("auth"), F.min(F.when(bad_width(), F.col("chunk"))).alias("width")).first()
+    if refused == "raise" and seen.auth is not None:
+        raise AuthError(f"the vendor refused chunk {seen.auth} as unauthenticated")
+    if seen.width is not None:
+        raise SchemaError(f"chunk {seen.width} has a candle without six fields")
     rows = candles_of(parsed)
     if lost := rows.where(F.size("_destroyed") > 0).head(1):
         raise SchemaError(f"values present but not numeric in {lost[0]['_destroyed']} of {lost[0].symbol}")
