@@ -41,6 +41,8 @@ SHARD_TOKENS = 2_000_000
 BATCH_DOCS, BATCH_BYTES = 1024, 2_000_000
 DOC_BITS = 10
 BIGRAMS, ABOUT = 0, 1
+#: Of a text's sums in a shard: its place in the batch, score, base and known words.
+SUM_BYTES = 2 + 8 + 8 + 4
 #: Bigrams (with their texts) that a task unpacks at a time.
 CHUNK = 300_000
 
@@ -298,12 +300,13 @@ def _sums(sent):
             width = max(len(contexts), 1)
             pairs, place = np.unique((word * width + context)[train], return_inverse=True)
             held.append((words[pairs // width], contexts[pairs % width], np.bincount(place, count[train], len(pairs))))
-            if sum(len(x[0]) for x in held) > 2 * merged + 4 * CHUNK:
+            if sum(len(x[0]) for x in held) > 1.5 * merged + 2 * CHUNK:
                 held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
                 merged = len(held[0][0])
         return _summed(*map(np.concatenate, zip(*held, strict=True)))
 
-    def settle(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+    def settle(rows: list[tuple[int, bytes]]) -> Iterator[list[tuple[int, int, bytes]]]:
+        """For each chunk its batches with their texts' sums, of texts that have bigrams here."""
         t = sent.value
         w, v, seen = counted(rows)
         (words, word), (contexts, context) = (np.unique(x, return_inverse=True) for x in (w, v))
@@ -317,16 +320,21 @@ def _sums(sent):
             return np.where(special, t.plus_one[at], here + 1)
 
         trie = Trie(words, contexts, word, context, np.log10(seen + MU * plus_one(words)[word] / t.whole))
+        del w, v, seen, word, context
         for _, some in chunks(rows):
             h, contexts_, word, context, doc, count, _ = opened(some)
             value, own, special = trie.find(h, contexts_, word, context), plus_one(h), t.find(h)[1]
             new = np.isnan(value)
             value[new] = np.log10(MU * own / t.whole)[word[new]]
             alone = [np.where(special, 0, x)[word] for x in (np.log10(own - 1 + MU), np.log10(own / t.whole), own > 1)]
-            score, base, known = (np.bincount(doc, count * x, len(some) << DOC_BITS) for x in (value - alone[0], alone[1], alone[2]))
-            for k, (name, _) in enumerate(some):
-                here = slice(k << DOC_BITS, (k + 1) << DOC_BITS)
-                yield name, BIGRAMS, score[here].tobytes() + base[here].tobytes() + planes(known[here].astype(np.int64), 4)
+            texts, doc = np.unique(doc, return_inverse=True)
+            score, base, known = (np.bincount(doc, count * x, len(texts)) for x in (value - alone[0], alone[1], alone[2]))
+            cuts = np.searchsorted(texts, np.arange(len(some) + 1) << DOC_BITS)
+            inside = texts & ((1 << DOC_BITS) - 1)
+            out = []
+            for (name, _), a, b in zip(some, cuts[:-1], cuts[1:], strict=True):
+                out.append((name, BIGRAMS, planes(inside[a:b].astype(np.int64), 2) + score[a:b].tobytes() + base[a:b].tobytes() + planes(known[a:b].astype(np.int64), 4)))
+            yield out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -334,17 +342,15 @@ def _sums(sent):
 
         at, rows = None, []
         for batch in batches:
-            for shard, kind, name, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "batch", "data")), strict=True):
+            for shard, kind, name, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "kind", "batch")), batch.column("data"), strict=True):
                 if kind == ABOUT:
-                    yield packed([(name, kind, data)])
+                    yield packed([(name, kind, data.as_py())])
                     continue
                 if at != shard:
-                    if rows:
-                        yield packed(list(settle(rows)))
+                    yield from map(packed, settle(rows) if rows else ())
                     at, rows = shard, []
-                rows.append((name, data))
-        if rows:
-            yield packed(list(settle(rows)))
+                rows.append((name, data.as_py()))
+        yield from map(packed, settle(rows) if rows else ())
 
     return run
 
@@ -372,8 +378,10 @@ def _joined(tokens: int):
                 if kind == ABOUT:
                     facts = pa.ipc.open_stream(data).read_all()
                 else:
-                    total[:2] += np.frombuffer(data, float, 2 << DOC_BITS).reshape(2, -1)
-                    total[2] += unplaned(memoryview(data)[16 << DOC_BITS :], 4, 1 << DOC_BITS)
+                    n = len(data) // SUM_BYTES
+                    texts = unplaned(memoryview(data), 2, n).astype(np.int64)
+                    total[:2, texts] += np.frombuffer(data, float, 2 * n, 2 * n).reshape(2, -1)
+                    total[2, texts] += unplaned(memoryview(data)[18 * n :], 4, n)
         if at is not None:
             yield finish(facts, total)
 
