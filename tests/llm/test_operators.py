@@ -652,13 +652,24 @@ def test_substituted_passages_are_found(spark, monkeypatch):
     texts = [planted(0, 0), planted(0, 7), planted(1, 5), planted(2, 4), planted(3, 0), planted(4, 0), filler, " ".join(items[2].split()[10:30]), " ".join(items[2].split()[:8]), None, ""]
     bench = spark.createDataFrame([(k, t, "x") for k, t in enumerate(items)] + [(None, "x", None), (9, None, None)], "item_id long, text string, lang string")
     want = [0, 0, 1, 2, 3, None, None, 2, None, None, None]
-    for block in (decontamination.BLOCK_WORDS, 20):
+    for block, held in ((decontamination.BLOCK_WORDS, decontamination.PASS_BLOCKS), (20, 4), (10, 1)):
         monkeypatch.setattr(decontamination, "BLOCK_WORDS", block)
+        monkeypatch.setattr(decontamination, "PASS_BLOCKS", held)
         out = {r.row.doc_id: r[decontamination.LEAK] for r in decontamination.marked(frame(spark, texts), bench).collect()}
         assert [out[i] and out[i].item_id for i in range(len(texts))] == want
     assert {r.doc_id for r in decontamination.clean(frame(spark, texts), bench).collect()} == {5, 6, 8, 9, 10}
 
 
+def test_passes_over_the_texts_change_nothing(spark, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{SMALL}/{name}.parquet") for name in ("documents", "benchmark"))
+    bench = bench.unionByName(bench.withColumn("item_id", F.col("item_id") + 1000))
+    marks = lambda: sorted((r.doc_id, r.mark and tuple(r.mark)) for r in decontamination.marked(docs, bench).select("row.doc_id", F.col(decontamination.LEAK).alias("mark")).collect())
+    once = marks()
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 100)
+    monkeypatch.setattr(decontamination, "PASS_BLOCKS", 2)
+    assert marks() == once and any(m and m[3] > 1 for _, m in once)
+
+
 def test_decontamination_against_every_alignment(spark, duck):
     items = [(i, decontamination.hashed_words(t.encode())) for i, t in duck.execute("select item_id, text from benchmark").fetchall()]
     got = {r.doc_id: r.contaminated for r in decontamination.query(spark, SMALL).collect()}

@@ -3,8 +3,9 @@
 A seed is a fixed mask over ten consecutive words of which seven or eight count, so a window still matches where a
 word at an ignored place was replaced. The hashes of all windows of the test items, one table for each
 mask, meet the hashes of all windows of every text: a hash join whose test side is sent to the tasks in
-blocks, so the texts are neither shuffled nor dealt by key, however common a passage is. All blocks are held by
-a task at once, about 600 bytes a word of the test items: the test side has to fit, at a million words 0.6 GB. A
+blocks, so the texts are neither shuffled nor dealt by key, however common a passage is. A pass over the texts
+holds PASS_BLOCKS blocks; more test items take further passes, each from a table that the one before has written,
+so the memory of the driver and of a task doesn't grow with the test side. A
 hit fixes how text and item lie to each other; then their words are compared along the whole item, and the
 best stretch (a match counts 1, a replaced word -2) decides. A text is contaminated by an item if that
 stretch has 13 equal words, or 7 in 10 of the item's if that is less.
@@ -19,17 +20,20 @@ rows; rows that repeat are judged alike. Other columns of the documents pass thr
 from __future__ import annotations
 
 import math
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wickwork.llm.base import table
+from wickwork.llm.base import removed, shared_folder, table
 
 # The masks and the rule.
 MASKS = ("1101100111", "1110010111", "1011101101", "1111011110")
@@ -40,6 +44,8 @@ SHARE = 0.7
 MISMATCH = -2
 #: Words of test items that are sent to the tasks at once; with all tables about 600 bytes a word, half of it bitmaps.
 BLOCK_WORDS = 100_000
+#: Blocks that a pass over the texts holds at once.
+PASS_BLOCKS = 4
 #: Cells for each window of the items in the table that most windows of the texts miss.
 BITMAP = 64
 LEAK = "leak_mark"
@@ -137,25 +143,45 @@ MARK = T.StructType([T.StructField(f, T.LongType()) for f in ("item_id", "equal"
 def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(row: docs' row, leak_mark): null, or the best item, its equal words and length, and the number of items.
 
-    All blocks are looked up in one pass over the texts, whose words are hashed once.
+    Up to PASS_BLOCKS blocks are looked up in one pass over the texts, whose words are hashed once in it.
     """
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(items) for items in _blocks(benchmark)]
+    spark, written = docs.sparkSession, None
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = rows.withColumn(LEAK, F.lit(None).cast(MARK))
+    blocks = _blocks(benchmark)
+    sent = [spark.sparkContext.broadcast(items) for items in islice(blocks, PASS_BLOCKS)]
+    while True:
+        rows = rows.mapInArrow(_looked_up(sent), rows.schema)
+        following = next(blocks, None)
+        if following is None:
+            return rows
+        folder = f"{shared_folder(spark)}/decontamination-{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        for block in sent:
+            block.destroy()
+        if written:
+            removed(spark, written)
+        rows, written = spark.read.parquet(folder), folder
+        sent = [spark.sparkContext.broadcast(items) for items in chain([following], islice(blocks, PASS_BLOCKS - 1))]
+
+
+def _looked_up(blocks: list[Broadcast]):
+    """Rows with their marks so far to rows with marks that count these blocks' items too."""
     kind = pa.struct([(f, pa.int64()) for f in MARK.names])
 
-    def mark(text: bytes | None) -> dict | None:
+    def mark(text: bytes | None, before: dict | None) -> dict | None:
         words = hashed_words(text)
-        found = [m for block in blocks for m in block.value.matches(words)]
-        best = min(found, key=lambda x: (-x[1], x[0]), default=None)
-        return best and dict(zip(MARK.names, (*best[:3], len(found)), strict=True))
+        found = [dict(zip(MARK.names, (*m[:3], 1), strict=True)) for block in blocks for m in block.value.matches(words)]
+        found += [before] if before else []
+        best = min(found, key=lambda m: (-m["equal"], m["item_id"]), default=None)
+        return best and {**best, "items": sum(m["items"] for m in found)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("row").field("text").cast(pa.binary()).to_pylist()
-            yield pa.record_batch([batch.column("row"), pa.array(list(map(mark, texts)), kind)], ["row", LEAK])
+            yield pa.record_batch([batch.column("row"), pa.array(list(map(mark, texts, batch.column(LEAK).to_pylist())), kind)], ["row", LEAK])
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(LEAK, MARK)]))
+    return run
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
