@@ -37,14 +37,14 @@ from wickwork.llm.elias_fano import Map, Sequence
 
 HASH_BITS = 63
 MU = 1000.0
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 BATCH_DOCS, BATCH_BYTES = 1024, 2_000_000
 DOC_BITS = 10
 BIGRAMS, ABOUT = 0, 1
 #: Of a text's sums in a shard: its place in the batch, score, base and known words.
 SUM_BYTES = 2 + 8 + 8 + 4
 #: Bigrams (with their texts) that a task unpacks at a time.
-CHUNK = 300_000
+CHUNK = 150_000
 
 
 def _hash(word: bytes) -> int:
@@ -269,7 +269,7 @@ class Trie:
 def _sums(sent):
     """The rows of each shard to sums by text: rows (batch, kind, data)."""
 
-    def chunks(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
+    def chunks(rows: list[tuple[int, pa.Buffer]]) -> Iterator[tuple[int, list[tuple[int, pa.Buffer]]]]:
         """Rows that hold about CHUNK bigrams together, with the place of the first."""
         first = n = 0
         for k, (_, data) in enumerate(rows):
@@ -278,7 +278,7 @@ def _sums(sent):
                 yield first, rows[first : k + 1]
                 first, n = k + 1, 0
 
-    def opened(rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, ...]:
+    def opened(rows: list[tuple[int, pa.Buffer]]) -> tuple[np.ndarray, ...]:
         """Of a chunk's bigrams: the distinct words and contexts, each bigram's places in them, its text, count, and whether it trains."""
         parts = []
         for k, (_, data) in enumerate(rows):
@@ -291,7 +291,7 @@ def _sums(sent):
         context = np.concatenate([context[a + p[3]] for a, p in zip(starts, parts, strict=False)])
         return words, contexts, word, context, *(np.concatenate([p[i] for p in parts]) for i in (4, 5, 6))
 
-    def counted(rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def counted(rows: list[tuple[int, pa.Buffer]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct bigrams of training texts in order: word, context, count."""
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         merged = 0
@@ -305,7 +305,7 @@ def _sums(sent):
                 merged = len(held[0][0])
         return _summed(*map(np.concatenate, zip(*held, strict=True)))
 
-    def settle(rows: list[tuple[int, bytes]]) -> Iterator[list[tuple[int, int, bytes]]]:
+    def settle(rows: list[tuple[int, pa.Buffer]]) -> Iterator[list[tuple[int, int, bytes]]]:
         """For each chunk its batches with their texts' sums, of texts that have bigrams here."""
         t = sent.value
         w, v, seen = counted(rows)
@@ -349,7 +349,7 @@ def _sums(sent):
                 if at != shard:
                     yield from map(packed, settle(rows) if rows else ())
                     at, rows = shard, []
-                rows.append((name, data.as_py()))
+                rows.append((name, data.as_buffer()))
         yield from map(packed, settle(rows) if rows else ())
 
     return run
