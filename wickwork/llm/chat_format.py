@@ -264,34 +264,12 @@ SCHEMAS = [
 
 
 def derived(conversations: DataFrame) -> DataFrame:
-    """Messages with calls and results, from plain conversations.
+    """Messages with calls and results that hold whole texts, and with every defect, from plain conversations.
 
-    An assistant's turn searches for its first words and counts in what the search finds (listed in the
-    wrong order); the search needs the count of two turns before. The next user's turn answers the search,
-    and, if the number of its words is even, the count.
-    """
-    words = words_of(F.col("text"))
-    n = F.size(words)
-    clean = F.translate(F.array_join(F.slice(words, 1, 3), " "), '"\\', "")
-    of = lambda kind, turn: F.concat_ws("-", F.lit(kind), "conv_id", turn.cast("string"))
-    text = lambda **parts: F.to_json(F.struct(*(v.alias(k) for k, v in parts.items())))
-    call = lambda id, name, arguments, after: F.struct(id.alias("id"), F.lit(name).alias("name"), arguments.alias("arguments"), after.alias("after"))
-    none = F.array().cast("array<string>")
-    search = call(of("a", F.col("turn")), "search", text(query=clean, limit=n % 12), F.when(F.col("turn") >= 2, F.array(of("b", F.col("turn") - 2))).otherwise(none))
-    count = call(of("b", F.col("turn")), "count", text(unit=F.element_at(F.array(F.lit("word"), F.lit("line"), F.lit("page")), n % 3 + 1), of=of("a", F.col("turn"))), F.array(of("a", F.col("turn"))))
-    result = lambda kind: F.struct(of(kind, F.col("turn") - 1).alias("id"), clean.alias("content"))
-    return conversations.select(
-        "conv_id", "turn", F.when(F.col("role") == "assistant", F.array(count, search)).alias("calls"),
-        F.when(F.col("role") == "user", F.when(n % 2 == 0, F.array(result("a"), result("b"))).otherwise(F.array(result("a")))).alias("results"),
-    )
-
-
-def derived_whole(conversations: DataFrame) -> DataFrame:
-    """Messages with calls and results that hold whole texts, and with every defect, from plain conversations with row.
-
-    As derived, but an assistant's turn searches for its text and the results are the user's text. By 3 conv_id +
-    turn modulo 9, a search repeats the identifier of two turns before (0), needs the count that needs it (1), has an
-    unknown name (2) or lacks the last character of its arguments (3).
+    An assistant's turn searches for its text and counts in what the search finds (listed in the wrong order); the
+    search needs the count of two turns before. The next user's text answers the search, and, if the number of its
+    words is even, the count. By 3 conv_id + turn modulo 9, a search repeats the identifier of two turns before (0),
+    needs the count that needs it (1), has an unknown name (2) or lacks the last character of its arguments (3).
     """
     body = F.coalesce("text", F.lit(""))
     n = F.size(words_of(F.col("text")))
@@ -309,8 +287,9 @@ def derived_whole(conversations: DataFrame) -> DataFrame:
     )
     count = call(of("b", turn), F.lit("count"), text(unit=F.element_at(F.array(F.lit("word"), F.lit("line"), F.lit("page")), n % 3 + 1), of=a), F.array(a))
     result = lambda kind: F.struct(of(kind, turn - 1).alias("id"), body.alias("content"))
+    rest = [c for c in ("role", "text", "row") if c in conversations.columns]
     return conversations.withColumn("q", query).select(
-        "conv_id", "turn", "role", "text", "row", F.when(F.col("role") == "assistant", F.array(count, search)).alias("calls"),
+        "conv_id", "turn", *rest, F.when(F.col("role") == "assistant", F.array(count, search)).alias("calls"),
         F.when(F.col("role") == "user", F.when(n % 2 == 0, F.array(result("a"), result("b"))).otherwise(F.array(result("a")))).alias("results"),
     )
 
@@ -318,34 +297,44 @@ def derived_whole(conversations: DataFrame) -> DataFrame:
 def turns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn with its whole text, formatted."""
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row"))
-    return turns(derived_whole(conversations), spark.createDataFrame(SCHEMAS, "name string, schema string"))
+    return turns(derived(conversations), spark.createDataFrame(SCHEMAS, "name string, schema string"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every call and orphan result of the whole conversations, linked."""
     schemas = spark.createDataFrame(SCHEMAS, "name string, schema string")
-    return linked(derived(table(spark, sf_dir, "conversations")), schemas).drop("content")
+    return linked(derived(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), schemas).drop("content")
 
 
 SQL = r"""
-with t as (
-  select conv_id, turn, role, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from conversations
-), m as (
-  select conv_id, turn, role, len(w) as n, translate(array_to_string(w[1:3], ' '), '"\', '') as q from t
+with m as (
+  select conv_id, turn, role, coalesce(text, '') as body, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n, ((3 * conv_id + turn) % 9 + 9) % 9 as defect
+  from conversations
+), assistant as (
+  select *, 'a-' || conv_id || '-' || case when defect = 0 and turn >= 2 then turn - 2 else turn end as a, 'b-' || conv_id || '-' || turn as b from m where role = 'assistant'
 ), calls as (
-  select conv_id, turn, 0::bigint as position, 'a-' || conv_id || '-' || turn as call_id, 'search' as name, '{"limit":' || (n % 12) || ',"query":"' || q || '"}' as arguments,
-    n % 12 between 1 and 9 and q <> '' as fits, case when turn >= 2 then turn - 2 end as need from m where role = 'assistant'
+  select conv_id, turn, (defect = 1)::bigint as position, a as call_id, case when defect = 2 then 'lookup' else 'search' end as name,
+    case when defect <> 3 then '{"limit":' || (n % 12) || ',"query":' || to_json(body)::varchar || '}' end as arguments,
+    case when defect = 2 then 'unknown_tool' when defect = 3 then 'bad_json' when n % 12 not between 1 and 9 or body = '' then 'invalid' end as wrong,
+    case when turn >= 2 then turn - 2 end as need, defect = 1 as cycle
+  from assistant
   union all
-  select conv_id, turn, 1, 'b-' || conv_id || '-' || turn, 'count', '{"of":"a-' || conv_id || '-' || turn || '","unit":"' || ['word', 'line', 'page'][n % 3 + 1] || '"}', n % 3 < 2, null from m where role = 'assistant'
+  select conv_id, turn, (defect <> 1)::bigint, b, 'count', '{"of":"' || a || '","unit":"' || ['word', 'line', 'page'][n % 3 + 1] || '"}',
+    case when n % 3 = 2 then 'invalid' end, null, defect = 1
+  from assistant
+), numbered as (
+  select *, row_number() over (partition by conv_id, call_id order by turn, position) as nth from calls
 ), results as (
-  select conv_id, turn, 'a-' || conv_id || '-' || (turn - 1) as call_id, q from m where role = 'user' union all
-  select conv_id, turn, 'b-' || conv_id || '-' || (turn - 1), q from m where role = 'user' and n % 2 = 0
+  select conv_id, turn, 'a-' || conv_id || '-' || (turn - 1) as call_id, body from m where role = 'user' union all
+  select conv_id, turn, 'b-' || conv_id || '-' || (turn - 1), body from m where role = 'user' and n % 2 = 0
 ), met as (
   select coalesce(c.conv_id, r.conv_id) as conv_id, coalesce(c.turn, r.turn) as turn, coalesce(c.position, -1) as position, coalesce(c.call_id, r.call_id) as call_id, c.name, c.arguments,
-    case when c.call_id is null then 'orphan' when c.need is not null and x.conv_id is null then 'missing_need' when not c.fits then 'invalid' when r.call_id is null then 'unanswered' else 'ok' end as status,
-    (r.call_id is not null)::bigint as n_results, r.turn as result_turn, r.q
-  from calls c full join results r on c.conv_id = r.conv_id and c.call_id = r.call_id left join m x on x.conv_id = c.conv_id and x.turn = c.need and x.role = 'assistant'
+    case when c.call_id is null then 'orphan' when c.nth > 1 then 'duplicate' when c.cycle then 'cycle' when c.need is not null and x.conv_id is null then 'missing_need'
+      when c.wrong is not null then c.wrong when r.call_id is null then 'unanswered' else 'ok' end as status,
+    (r.call_id is not null)::bigint as n_results, r.turn as result_turn, r.body
+  from numbered c full join results r on c.conv_id = r.conv_id and c.call_id = r.call_id left join assistant x on x.conv_id = c.conv_id and x.turn = c.need
 )
 select conv_id, turn, position, call_id, name, status, arguments, n_results, result_turn,
-  '{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || call_id || '","name":' || coalesce('"' || name || '"', 'null') || ',"result":' || coalesce('"' || q || '"', 'null') || ',"status":"' || status || '"}' as line
+  '{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || call_id || '","name":' || coalesce('"' || name || '"', 'null') || ',"result":' || coalesce(to_json(body)::varchar, 'null') || ',"status":"' || status || '"}' as line
 from met
 """
