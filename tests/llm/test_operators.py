@@ -194,6 +194,11 @@ def test_any_arguments_and_schemas_have_a_result(arguments, schema, text, wrong)
     assert chat_format.checked(arguments, schema) == (text, wrong)
 
 
+def test_many_tools_meet_calls_by_salt(spark, duck, monkeypatch):
+    monkeypatch.setattr(chat_format, "FEW_TOOLS", 0)
+    same(spark, duck, catalog.QUERIES["op2_chat_format"], catalog.SQL["op2_chat_format"], SMALL)
+
+
 def test_repeated_messages_and_long_arguments(spark):
     ddl = "conv_id long, turn long, calls array<struct<id string, name string, arguments string, after array<string>>>, results array<struct<id string, content string>>"
     long = json.dumps({"a": LONG, "half": "\ud83d"})

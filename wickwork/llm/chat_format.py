@@ -37,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickwork.llm.base import cut, table, words_of
+from wickwork.llm.base import cut, met_by_salt, table, words_of
 
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
 MAX_DEPTH = 100
+#: Tools whose schemas are sent to all tasks; more meet the calls by name and salt.
+FEW_TOOLS = 10_000
 HALF = re.compile("[\ud800-\udfff]")
 
 
@@ -211,8 +213,9 @@ def linked(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     calls = messages.where(F.size("calls") > 0).select("conv_id", "turn", "calls", *row).mapInArrow(
         _calls, "conv_id long, turn long, position long, call_id string, name string, arguments string, cycle boolean, needs array<string>" + row_long
     )
-    one = schemas.groupBy("name").agg(F.min("schema").alias("schema"))
-    calls = calls.join(one, "name", "left").select("conv_id", "turn", "position", "call_id", "name", "cycle", "needs", *row, "arguments", "schema")
+    # a tool's name may be that of most calls
+    one = schemas.where("name is not null").groupBy(F.col("name").alias("tool")).agg(F.min("schema").alias("schema"))
+    calls = met_by_salt(calls, one, "name", "tool", F.xxhash64("conv_id", "call_id"), FEW_TOOLS, "left").select("conv_id", "turn", "position", "call_id", "name", "cycle", "needs", *row, "arguments", "schema")
     calls = calls.mapInArrow(_checked, f"conv_id long, turn long, position long, call_id string, name string, cycle boolean, needs array<string>{row_long}, arguments string, wrong string")
     # a number of its own for each call, kept in a table so that all readers see the same
     calls = cut(calls.withColumn("number", F.monotonically_increasing_id()))
@@ -220,15 +223,16 @@ def linked(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     place = F.struct("turn", "position", "name", F.xxhash64("arguments").alias("hash"), "number")
     first = named.groupBy("conv_id", "call_id").agg(F.min(place).alias("first"))
     # needs of other messages: the needed call's first turn has to be earlier
-    need = calls.where(F.size("needs") > 0).select("conv_id", "turn", "number", F.explode("needs").alias("need"))
+    need = calls.where(F.size("needs") > 0).select("conv_id", "call_id", "turn", "number", F.explode("needs").alias("need"))
     at = first.select("conv_id", F.col("call_id").alias("need"), F.col("first.turn").alias("need_turn"))
-    lacking = need.join(at, ["conv_id", "need"], "left").where("need_turn is null or need_turn >= turn").select("number").distinct().withColumn("lacks", F.lit(True))
+    lacking = need.join(at, ["conv_id", "need"], "left").where("need_turn is null or need_turn >= turn").select("conv_id", "call_id", "number").distinct().withColumn("lacks", F.lit(True))
     results = messages.where(F.size("results") > 0).select("conv_id", "turn", *row, F.inline("results").alias("id", "content")).where("id is not null")
     results = results.groupBy("conv_id", F.col("id").alias("call_id")).agg(F.min(F.struct("turn", "content", *row)).alias("r"), F.count("*").alias("n_results"))
-    calls = calls.join(lacking, "number", "left")
-    met = calls.where("call_id is not null").join(first, ["conv_id", "call_id"], "left").join(results, ["conv_id", "call_id"], "full_outer")
+    # of an identifier's calls only the first can lack a need, the others are duplicates: so the calls' texts are dealt once
+    facts = first.withColumn("number", F.col("first.number")).join(lacking, ["conv_id", "call_id", "number"], "left").drop("number")
+    met = named.join(facts, ["conv_id", "call_id"], "left").join(results, ["conv_id", "call_id"], "full_outer")
     # calls without an id meet nothing and needn't be dealt
-    met = met.unionByName(calls.where("call_id is null"), allowMissingColumns=True)
+    met = met.unionByName(calls.where("call_id is null").join(lacking.select("number", "lacks"), "number", "left"), allowMissingColumns=True)
     status = (
         F.when(F.col("position").isNull(), "orphan").when(F.col("first.number") != F.col("number"), "duplicate").when(F.col("cycle"), "cycle").when(F.col("lacks"), "missing_need")
         .when(F.col("wrong").isNotNull(), F.col("wrong")).when(F.col("n_results").isNull(), "unanswered").otherwise("ok")
