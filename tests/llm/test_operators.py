@@ -9,6 +9,7 @@ import re
 import time
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -688,6 +689,26 @@ def test_decontamination_against_every_alignment(spark, duck):
         assert got[doc_id] == hit
 
 
+def test_decontamination_equals_sql_on_short_and_changed_items(spark, tmp_path):
+    r = np.random.default_rng(3)
+    items, texts = [], [None, "", "one two"]
+    for k in range(60):
+        words = [f"w{x}" for x in r.integers(0, 400, 3 + k % 25)]
+        items.append((k // 2, None if k == 8 else " ".join(words).title()))
+        for _ in range(2):
+            changed = [f"x{j}" if r.random() < 0.15 else w for j, w in enumerate(words)]
+            cut_at = r.integers(0, len(words)) if r.random() < 0.3 else 0
+            texts.append(" ".join([*(f"w{x}" for x in r.integers(0, 400, r.integers(0, 30))), *changed[cut_at:], *(f"W{x}" for x in r.integers(0, 400, r.integers(0, 9)))]))
+    items += [items[40], (None, "a b c d e f g"), (99, "")]
+    spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[50]])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    with duckdb.connect() as duck:
+        for name in ("documents", "benchmark"):
+            duck.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+        same(spark, duck, decontamination.query, decontamination.SQL, str(tmp_path))
+        assert 20 < duck.execute(f"select count(*) from ({decontamination.SQL}) where contaminated").fetchone()[0] < len(texts)
+
+
 def test_decontamination_on_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, " ".join(LONG.split()[5:40]))], "item_id long, text string")
     assert {r.doc_id for r in decontamination.clean(odd, bench).collect()} == {None, 0, 1, 2, 4, 5}

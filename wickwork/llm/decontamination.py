@@ -196,3 +196,51 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", leak.isNotNull().alias("contaminated"), leak["item_id"].alias("item_id"), F.coalesce(leak["items"], F.lit(0)).cast("long").alias("n_items"),
         F.coalesce(leak["equal"], F.lit(0)).cast("long").alias("equal_words"), leak["words"].alias("item_words"),
     )
+
+
+def _seed_sql(words: str, owner: str, mask: str, only: str = "") -> str:
+    """Window text of a mask at each place of a table of words (owner, place, word, n)."""
+    used = ", ".join(f"lead(word, {i}) over o" for i, c in enumerate(mask) if c == "1")
+    return f"select {owner}, place, '{mask}' as mask, case when place + {len(mask) - 1} <= n then concat_ws(' ', {used}) end as seed from {words}{only} window o as (partition by {owner} order by place)"
+
+
+_SHORT = ["1" * n for n in range(SHORTEST, SPAN)]
+_DOC_SEEDS = " union all ".join([_seed_sql("doc_words", "d", m) for m in MASKS] + [_seed_sql("doc_words", "d", m, f" where exists (from items where len(w) = {len(m)})") for m in _SHORT])
+_ITEM_SEEDS = " union all ".join([_seed_sql("item_words", "k", m, f" where n >= {SPAN}") for m in MASKS] + [_seed_sql("item_words", "k", m, f" where n = {len(m)}") for m in _SHORT])
+SQL = rf"""
+with docs as materialized (
+  select row_number() over () as d, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), items as materialized (
+  select row_number() over (order by item_id, text) as k, item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from benchmark where text is not null and item_id is not null
+), doc_words as materialized (select d, len(w) as n, generate_subscripts(w, 1) as place, unnest(w) as word from docs
+), item_words as materialized (select k, len(w) as n, generate_subscripts(w, 1) as place, unnest(w) as word from items
+), doc_seeds as ({_DOC_SEEDS}
+), item_seeds as ({_ITEM_SEEDS}
+), lies as (
+  select distinct d, k, x.place - y.place as lie from doc_seeds x join item_seeds y using (mask, seed) where seed is not null
+), steps as (
+  select d, k, lie, 0 as place, false as same from lies
+  union all
+  select l.d, l.k, l.lie, i.place, i.word = w.word from lies l join item_words i on i.k = l.k join doc_words w on w.d = l.d and w.place = i.place + l.lie
+), sums as (
+  select d, k, lie, place, sum(case when place = 0 then 0 when same then 1 else {MISMATCH} end) over o as score, sum(same::int) over o as equal
+  from steps window o as (partition by d, k, lie order by place)
+), gains as (
+  select d, k, lie, place, score - min(score) over o as gain, equal - arg_min(equal, score * 1000000 + place) over o as equal
+  from sums window o as (partition by d, k, lie order by place rows unbounded preceding)
+), best as (
+  select d, k, lie, arg_max(equal, gain * 1000000 - place)::bigint as equal from gains group by d, k, lie
+), found as (
+  select b.d, b.k, i.item_id, len(i.w) as words, max(equal) as equal from best b join items i using (k)
+  where equal >= least({ENOUGH}, ceil({SHARE} * len(i.w))) group by all
+), leaks as (
+  select d, count(*) as n_items, first(struct_pack(item_id, equal, words) order by equal desc, item_id, k) as top from found group by d
+)
+select doc_id, l.d is not null as contaminated, top.item_id as item_id, coalesce(n_items, 0)::bigint as n_items,
+  coalesce(top.equal, 0)::bigint as equal_words, top.words::bigint as item_words
+from docs left join leaks l using (d)
+"""
