@@ -19,6 +19,7 @@ QUERIES = {
 }
 SQL = {
     "op2_chat_format": chat_format.SQL,
+    "op2_chat_turns": chat_format.TURNS_SQL,
     "op9_decontamination": decontamination.SQL,
     "op8_minhash_near_dedup": near_dedup.SQL,
     "op4_quality_rules": quality_rules.SQL,

@@ -342,3 +342,12 @@ select conv_id, turn, position, call_id, name, status, arguments, n_results, res
   '{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || call_id || '","name":' || coalesce('"' || name || '"', 'null') || ',"result":' || coalesce(to_json(body)::varchar, 'null') || ',"status":"' || status || '"}' as line
 from met
 """
+TURNS_SQL = f"""
+with linked as ({SQL}), of_turn as (
+  select conv_id, turn, string_agg(line, ',' order by position) filter (position >= 0) as calls, string_agg(line, ',' order by line) filter (position < 0) as orphans
+  from linked group by conv_id, turn
+)
+select conv_id, turn, role,
+  '{{"calls":[' || coalesce(calls, '') || '],"content":' || coalesce(to_json(text)::varchar, 'null') || ',"orphans":[' || coalesce(orphans, '') || '],"role":' || coalesce(to_json(role)::varchar, 'null') || ',"turn":' || turn || '}}' as line
+from conversations left join of_turn using (conv_id, turn)
+"""
