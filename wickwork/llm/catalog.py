@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wickwork.llm import chat_format, decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
+from wickwork.llm import chat_format, decontamination, fingerprints, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
 
 QUERIES = {
     "op2_chat_format": chat_format.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules.query,
     "op6_mix_sources": mixing.query,
     "op10_line_dedup": line_dedup.query,
+    "op11_fingerprints": fingerprints.query,
 }
 SQL = {
     "op2_chat_format": chat_format.SQL,
