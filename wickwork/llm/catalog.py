@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wickwork.llm import chat_format, decontamination, fingerprints, line_dedup, lm_scoring, mixing, near_dedup, pii, quality_classifier, quality_rules, token_output
+from wickwork.llm import chat_format, decontamination, fingerprints, line_dedup, lm_scoring, mixing, near_dedup, pii, prefix_trie, quality_classifier, quality_rules, token_output, whitening
 
 QUERIES = {
     "op2_chat_format": chat_format.query,
@@ -17,6 +17,8 @@ QUERIES = {
     "op6_mix_sources": mixing.query,
     "op10_line_dedup": line_dedup.query,
     "op11_fingerprints": fingerprints.query,
+    "op12_whitening": whitening.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 SQL = {
     "op2_chat_format": chat_format.SQL,
@@ -26,4 +28,5 @@ SQL = {
     "op4_quality_rules": quality_rules.SQL,
     "op6_mix_sources": mixing.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
