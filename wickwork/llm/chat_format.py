@@ -6,17 +6,19 @@ identifier, after each side was reduced to one row an identifier, so neither a c
 identifier that holds most rows gathers in one task. A call can only need calls of earlier messages or of
 its own; so the order among messages is that of turns, and only the calls of one message, which are one
 row, have to be sorted topologically (by id where that leaves a choice). Arguments are validated against
-the schema of the call's name: type, required, properties, additionalProperties, items, enum, minimum,
-maximum, minLength, maxLength.
+the schema of the call's name: type, required, properties, additionalProperties, items, enum, const, minimum,
+maximum, exclusiveMinimum, exclusiveMaximum, multipleOf, minLength, maxLength, minItems, maxItems, uniqueItems,
+minProperties, maxProperties, allOf, anyOf, oneOf, not. A schema with another word that decides (LACKING: $ref,
+pattern, if and so on) can't be applied, so its calls are never "ok"; words that only describe are ignored.
 
 A call's status, the first that holds: "duplicate" (its identifier came before), "cycle", "missing_need" (a
-needed call isn't in this or an earlier message), "unknown_tool", "bad_schema" (the tool's schema isn't JSON or
-uses the words above in another form), "bad_json", "invalid" (breaks the schema), "unanswered", else "ok". If
+needed call isn't in this or an earlier message), "unknown_tool", "bad_schema" (the tool's schema isn't JSON,
+uses the words above in another form or one of LACKING), "bad_json", "invalid" (breaks the schema), "unanswered", else "ok". If
 results repeat the first by turn counts. A result without a call is a row of its own with status "orphan".
 
 Arguments are bad_json as well if they nest more than MAX_DEPTH deep or hold a number that JSON can't write (NaN,
 1e999, an integer of more than 4,300 digits). Half of a surrogate pair is written as its escape. Values are equal
-as JSON: 1 and 1.0 are, 1 and true aren't.
+as JSON: 1 and 1.0 are, 1e16 and 10000000000000000 too, 1 and true aren't.
 
 Defined results: null arrays hold nothing, a null id matches nothing and a call with one is unanswered at
 best. Rows that repeat (conv_id, turn) count as one message each, also if all else repeats: the calls of the
@@ -29,8 +31,11 @@ results as one line of canonical JSON, in the order of conversations and turns (
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterator
+from decimal import Decimal
+from fractions import Fraction
 from functools import lru_cache
 
 import pyarrow as pa
@@ -43,6 +48,11 @@ TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null":
 
 
 MAX_DEPTH = 100
+# Words of JSON Schema that decide and aren't applied here.
+LACKING = {
+    "$ref", "$dynamicRef", "$recursiveRef", "pattern", "patternProperties", "propertyNames", "dependencies", "dependentRequired", "dependentSchemas", "if", "then", "else", "contains", "minContains", "maxContains",
+    "prefixItems", "additionalItems", "unevaluatedItems", "unevaluatedProperties", "contentSchema", "disallow", "extends", "divisibleBy",
+}
 #: Tools whose schemas are sent to all tasks; more meet the calls by name and salt.
 FEW_TOOLS = 10_000
 HALF = re.compile("[\ud800-\udfff]")
@@ -52,7 +62,7 @@ def canonical(value: object) -> str:
     """JSON with sorted keys, no spaces, and whole numbers without a fraction."""
 
     def plain(x: object) -> object:
-        if isinstance(x, float) and x.is_integer() and abs(x) < 2**53:
+        if isinstance(x, float) and x.is_integer():
             return int(x)
         if isinstance(x, dict):
             return {k: plain(v) for k, v in x.items()}
@@ -62,10 +72,19 @@ def canonical(value: object) -> str:
     return HALF.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
+def _fraction(text: str) -> int | float:
+    """A number with a point or an exponent: an integer where it is one, digit by digit, however large."""
+    near = float(text)
+    if not math.isfinite(near) or not near.is_integer():
+        return near
+    exact = Decimal(text)
+    return int(exact) if exact == exact.to_integral_value() else near
+
+
 def parsed(text: str | None) -> object:
     """The JSON value of a text; ValueError if it is none or nests too deep."""
     try:
-        value = json.loads(text if text is not None else "")
+        value = json.loads(text if text is not None else "", parse_float=_fraction)
     except RecursionError:
         raise ValueError("too deep") from None
     level = [value]
@@ -92,13 +111,35 @@ def is_schema(s: object) -> bool:
         return isinstance(s, bool)
     kinds = s.get("type", [])
     kinds = [kinds] if isinstance(kinds, str) else kinds
+    count = lambda k: _number(s.get(k, 0)) and s.get(k, 0) >= 0
     return (
-        isinstance(kinds, list) and all(isinstance(k, str) and (k in TYPES or k in ("number", "integer")) for k in kinds)
+        not LACKING & s.keys()
+        and isinstance(kinds, list) and all(isinstance(k, str) and (k in TYPES or k in ("number", "integer")) for k in kinds)
         and isinstance(s.get("enum", []), list)
         and isinstance(s.get("required", []), list) and all(isinstance(k, str) for k in s.get("required", []))
         and isinstance(s.get("properties", {}), dict) and all(map(is_schema, s.get("properties", {}).values()))
-        and is_schema(s.get("additionalProperties", True)) and is_schema(s.get("items", True))
-        and all(_number(s.get(k, 0)) for k in ("minimum", "maximum", "minLength", "maxLength"))
+        and all(is_schema(s.get(k, True)) for k in ("additionalProperties", "items", "not"))
+        and all(isinstance(s.get(k, [True]), list) and s.get(k, [True]) and all(map(is_schema, s.get(k, [True]))) for k in ("allOf", "anyOf", "oneOf"))
+        and all(_number(s.get(k, 0)) for k in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"))
+        and all(map(count, ("minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties")))
+        and _number(s.get("multipleOf", 1)) and s.get("multipleOf", 1) > 0 and isinstance(s.get("uniqueItems", False), bool)
+    )
+
+
+def _between(n: int, schema: dict, of: str) -> bool:
+    return schema.get(f"min{of}", 0) <= n <= schema.get(f"max{of}", n)
+
+
+def _multiple(x: int | float, step: int | float) -> bool:
+    """As decimals, as they are written: 0.3 is three times 0.1."""
+    return (Fraction(repr(x)) / Fraction(repr(step))).denominator == 1
+
+
+def _combined(x: object, schema: dict) -> bool:
+    holds = lambda k: [valid(x, s) for s in schema[k]]
+    return (
+        ("allOf" not in schema or all(holds("allOf"))) and ("anyOf" not in schema or any(holds("anyOf")))
+        and ("oneOf" not in schema or sum(holds("oneOf")) == 1) and ("not" not in schema or not valid(x, schema["not"]))
     )
 
 
@@ -108,17 +149,17 @@ def valid(x: object, schema: dict | bool) -> bool:
     kinds = schema.get("type")
     if kinds is not None and not any(_is(x, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return False
-    if "enum" in schema and canonical(x) not in map(canonical, schema["enum"]):
+    if "enum" in schema and canonical(x) not in map(canonical, schema["enum"]) or "const" in schema and canonical(x) != canonical(schema["const"]) or not _combined(x, schema):
         return False
     if isinstance(x, dict):
         known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
-        return all(k in x for k in schema.get("required", ())) and all(valid(v, known.get(k, more)) for k, v in x.items())
+        return _between(len(x), schema, "Properties") and all(k in x for k in schema.get("required", ())) and all(valid(v, known.get(k, more)) for k, v in x.items())
     if isinstance(x, list):
-        return all(valid(v, schema.get("items", True)) for v in x)
+        return _between(len(x), schema, "Items") and (not schema.get("uniqueItems") or len({canonical(v) for v in x}) == len(x)) and all(valid(v, schema.get("items", True)) for v in x)
     if isinstance(x, str):
-        return schema.get("minLength", 0) <= len(x) <= schema.get("maxLength", len(x))
+        return _between(len(x), schema, "Length")
     if _number(x):
-        return schema.get("minimum", x) <= x <= schema.get("maximum", x)
+        return schema.get("minimum", x) <= x <= schema.get("maximum", x) and ("exclusiveMinimum" not in schema or x > schema["exclusiveMinimum"]) and ("exclusiveMaximum" not in schema or x < schema["exclusiveMaximum"]) and ("multipleOf" not in schema or _multiple(x, schema["multipleOf"]))
     return True
 
 
