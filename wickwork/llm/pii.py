@@ -1,21 +1,23 @@
 """PII: format-preserving pseudonyms from a keyed Feistel network.
 
 A text is read once from left to right and each value found belongs to one kind: mail addresses, secrets
-(values after password=, secret=, token=, api_key= or the like; keys that begin with AKIA or sk-), phone
-numbers, cards, dates, social security numbers and IPv4 addresses. Numbers are validated (Luhn for cards, ranges
+(values after password=, secret=, token=, api_key= or the like, also as JSON, with a quote before the colon; what
+follows Bearer; keys that begin with AKIA, sk-, ghp_ or its kin), phone numbers, cards, dates, social security numbers and IPv4 addresses. Numbers are validated (Luhn for cards, ranges
 for social security numbers and addresses, the calendar for dates of 1900 to 2099; phone numbers may have any area
 code and exchange). A value is a number in the domain of its format, and the network permutes that domain under a
 key. The result has the same format and passes the same validation, equal values get equal pseudonyms in every
 document and different ones different. A pseudonym is found where its value was and as the same kind, so the key's
 holder can turn texts back. A mail address's local part is permuted as a whole, each character within its class
-(small letter, capital, digit), and so are its host and any secret that isn't hexadecimal.
+(small letter, capital, digit), and so are its host and any secret that isn't hexadecimal. Values of more than
+CHUNK characters are permuted chunk by chunk, once forwards and once backwards, each chunk under a hash of those before
+or after it: time is linear, and every character of the pseudonym depends on every one of the value.
 
 Not covered: names, postal addresses, phone numbers without separators or of other countries' forms, IBAN, IPv6,
-other secrets. A part of one or two letters has a small domain: it is hidden from readers, not from guessing.
+secrets in other forms. A part of one or two letters has a small domain: it is hidden from readers, not from guessing.
 
 Texts are rewritten where they lie: no shuffle and no table of values.
 
-Defined results: null stays null, and a text without values stays as it is, however long. Rows that repeat are
+Defined results: null stays null, and a text without values stays as it is. Texts and values may have any length. Rows that repeat are
 rewritten alike, no rows give none. Other columns are ignored.
 """
 
@@ -34,17 +36,20 @@ from pyspark.sql import DataFrame, SparkSession
 from wickwork.llm.base import table
 
 ROUNDS = 8
+#: Characters of a long value that are permuted at once, and bits of a domain up to which a round's function has its short form.
+CHUNK, SHORT_BITS = 128, 256
 KINDS = ("card", "phone", "ssn", "ip", "date", "email", "secret")
 LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 # The patterns. Named groups are the kinds.
-SECRET_NAME = r"(?i:password|passwd|pwd|secret|api_key|apikey|access_token|token)"
+SECRET_NAME = r"(?i:password|passwd|pwd|secret|api[_-]?key|access_token|token)"
 PATTERN = re.compile(
-    r"(?P<email>(?<![\w.+-])(?P<local>[A-Za-z0-9._%+-]+)@(?P<host>(?:[A-Za-z0-9-]+\.)+)[A-Za-z]{2,}(?!\w))"
+    r"(?P<email>(?<![\w.%+-])(?P<local>[A-Za-z0-9._%+-]+)@(?P<host>(?:[A-Za-z0-9-]+\.)+)[A-Za-z]{2,}(?!\w))"
     r"|(?P<secret>\b(?:"
-    r"(?P<name>" + SECRET_NAME + r"\s*[=:]\s*[\"']?)(?:(?P<hex>[0-9a-f]{8,}|[0-9A-F]{8,})(?![\w&!@#$%^*+~-])|(?P<word>(?=[A-Za-z&!@#$%^*_+~-]*[0-9])(?=[0-9&!@#$%^*_+~-]*[A-Za-z])[\w&!@#$%^*+~-]{8,}))"
-    r"|(?P<key>AKIA)(?P<tail>[0-9A-Z]{16})\b|sk-(?P<sk>[A-Za-z0-9]{16,})\b))"
+    r"(?P<name>" + SECRET_NAME + r"[\"']?\s*[=:]\s*[\"']?)(?:(?P<hex>[0-9a-f]{8,}|[0-9A-F]{8,})(?![\w&!@#$%^*+~-])|(?P<word>(?=[A-Za-z&!@#$%^*_+~-]*[0-9])(?=[0-9&!@#$%^*_+~-]*[A-Za-z])[\w&!@#$%^*+~-]{8,}))"
+    r"|(?P<bearer>(?i:bearer)\s+)(?P<ticket>(?=[A-Za-z._~+/-]*[0-9])(?=[0-9._~+/-]*[A-Za-z])[\w.~+/-]{8,}=*)"
+    r"|(?P<key>AKIA)(?P<tail>[0-9A-Z]{16})\b|(?P<brand>sk-|gh[pousr]_)(?P<sk>[A-Za-z0-9]{16,})\b))"
     r"|(?<![\w.+-])(?:"
     r"(?P<phone>(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})"
     r"|(?P<card>[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
@@ -52,7 +57,7 @@ PATTERN = re.compile(
     r"|(?P<ssn>[0-9]{3}-[0-9][0-9]-[0-9]{4})"
     r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])))(?!\w)"
 )
-#: What every value holds.
+#: What every value holds that has no secret's name before it.
 SIGN = re.compile(r"[@0-9]")
 
 
@@ -64,7 +69,12 @@ class Feistel:
         self.permute = lru_cache(100_000)(self._permute)
 
     def _round(self, tag: str, n: int, i: int, half: int, size: int) -> int:
-        return int.from_bytes(hashlib.blake2b(f"{tag}|{n}|{i}|{half}".encode(), key=self.key, digest_size=24).digest(), "big") % size
+        if n.bit_length() <= SHORT_BITS:
+            return int.from_bytes(hashlib.blake2b(f"{tag}|{n}|{i}|{half}".encode(), key=self.key, digest_size=24).digest(), "big") % size
+        # as many bits as the half has and 64 more, so that none stays where it is and no residue is likelier than another
+        number = lambda x: (b := x.to_bytes(x.bit_length() // 8 + 1, "big")) and len(b).to_bytes(8, "big") + b
+        seed = hashlib.blake2b(tag.encode() + b"|" + number(n) + number(i) + number(half), key=self.key, digest_size=32).digest()
+        return int.from_bytes(hashlib.shake_256(seed).digest((size.bit_length() + 64) // 8 + 1), "big") % size
 
     def _permute(self, tag: str, n: int, x: int, back: bool = False) -> int:
         a = math.isqrt(n - 1) + 1
@@ -85,6 +95,8 @@ class Feistel:
         """s, whose characters are each in the alphabet of their place, permuted among all such texts."""
         if not s:
             return s
+        if len(s) > CHUNK:
+            return self._chunks(tag, s, alphabets, back)
         x, n, out = 0, 1, []
         for c, a in zip(s, alphabets, strict=True):
             x, n = x * len(a) + a.index(c), n * len(a)
@@ -94,6 +106,20 @@ class Feistel:
             out.append(a[c])
         return "".join(reversed(out))
 
+    def _chunks(self, tag: str, s: str, alphabets: Sequence[str], back: bool) -> str:
+        """A long text in two passes over its chunks; turned back, each pass finds the chunks that it was keyed with as they were."""
+        form = hashlib.blake2b("\n".join([tag, *alphabets]).encode(), digest_size=16).hexdigest()
+        at = range(0, len(s), CHUNK)
+        parts, own = [s[i : i + CHUNK] for i in at], [alphabets[i : i + CHUNK] for i in at]
+        passes = [("forth", list(range(len(parts)))), ("back", list(reversed(range(len(parts)))))]
+        for name, order in reversed(passes) if back else passes:
+            seen = hashlib.blake2b(f"{name} {form} {len(s)}".encode(), digest_size=16)
+            for i in order:
+                new = self.text(f"{name} {form} {i} {seen.hexdigest()}", parts[i], own[i], back)
+                seen.update((parts[i] if back else new).encode())
+                parts[i] = new
+        return "".join(parts)
+
     def classes(self, tag: str, s: str, back: bool = False) -> str:
         """Small letters, capitals and digits of s, each within its class and all together; other characters stay."""
         own = [next((a for a in (LOWER, UPPER, DIGITS) if c in a), c) for c in s]
@@ -200,7 +226,9 @@ def secret(f: Feistel, m: re.Match, back: bool) -> str:
     if m["key"]:
         return m["key"] + f.text("key", m["tail"], [DIGITS + UPPER] * 16, back)
     if m["sk"]:
-        return "sk-" + f.classes("sk", m["sk"], back)
+        return m["brand"] + f.classes(m["brand"].rstrip("-_"), m["sk"], back)
+    if m["ticket"]:
+        return m["bearer"] + f.classes("ticket", m["ticket"], back)
     if m["hex"]:
         return m["name"] + hexadecimal(f, m["hex"], back)
     # must not become hexadecimal, or it would be turned back as such
