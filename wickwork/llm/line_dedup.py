@@ -7,8 +7,9 @@ to all tasks (a bounded number), the others are dealt by hash. The texts move on
 they lose, and are joined again by the positions that are left; time is linear in a text's lines.
 
 Defined results: a null or empty text is one empty line. A document without an id is not counted and
-loses no line. Rows that repeat an id count as one document; each loses the same lines. Other columns
-are ignored, whatever their names.
+loses no line. Rows that repeat an id count as one document; each loses the same lines, and time is linear in
+their number. Very long texts are one row like any other, their lines an array of it. An empty table gives no
+rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ def shared_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     held = cut(keys.select("doc_id", "row", "pos", _hash(F.col("key")).alias("hash")))
     common = held.select("doc_id", "hash").distinct().groupBy("hash").agg(F.count("*").alias("docs"), F.max("doc_id").alias("keeper"))
     lost = met_by_key(held, cut(common.where(F.col("docs") >= min_docs)), "hash", "docs").where(F.col("doc_id") < F.col("keeper"))
-    return lost.groupBy("doc_id", "row").agg(F.collect_list("pos").alias("lost"))
+    # a set: rows that repeat give each position once, however often they do
+    return lost.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("lost"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
@@ -45,7 +47,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
     stays = F.when(F.col("lost").isNull(), F.col("lines")).otherwise(F.transform(left, lambda i: F.get("lines", i)))
     return met.select(
-        "doc_id", F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size(F.array_distinct("lost")), F.lit(0)).cast("long").alias("n_dropped"), F.array_join(stays, "\n").alias("kept_text"),
+        "doc_id", F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_dropped"), F.array_join(stays, "\n").alias("kept_text"),
     )
 
 
