@@ -16,8 +16,10 @@ each stratum, share and cell of the grid, summed before the shuffle.
 
 Defined results: a null text has no words and fails the base rule. A null language is a stratum. If an
 id has several labels the worst counts; null labels count for nothing; with no labels only the base
-rule holds. Rows that repeat an id are judged each by its text, and each counts in the holdout. No rows
-give none. rules ignores other columns, filtered returns them untouched, whatever their names.
+rule holds. Rows that repeat an id are judged each by its text. The holdout has each text of a language once,
+with the worst of its labels: copies aren't independent draws and would certify cutoffs by repetition. No
+rows give none. A very long text is counted within its row, as others are. rules ignores other columns,
+filtered returns them untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ ALPHA = 0.02
 DELTA = 0.05
 GOOD_WEIGHT = 20
 BROADCAST_CUTOFFS = 20_000
+COUNTS = ("q_words", "q_chars", "q_symbols", "q_capitals", "q_all_lines", "q_dup_lines", "q_repeat_words")
 
 
 def _removed(text: str, characters: str) -> Column:
@@ -61,6 +64,7 @@ def counts(docs: DataFrame) -> DataFrame:
     covered = F.zip_with("q_starts", F.slice("q_starts", 2, F.greatest(F.size("q_starts"), F.lit(1))), lambda a, b: F.least(F.coalesce(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
     d = d.withColumn("q_lines", F.filter(F.split("q_text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != ""))
     found = {
+        "q_text_hash": F.xxhash64("q_text"),
         "q_words": F.size("q_hash"),
         "q_chars": _removed("q_text", SPACE),
         "q_symbols": F.char_length("q_text") - _removed("q_text", SYMBOLS),
@@ -104,7 +108,9 @@ def certified(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta
     cell = lambda x: F.size(F.filter(F.array(*map(F.lit, GRID)), lambda c: c < x))  # noqa: E731  cutoffs under the share
     shares = F.explode(F.array(*(F.struct(F.lit(s).alias("share"), cell(share_of(s)).alias("cell")) for s in SHARES)))
     # good documents that the base rule rejects anyway aren't the cutoffs' doing
-    held = counted.where(~base_failed()).join(known, "doc_id").select(F.col("lang").alias("stratum"), "quality", shares.alias("x"))
+    # copies are no further evidence: of rows of one text the worst label counts, once
+    drawn = counted.where(~base_failed()).join(known, "doc_id").groupBy("lang", "q_text_hash", *COUNTS).agg(F.min("quality").alias("quality"))
+    held = drawn.select(F.col("lang").alias("stratum"), "quality", shares.alias("x"))
     cells = held.groupBy("stratum", "x.share", "x.cell").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
     tests = cells.select("stratum", "share").distinct().select("stratum", "share", F.posexplode(F.array(*map(F.lit, GRID))).alias("i", "cutoff"))
     same = F.col("t.stratum").eqNullSafe(F.col("c.stratum")) & (F.col("t.share") == F.col("c.share"))
@@ -169,7 +175,7 @@ words as (
 ), covered as (
   select doc_id, sum(least(8, coalesce(nxt - i, 8)))::bigint as n from (select doc_id, i, lead(i) over (partition by doc_id order by i) as nxt from repeated) group by doc_id
 ), counted as (
-  select w.doc_id, lang, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+  select w.doc_id, lang, text, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
     (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::bigint as n_capitals,
     len(l)::bigint as n_lines, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words
@@ -181,7 +187,10 @@ words as (
   from counted
 ), held as (
   select lang, quality, unnest(['symbols', 'capitals', 'repeats', 'lines']) as share, unnest([symbols, capitals, repeats, lines_]) as x
-  from base join (select doc_id, min(quality) as quality from labels where quality is not null group by 1) using (doc_id) where not base_failed
+  from (
+    select lang, text, min(quality) as quality, any_value(symbols) as symbols, any_value(capitals) as capitals, any_value(repeats) as repeats, any_value(lines_) as lines_
+    from base join (select doc_id, min(quality) as quality from labels where quality is not null group by 1) using (doc_id) where not base_failed group by lang, text
+  )
 ), tests as (
   select lang, share, cutoff, count(*) filter (where quality = 1) as n, count(*) filter (where quality = 1 and x > cutoff) as k, count(*) filter (where quality = 0 and x > cutoff) as bad
   from held, (select unnest([0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.6])::double as cutoff) group by all
