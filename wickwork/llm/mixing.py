@@ -1,6 +1,6 @@
 """Mixing sources to target weights with hash-threshold histograms.
 
-Sizes are summed by source and the leading bits of a hash of doc_id. A running sum over the buckets of
+Sizes are summed by source and the leading bits of a hash of the row's id, text and place among its equals. A running sum over the buckets of
 one source (at most 2 to the BITS of them) shows which bucket the budget ends in; only the rows of that
 bucket are summed again, by the next bits. Three rounds leave a handful of rows, and a row is then taken
 if its hash lies under its source's threshold: no sort of rows, and a larger budget always takes a
@@ -10,9 +10,11 @@ whole times, and the rest by threshold.
 A source's rows never meet in one task: partial sums are taken before every shuffle. The tables of
 thresholds have one row per source; beyond BROADCAST_SOURCES rows they meet the documents by salt.
 
-Defined results: a null text has size 0; null is a source of its own, last in order. Rows with the same
-id share a hash, so both are taken or neither is. With no words at all every target is 0, with no rows there
-are none. mix ignores other columns, mixed returns them untouched, whatever their names.
+Defined results: a null text has size 0; null is a source of its own, last in order. Rows that share an id
+differ by their text in the hash; rows with the same id and text are numbered, so that any of them can be taken
+without the others, however many they are. Which of them have which number doesn't matter to the words taken. With
+no words at all every target is 0, with no rows there are none. A very long text is sized within its row.
+mix ignores other columns, mixed returns them untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,14 +30,42 @@ HASH_BITS = 60
 BROADCAST_SOURCES = 20_000
 
 
+def _texts(docs: DataFrame, *columns: Column) -> DataFrame:
+    return docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "source", *columns)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text_md5, source) with copy: 1, 2, ... among those that agree in all three.
+
+    Most tables have no such rows and get 1 throughout. Where there are some, only they are written once and numbered
+    in the tasks that hold them, after the counts of the tasks before, so that no group meets in one task.
+    """
+    keys = ["doc_id", "text_md5", "source"]
+    renamed = [F.col(k).alias(f"r_{k}") for k in keys]
+    repeated = cut(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*renamed))
+    if not repeated.head(1):
+        return rows.withColumn("copy", F.lit(1).cast("long"))
+    same = F.col("text_md5") == F.col("r_text_md5")
+    for k in ("doc_id", "source"):
+        same = same & F.col(k).eqNullSafe(F.col(f"r_{k}"))
+    again = cut(rows.join(repeated, same, "left_semi").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = again.groupBy(*keys, "part").agg(F.count("*").alias("n"))
+    starts = starts.select(*renamed, F.col("part").alias("r_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy(*keys, "part").orderBy(F.lit(1)))
+    met = again.withColumn("place", place).join(starts, same & (F.col("part") == F.col("r_part"))).withColumn("copy", (F.col("place") + F.col("start")).cast("long"))
+    return rows.join(repeated, same, "left_anti").withColumn("copy", F.lit(1).cast("long")).unionByName(met.select(*rows.columns, "copy"))
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, h): h is the first 60 bits of the MD5 of the id's text."""
-    return docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), hash_of(F.col("doc_id")).alias("h"))
+    """(doc_id, source, size, h): h is the first 60 bits of the MD5 of the id, the text's MD5 and the row's number among its equals."""
+    rows = numbered(cut(_texts(docs, F.size(words_of(F.col("text"))).cast("long").alias("size"))))
+    return rows.select("doc_id", "source", "size", hash_of().alias("h"))
 
 
-def hash_of(doc_id: Column) -> Column:
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4)
-    return F.conv(digits, 16, 10).cast("long")
+def hash_of() -> Column:
+    whole = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_md5", F.col("copy").cast("string"))
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -110,7 +140,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) ->
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The rows of docs as the mix takes them: left out, or repeated whole."""
     plan = source_plan(cut(sized(docs)), weights, most)
-    rows = docs.select(F.struct(*docs.columns).alias("mix_row"), "source", hash_of(F.col("doc_id")).alias("mix_h"))
+    rows = numbered(_texts(docs, F.struct(*docs.columns).alias("mix_row"))).select("mix_row", "source", hash_of().alias("mix_h"))
     met = with_copies(rows, plan, F.col("mix_h"), most).select("mix_row", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies").cast("int"))))
     return met.select("mix_row.*")
 
@@ -122,7 +152,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 with rows as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-    ('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint as h
+    ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, '')) || ':' || row_number() over (partition by doc_id, coalesce(text, ''), source)), 1, 15))::bigint as h
   from documents
 ), sizes as (
   select source, sum(size)::bigint as source_size from rows group by source
