@@ -257,7 +257,7 @@ def test_store(spark, tmp_path):
     import pyarrow.parquet as pq
 
     assert all(str(pq.read_schema(p).field("ts").type).startswith("timestamp[us") for p in (tmp_path / "store/data").rglob("*.parquet"))
-    df.withColumn("close", F.col("close") + 0.5).drop("_seq").write.mode("overwrite").partitionBy("symbol", "resolution").parquet(root + "/data")
+    df.withColumn("close", F.col("close") + 0.5).drop("_seq").write.mode("overwrite").partitionBy("symbol", "resolution").parquet(f"{root}/data/snapshot={store.snapshots(spark, root)[-1]}")
     assert not store.verify_integrity(spark, root, "X", "1")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime
 import importlib
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from wickwork.operators import clean, validate
 from wickwork.operators.schema import resequenced
 from wickwork.plans import store
-from wickwork.sources import payloads, provider
+from wickwork.plans.scratch import kept
+from wickwork.sources import payloads, probe, provider
 
 
 @dataclass
@@ -34,7 +35,7 @@ def download(answers: DataFrame, root: str | None, *, source: str, operations: S
     """answers: a payload table (wickwork.sources.payloads). With root None nothing is stored. A refusal is returned, not raised."""
     rows, chunks, coverage = payloads.fetch(answers)
     cleaned, record = clean.clean(rows, operations)
-    cleaned = resequenced(cleaned).persist()
+    cleaned = kept(resequenced(cleaned))
     found = validate.issues(cleaned, rules, requested=answers.select("symbol", "resolution"))
     out = Outcome(cleaned, coverage, found, record)
     if not cleaned.head(1):
@@ -52,14 +53,22 @@ def exit_code(outcome: Outcome) -> int:
     return int(outcome.manifests is None or bool(outcome.manifests.where("not is_authoritative").head(1)))
 
 
-def _fetcher(name: str) -> Callable[[str, str, datetime.date, datetime.date], str]:
+def _fetcher(name: str) -> payloads.Fetch:
     """The vendor's function (symbol, resolution, first day, last day) -> payload, by "module:function"."""
     module, _, function = name.partition(":")
     return getattr(importlib.import_module(module), function)
 
 
+def _probe(spark: SparkSession, a: argparse.Namespace) -> int:
+    """0 and the first day found, or 1 where no window has candles."""
+    asked = spark.createDataFrame([(a.symbol, a.resolution, a.start, a.end)], "symbol string, resolution string, oldest date, newest date")
+    found = probe.earliest(asked, probe.live_answer(_fetcher(a.fetch), a.pause, a.partitions)).first().earliest
+    print(found or "no data in the probed range")
+    return int(found is None)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
-    """Exit codes: 0 authoritative (or, with --no-persist, usable), 1 not, 2 usage, 3 authentication."""
+    """Exit codes: 0 authoritative (or, with --no-persist, usable; with --probe, found), 1 not, 2 usage, 3 authentication."""
     p = argparse.ArgumentParser(prog="wickwork", description="Store vendor payloads (Parquet: symbol, resolution, chunk, from_date, to_date, payload, or a vendor's function) as validated candles, or check stored ones.")
     p.add_argument("root")
     p.add_argument("--payloads")
@@ -68,7 +77,8 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--resolution")
     p.add_argument("--start", type=datetime.date.fromisoformat)
     p.add_argument("--end", type=datetime.date.fromisoformat)
-    p.add_argument("--pause", type=float, default=0.25)
+    p.add_argument("--pause", type=float, default=0.25, help="seconds from one request to the next, over all tasks")
+    p.add_argument("--partitions", type=int, default=1, help="tasks that fetch")
     p.add_argument("--probe", action="store_true", help="with --fetch: only find the first day that has data")
     p.add_argument("--check", nargs=2, metavar=("SYMBOL", "RESOLUTION"))
     p.add_argument("--since", type=datetime.date.fromisoformat)
@@ -76,20 +86,24 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--force", action="store_true")
     p.add_argument("--no-persist", action="store_true")
     a = p.parse_args(argv)
-    if sum(map(bool, (a.payloads, a.fetch, a.check))) != 1:
-        p.error("give one of --payloads, --fetch and --check")
+    if sum(map(bool, (a.payloads, a.fetch, a.check))) != 1 or a.probe and not a.fetch:
+        p.error("give one of --payloads, --fetch and --check; --probe goes with --fetch")
     if a.fetch and not (a.symbol and a.resolution and a.start and a.end and a.start <= a.end):
         p.error("--fetch needs --symbol, --resolution, --start and --end in order")
+    if a.fetch:
+        try:
+            payloads.check_resolution(a.resolution)
+        except ValueError as error:
+            p.error(str(error))
     spark = SparkSession.builder.appName("wickwork").getOrCreate()
     if a.check:
         return store.revalidate(spark, a.root, *a.check)
     try:
         if a.probe:
-            get = _fetcher(a.fetch)
-            print(payloads.probe_earliest(lambda x, y: '"candles":[]' not in get(a.symbol, a.resolution, x, y).replace(" ", ""), a.end, a.start))
-            return 0
+            return _probe(spark, a)
         if a.fetch:
-            answers = provider.read_payloads(spark, provider.provider("wickwork_cli", _fetcher(a.fetch)), symbol=a.symbol, resolution=a.resolution, start=a.start, end=a.end, pause=a.pause).persist()
+            options = {"symbol": a.symbol, "resolution": a.resolution, "start": a.start, "end": a.end, "pause": a.pause, "partitions": a.partitions}
+            answers = kept(provider.read_payloads(spark, provider.provider("wickwork_cli", _fetcher(a.fetch)), **options))
         else:
             answers = spark.read.parquet(a.payloads)
         if a.since:

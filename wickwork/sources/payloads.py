@@ -6,6 +6,9 @@ A payload table has one row a chunk: symbol, resolution, chunk (its number), fro
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +22,18 @@ INTRADAY_DAYS, DAILY_DAYS = 100, 366
 ROW_STRIDE = 1_000_000  # candles of a chunk that _seq leaves room for
 
 
+#: A vendor's function: symbol, resolution, first day, last day -> JSON text.
+Fetch = Callable[[str, str, datetime.date, datetime.date], str]
+
+
 class AuthError(PermissionError):
     """The vendor refused the token: the whole run stops."""
 
 
+class VendorError(RuntimeError):
+    """One request failed; what a vendor's function raises for it. Any other exception stops the run."""
+
+
 def max_days(resolution: Column) -> Column:
     return F.when(resolution == "1D", DAILY_DAYS).otherwise(INTRADAY_DAYS)
 
@@ -109,24 +120,20 @@ def earliest_available(candles: DataFrame, oldest: Column, window_days: int = 5)
     return first.select(*KEYS, F.greatest(oldest, F.date_sub("first", window_days - 1)).alias("earliest"))
 
 
-def probe_earliest(has_data, newest, oldest, window_days: int = 5):
-    """For a live source: bisect the days between oldest and newest by has_data(first day, last day)."""
-    import datetime
+def probe_earliest(has_data: Callable[[datetime.date, datetime.date], bool], newest: datetime.date, oldest: datetime.date, window_days: int = 5) -> datetime.date | None:
+    """For one live dataset: bisect the days between oldest and newest by has_data(first day, last day); a VendorError counts as no data.
 
-    day = datetime.timedelta(days=1)
-
-    def seen(at) -> bool:
-        try:
-            return bool(has_data(at, min(at + (window_days - 1) * day, newest)))
-        except AuthError:
-            raise
-        except Exception:  # a failed probe counts as no data
-            return False
-
-    if not seen(max(oldest, newest - (window_days - 1) * day)):
-        return None
-    low, high = oldest, max(oldest, newest - (window_days - 1) * day)
-    while low < high:
+    wickwork.sources.probe does the same for many at once.
+    """
+    low, high, found, day = oldest, newest, None, datetime.timedelta(days=1)
+    while low <= high:
         middle = low + ((high - low).days // 2) * day
-        low, high = (low, middle) if seen(middle) else (middle + day, high)
-    return low
+        try:
+            hit = bool(has_data(middle, min(middle + (window_days - 1) * day, newest)))
+        except VendorError:
+            hit = False
+        if hit:
+            found, high = middle, middle - day
+        else:
+            low = middle + day
+    return found
