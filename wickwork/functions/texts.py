@@ -47,10 +47,6 @@ def auth_code(url: Column) -> Column:
     return F.coalesce(*map(value, CODE_PARAMETERS))
 
 
-def url_parameter(url: Column, name: str) -> Column:
-    return F.nullif(F.trim(F.try_url_decode(F.try_parse_url(url, F.lit("QUERY"), F.lit(name)))), F.lit(""))
-
-
 def access_token(raw: Column) -> Column:
     return F.coalesce(F.get_json_object(raw, "$.access_token"), F.get_json_object(raw, "$.accessToken"))
 
@@ -67,3 +63,8 @@ def trading_mode(text: Column) -> Column:
     """paper for blank or paper; anything else is refused."""
     mode = F.lower(F.trim(F.coalesce(text, F.lit(""))))
     return F.when(mode.isin("", "paper"), "paper").otherwise(F.raise_error(F.concat(F.lit("trading mode refused: "), mode)))
+
+
+def sha256_hex(text: Column) -> Column:
+    """SHA-256 of the UTF-8 bytes, in lower-case hexadecimal digits."""
+    return F.sha2(text, 256)

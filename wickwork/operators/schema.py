@@ -84,9 +84,29 @@ def normalise(df: DataFrame, check: bool = True, ordered: bool = True) -> DataFr
 
 
 def resequenced(df: DataFrame) -> DataFrame:
-    """``_seq`` anew from 0 in each dataset, in time order."""
+    """``_seq`` anew from 0 in each dataset, in time order.
+
+    Rows are dealt by ranges of (dataset, time, ``_seq``) and written once. A row's place in its range less the place
+    where its dataset begins there, plus the dataset's rows in ranges before, is its number: however large a dataset
+    is, no task has more than a range, and only a row for each dataset of a range is summed.
+    """
+    from wickwork.plans.scratch import kept
+
+    order = [F.col(k).asc_nulls_first() for k in KEYS] + [F.col("ts").asc_nulls_last(), F.col(SEQ).asc_nulls_last()]
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = kept(placed.withColumns({"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    parts = placed.groupBy(*KEYS, "_range").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    before = Window.partitionBy(*KEYS).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*(F.col(k).alias(f"_{k}") for k in KEYS), F.col("_range").alias("_in"), (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    same = (F.col("_range") == F.col("_in")) & F.col(KEYS[0]).eqNullSafe(F.col(f"_{KEYS[0]}")) & F.col(KEYS[1]).eqNullSafe(F.col(f"_{KEYS[1]}"))
+    return placed.join(starts, same).withColumn(SEQ, F.col("_place") + F.col("_start")).select(*df.columns)
+
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first n rows of each dataset in time order."""
     place = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.col("ts").asc_nulls_last(), SEQ))
-    return df.withColumn(SEQ, place.cast("long") - 1)
+    return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
 def assert_canonical(df: DataFrame) -> None:

@@ -47,14 +47,20 @@ class Rules:
     block: int | None = 2_000_000
 
 
+def row_extremes() -> dict[str, Column]:
+    """top and bottom: the larger and smaller of open and close that is there; missing: whether any price is."""
+    o, h, l, c = map(F.col, PRICES)  # noqa: E741
+    return {"top": F.greatest(o, c), "bottom": F.least(o, c), "missing": o.isNull() | h.isNull() | l.isNull() | c.isNull()}
+
+
 def row_flags() -> dict[str, Column]:
     """Checks that need nothing but the row; prices are null or numbers, never NaN."""
     o, h, l, c = map(F.col, PRICES)  # noqa: E741
     no = lambda x: F.coalesce(x, F.lit(False))
-    null = o.isNull() | h.isNull() | l.isNull() | c.isNull()
+    top, bottom, null = row_extremes().values()
     return {
-        "OHLC_HIGH_TOO_LOW": no(h < F.greatest(o, c)),
-        "OHLC_LOW_TOO_HIGH": no(l > F.least(o, c)),
+        "OHLC_HIGH_TOO_LOW": no(h < top),
+        "OHLC_LOW_TOO_HIGH": no(l > bottom),
         "OHLC_HIGH_BELOW_LOW": no(h < l),
         "NON_POSITIVE_PRICE": no(F.least(o, h, l, c) <= 0),
         "NULL_PRICE": null,
@@ -208,6 +214,11 @@ def by_severity(found: DataFrame, severity: str) -> DataFrame:
     return found.where(F.col("severity") == severity)
 
 
+def codes_not_found(found: DataFrame) -> DataFrame:
+    """(code): the checks that found nothing in any dataset."""
+    return found.sparkSession.createDataFrame([(c,) for c in SEVERITY], "code string").join(found.select("code").distinct(), "code", "left_anti")
+
+
 def usable(found: DataFrame) -> DataFrame:
     """Per dataset with issues: whether none is an ERROR."""
     return found.groupBy(*KEYS).agg((F.count_if(F.col("severity") == ERROR) == 0).alias("usable"))
