@@ -108,7 +108,8 @@ def test_blocks_change_nothing(spark):
     from wickwork.sources import tables
 
     df, sort = tables.candles(spark, SMALL), lambda d: sorted(map(tuple, d.collect()), key=repr)
-    assert validate._largest(df) > 100
+    largest, datasets = validate._shape(df)
+    assert largest > 100 and datasets == df.select("symbol", "resolution").distinct().count()
     for block in (7, 100):
         rules = validate.Rules(sigma=3.0, block=None)
         assert sort(validate.issues(df, validate.Rules(sigma=3.0, block=block))) == sort(validate.issues(df, rules))

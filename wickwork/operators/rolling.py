@@ -43,10 +43,7 @@ def exponential_mean(df: DataFrame, column: str, alpha: float, name: str = "ewm"
     """
     if not 0 < alpha <= 1:
         raise ValueError("alpha has to be over 0 and at most 1")
-    if alpha == 1:
-        w = Window.partitionBy(*KEYS).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.last(column, ignorenulls=True).over(w))
-    keep = 1 - alpha
+    keep = max(1 - alpha, 1e-300)  # at 1 nothing is kept that a double could show
     size = max(1, min(block, int(math.log(LARGEST) / -math.log(keep))))
     blocks = Window.partitionBy(*KEYS, "_block").orderBy(SEQ)
     d = df.withColumn("_block", F.floor(F.col(SEQ) / size)).withColumn("_x", F.col(column).cast("double"))

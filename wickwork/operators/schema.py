@@ -11,6 +11,8 @@ PRICES = ["open", "high", "low", "close"]
 COLUMNS = ["ts", *PRICES, "volume"]
 SEQ = "_seq"
 CANONICAL = T.StructType([T.StructField("ts", T.TimestampType()), *(T.StructField(p, T.DoubleType()) for p in PRICES), T.StructField("volume", T.LongType())])
+#: Rows of a dataset and range that are sent to all tasks when rows are numbered; more meet the rows in a join.
+FEW_STARTS = 100_000
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
@@ -100,7 +102,8 @@ def resequenced(df: DataFrame) -> DataFrame:
     before = Window.partitionBy(*KEYS).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(*(F.col(k).alias(f"_{k}") for k in KEYS), F.col("_range").alias("_in"), (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
     same = (F.col("_range") == F.col("_in")) & F.col(KEYS[0]).eqNullSafe(F.col(f"_{KEYS[0]}")) & F.col(KEYS[1]).eqNullSafe(F.col(f"_{KEYS[1]}"))
-    return placed.join(starts, same).withColumn(SEQ, F.col("_place") + F.col("_start")).select(*df.columns)
+    few = parts.limit(FEW_STARTS + 1).count() <= FEW_STARTS
+    return placed.join(F.broadcast(starts) if few else starts, same).withColumn(SEQ, F.col("_place") + F.col("_start")).select(*df.columns)
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:

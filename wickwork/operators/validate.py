@@ -29,6 +29,8 @@ SEVERITY = {
 MAX_SAMPLES = 5
 ABSURD_GAP_DAYS = 30
 LEAST_ROWS_FOR_RETURNS = 30
+#: Datasets whose moments, a row each, are sent to all tasks; more meet the rows in a join.
+FEW_DATASETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -79,9 +81,9 @@ def _change() -> Column:
     return F.when(before == 0, F.when(close > 0, math.inf).when(close < 0, -math.inf)).otherwise(close / before - 1)
 
 
-def _largest(df: DataFrame) -> int:
-    """Rows of the largest dataset, by an aggregate of the keys alone."""
-    return df.groupBy(*KEYS).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+def _shape(df: DataFrame) -> tuple[int, int]:
+    """Rows of the largest dataset and the number of datasets, by an aggregate of the keys alone."""
+    return tuple(df.groupBy(*KEYS).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)), F.count("*")).first())
 
 
 def _by_dataset(df: DataFrame) -> DataFrame:
@@ -90,25 +92,31 @@ def _by_dataset(df: DataFrame) -> DataFrame:
     return d.withColumns({"_mean": F.avg("_change").over(every), "_dev": F.stddev_samp("_change").over(every), "_rows": F.count("*").over(every), "_endless": F.max(F.abs("_change")).over(every) == math.inf})
 
 
-def _by_block(df: DataFrame, size: int) -> DataFrame:
+def _by_block(df: DataFrame, size: int, datasets: int) -> DataFrame:
     """The same columns; the first row of a block gets its predecessor from the last rows of the blocks, one row each."""
     d = df.withColumn("_block", F.floor(F.col(SEQ) / size))
     ends = d.groupBy(*KEYS, "_block").agg(F.max_by(F.struct("ts", "close"), SEQ).alias("_end"))
+    renamed = [F.col(k).alias(f"_{k}") for k in KEYS]
+    same = F.col(KEYS[0]).eqNullSafe(F.col(f"_{KEYS[0]}")) & F.col(KEYS[1]).eqNullSafe(F.col(f"_{KEYS[1]}"))
     carried = ends.select(*KEYS, "_block", F.lag("_end").over(Window.partitionBy(*KEYS).orderBy("_block")).alias("_carried"))
     w = Window.partitionBy(*KEYS, "_block").orderBy(SEQ)
     first = F.row_number().over(w) == 1
-    d = d.join(carried, [*KEYS, "_block"])
+    # by plain equality, whose exchange the window can use; rows without a key stay, but a block of theirs begins anew
+    d = d.join(carried, [*KEYS, "_block"], "left")
     d = d.withColumns({"_ts": F.when(first, F.col("_carried.ts")).otherwise(F.lag("ts").over(w)), "_close": F.when(first, F.col("_carried.close")).otherwise(F.lag("close").over(w))})
     d = d.withColumn("_change", _change()).drop("_block", "_carried")
     moments = d.groupBy(*KEYS).agg(F.avg("_change").alias("_mean"), F.stddev_samp("_change").alias("_dev"), F.count("*").alias("_rows"), (F.max(F.abs("_change")) == math.inf).alias("_endless"))
-    return d.join(moments, KEYS)
+    moments = moments.select(*renamed, "_mean", "_dev", "_rows", "_endless")
+    # sent to the tasks, so that a large dataset's rows stay in their blocks
+    return d.join(F.broadcast(moments) if datasets <= FEW_DATASETS else moments, same).drop(*(f"_{k}" for k in KEYS))
 
 
 def with_order(df: DataFrame, rules: Rules) -> DataFrame:
     """df with what the ordered checks need: time since the row before, equal times, z-score of the return."""
     same = Window.partitionBy(*KEYS, "ts")
     d = _clean_nan(df)
-    d = _by_block(d, rules.block) if rules.block and _largest(df) > rules.block else _by_dataset(d)
+    largest, datasets = _shape(df) if rules.block else (0, 0)
+    d = _by_block(d, rules.block, datasets) if rules.block and largest > rules.block else _by_dataset(d)
     d = d.withColumn("_gap", F.unix_micros("ts") - F.unix_micros("_ts"))
     d = d.withColumns({"_same": F.count("*").over(same), "_first": F.row_number().over(same.orderBy(SEQ)) == 1})
     minutes = times.resolution_minutes(F.col("resolution")) if rules.interval == "resolution" else F.lit(rules.interval)

@@ -32,6 +32,7 @@ from wickwork.operators import validate
 from wickwork.operators.clean import CleaningRecord
 from wickwork.operators.schema import CANONICAL, COLUMNS, KEYS, PRICES, SEQ, assert_canonical, normalise, resequenced
 from wickwork.operators.sketches import merged
+from wickwork.plans.scratch import kept
 
 MANIFEST = (
     "symbol string, resolution string, source string, fetched_at string, timezone string, row_count long, first_ts string, last_ts string, day_hash string, content_hash string, "
@@ -182,6 +183,7 @@ def write(
     """
     is_error, spark, snapshot = F.col("severity") == "ERROR", df.sparkSession, uuid.uuid4().hex
     tally = found.groupBy(*KEYS).agg(F.count_if(is_error).alias("e"), F.count_if(F.col("severity") == "WARNING").alias("w"), F.array_sort(F.collect_set(F.when(is_error, F.col("code")))).alias("codes"))
+    tally = kept(tally)  # so that what was found isn't looked for again
     if not force:
         _gate(tally, coverage)
     rows = normalise(df, ordered=False)
@@ -243,8 +245,8 @@ def _current(spark: SparkSession, root: str) -> DataFrame:
 
 def _data(spark: SparkSession, root: str) -> DataFrame:
     """The rows of every dataset's latest snapshot."""
-    kept = _current(spark, root).select("snapshot", *KEYS)
-    return _read_data(spark, root, snapshots(spark, root)).join(kept, ["snapshot", *KEYS], "left_semi").drop("snapshot")
+    latest = _current(spark, root).select("snapshot", *KEYS)
+    return _read_data(spark, root, snapshots(spark, root)).join(latest, ["snapshot", *KEYS], "left_semi").drop("snapshot")
 
 
 def manifests(spark: SparkSession, root: str) -> DataFrame:
