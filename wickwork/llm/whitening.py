@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 from wickwork.llm.base import cut, table
 
 COMPONENTS, MOST_DIMS = 32, 8192
-BLOCK_ROWS, BLOCK_COLUMNS, BLOCK_VALUES, BLOCKS, SPLITS = 1024, 1024, 1 << 21, 4096, 1000
+BLOCK_ROWS, BLOCK_COLUMNS, BLOCK_VALUES, BLOCKS, SPLITS = 4096, 1024, 1 << 21, 4096, 1000
 SCALE, OFFSET, MOST = 64, 1_000_000, 2**60
+LEAST = 1e-10
 
 
 def indexed(df: DataFrame) -> DataFrame:
@@ -59,7 +61,12 @@ def _matrix(rows: DataFrame, vector: Column, n: int, d: int) -> BlockMatrix:
     """rows (index) and their vectors as blocks, all in the JVM."""
     ready = MLUtils.convertVectorColumnsFromML(rows.select(F.col("index").cast("long").alias("index"), array_to_vector(vector).alias("vector")), "vector")
     height = max(BLOCK_ROWS, min(max(1, BLOCK_VALUES // d), -(-n // BLOCKS)))
-    return IndexedRowMatrix(ready, n, d).toBlockMatrix(height, BLOCK_COLUMNS)
+    # kept for the matrix, its transpose and their plans; a lost executor's blocks are made again from the rows' files
+    return IndexedRowMatrix(ready, n, d).toBlockMatrix(height, BLOCK_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _freed(m: BlockMatrix) -> None:
+    m._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
 
 def _times(a: BlockMatrix, b: BlockMatrix, splits: int = 1) -> BlockMatrix:
@@ -85,10 +92,10 @@ class Whitening:
 
 
 def components(covariance: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(eigenvalues, unit eigenvectors as columns), falling, without those that are 0 in double precision."""
+    """(eigenvalues, unit eigenvectors as columns), falling, without those that are 0 beside the largest."""
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
     order = np.argsort(-values, kind="stable")[:most]
-    order = order[values[order] > max(values.max(), 0) * len(values) * np.finfo(float).eps]
+    order = order[values[order] > max(values.max(), 0) * LEAST]
     return values[order], vectors[:, order]
 
 
@@ -118,6 +125,7 @@ def whiten(embeddings: DataFrame, most: int = COMPONENTS) -> tuple[DataFrame, Wh
     covariance = scatter(blocks, n) / n
     values, vectors = components(covariance, most)
     if not len(values):
+        _freed(blocks)
         return None
     k, w = len(values), vectors / np.sqrt(values)
     spark = rows.sparkSession
@@ -126,9 +134,11 @@ def whiten(embeddings: DataFrame, most: int = COMPONENTS) -> tuple[DataFrame, Wh
     product = _times(blocks, IndexedRowMatrix(right, d, k).toBlockMatrix(BLOCK_COLUMNS, BLOCK_COLUMNS))
     found = callMLlibFunc("getIndexedRows", product.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
     white = cut(found.select("index", vector_to_array("vector").alias("w")))
+    _freed(blocks)
     means = white.select(F.posexplode("w").alias("c", "w")).groupBy("c").agg(F.avg("w").alias("m")).orderBy("c").collect()  # a row a component
     centred = _matrix(white, F.zip_with("w", F.array(*(F.lit(r.m) for r in means)), lambda x, m: x - m), n, k)
     error = float(np.abs(scatter(centred, n) / n - np.eye(k)).max())
+    _freed(centred)
     out = rows.select("index", "vec_id", _deviation(n, sums, [r.low for r in about], [r.high for r in about]).alias("deviation")).join(white, "index")
     return out.select("vec_id", "deviation", F.col("w").alias("whitened")), Whitening(n, sums, w, [float(v) for v in values / np.trace(covariance)], error)
 
