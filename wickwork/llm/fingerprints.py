@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from wickwork.llm.base import cut, table, words_of
 
 SAMPLES, LEVELS, AT_ONCE = 64, 4096, 16
-BLOCK, MOST, PER_TASK = 64, 4096, 2048
+#: Rows of a block, of the largest one, and of a task, of which there are no more than MOST_TASKS: beyond, tasks grow and their word counts may spill.
+BLOCK, MOST, PER_TASK, MOST_TASKS = 64, 4096, 2048, 200_000
 # Bits of a mark: FRACTION of its fraction, SIGN of the sample.
 FRACTION, SIGN = 40, 16
 
@@ -81,7 +82,7 @@ def number_ids(docs: DataFrame) -> DataFrame:
 def _blocked(docs: DataFrame, most: int) -> tuple[DataFrame, int]:
     """docs (doc_id, h, text) with block and copies, and how many tasks to deal them to. A later block has later ids."""
     span = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).first()
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-span.n // PER_TASK))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-span.n // PER_TASK), MOST_TASKS))
     low = span.a or 0
     width = max(1.0, float((span.b or 0) - low + 1) * BLOCK / max(1, span.n))
     block = F.coalesce(F.floor((F.col("doc_id").cast("double") - float(low)) / width), F.lit(-1)).alias("block")
