@@ -6,6 +6,7 @@ import collections
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import SMALL
@@ -46,6 +47,34 @@ def test_stages(spark, duck, tmp_path):
         start += len(ids)
 
 
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, repeated rows and ids, a very long text, columns of the operators' own names, no rows at all."""
+    long = " ".join(f"word{i}" for i in range(60_000))
+    plain = [" ".join(f"{a}{i}" for i in range(40)) for a in "abcdefg"]
+    rows = [
+        (None, None, None, None, None), (None, plain[0], None, None, 1), (None, plain[0], None, None, 1), (1, plain[1], "en", "s", 2), (1, plain[1], "en", "s", 2), (1, plain[2], "en", "s", 3), (2, "", "en", "s", 0),
+        (3, "  \n", None, "s", 3), (4, long, "xx", "t", None), (5, long + " more", "xx", "t", None), (6, plain[3], None, None, 9), (-7, plain[4], "en", None, 9),
+    ]
+    schema = table(spark, SMALL, "documents").schema
+    docs = spark.createDataFrame(rows, schema)
+    for c in ("row", "copy", "part", "text_md5", "q_words", "h", "bucket", "start"):
+        docs = docs.withColumn(c, F.lit(1))
+    wanted, columns = {}, docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
+        out = stage(spark, docs, SMALL)
+        assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == columns
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        wanted[name] = collections.Counter((r.doc_id, r.text) for r in docs.collect()) if k < 4 else docs.collect()
+    quality, near, clean, mixed, tokens = wanted.values()
+    has_words = collections.Counter((r[0], r[1]) for r in rows if r[1] and r[1].split())
+    assert quality == has_words
+    assert near == clean == quality - collections.Counter({(5, long + " more"): 1})
+    assert set(mixed) <= set(clean) and len(tokens) == sum(mixed.values())
+    assert sorted(r.start for r in tokens)[0] == 0
+
+
 def test_run_is_a_registered_query(spark):
     import __spark_entry__
 
