@@ -22,6 +22,7 @@ from wickwork.plans import store
 from wickwork.plans.scratch import shared_folder
 from wickwork.sources import payloads, probe, tables
 from wickwork.sources.tables import table
+from wickwork.streaming.ordered import ordered_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -144,7 +145,7 @@ _add(
     f"""with {ORDERED}, flagged as ({_counts}), found as (select symbol, resolution, code, severity, count(*) as n from flagged group by all), e as (
       select symbol, resolution, count(*) filter (where same > 1) as rows_, max(gap / 86400000000) filter (where gap > step and not same_day) as days from ordered group by all
     ), texts as (select unnest({list(validate.MESSAGES)}) as code, unnest({list(validate.MESSAGES.values())!r}) as text)
-    select symbol, resolution, code, severity, n, n || ' ' || replace(replace(text, '{{rows}}', rows_::varchar), '{{days}}', coalesce(round(days, 2)::decimal(18, 2)::varchar, '?')) as message
+    select symbol, resolution, code, severity, n, n || ' ' || replace(replace(text, '{{rows}}', rows_::varchar), '{{days}}', coalesce(round(days, 1)::decimal(18, 1)::varchar, '?')) as message
     from found join e using (symbol, resolution) join texts using (code)""",
 )
 _add(
@@ -503,6 +504,31 @@ def _sketched(spark: SparkSession, d: str) -> DataFrame:
 
 _add("n05_sketches", _sketched, f"with {CANDLES} select symbol, resolution, count(*) as rows, count(*) - 1 as n_returns, true as times_hold, true as ranks_hold from hourly group by all")
 
+
+
+def _streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The ordered checks of the events as two runs of a stream with state: what they tell together is what the batch checks tell."""
+    root, name = _new_root(spark), "spark.sql.streaming.stateStore.providerClass"
+    rows, before = tables.tick(spark, d), spark.conf.get(name)
+    middle = rows.agg(F.floor(F.avg(SEQ))).first()[0]
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for part in (F.col(SEQ) <= middle, F.col(SEQ) > middle):
+            rows.where(part).write.mode("append").parquet(f"{root}/in")
+            # lateness spans the table, so that no row is too late to be compared
+            told = ordered_stream(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), "400 days")
+            told.writeStream.format("parquet").option("checkpointLocation", f"{root}/at").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema("symbol string, resolution string, seq long, us long, code string").parquet(f"{root}/out")
+
+
+_add(
+    "n06_ordered_stream",
+    _streamed,
+    f"with {ORDERED} " + " union all ".join(f"select symbol, resolution, seq, us, '{c}' as code from ordered where resolution = '1' and {CONDITION[c]}" for c in ("TS_NOT_SORTED", "DUPLICATE_TIMESTAMPS", "WITHIN_DAY_GAPS")),
+)
+
 # --- I: scalar functions --------------------------------------------------------------------------
 _add("it01_epoch_to_ist", lambda spark, d: table(spark, d, "events").select("event_id", times.iso(times.epoch_to_instant(times.ntz_micros(F.col("ts")) / 1_000_000)).alias("t")).select("event_id", F.substring("t", 1, 19).alias("t")), "select event_id, strftime(make_timestamp(epoch_us(ts) + 19800000000), '%Y-%m-%dT%H:%M:%S') as t from events")
 _add("c10_iso_times", lambda spark, d: tables.tick(spark, d).select(F.col(SEQ).alias("seq"), times.iso(F.col("ts")).alias("t")), f"with {TICK} select seq, {_iso('us')} as t from tick")

@@ -247,7 +247,7 @@ MESSAGES = {
 def with_messages(found: DataFrame, about: DataFrame) -> DataFrame:
     """issues with a column message; about: the datasets' envelope."""
     text = F.element_at(F.create_map(*(F.lit(x) for pair in MESSAGES.items() for x in pair)), F.col("code"))
-    days = F.coalesce(F.round("largest_gap_days", 2).cast("decimal(18,2)").cast("string"), F.lit("?"))
+    days = F.coalesce(F.round("largest_gap_days", 1).cast("decimal(18,1)").cast("string"), F.lit("?"))
     text = F.replace(F.replace(text, F.lit("{rows}"), F.coalesce(F.col("duplicate_rows").cast("string"), F.lit("?"))), F.lit("{days}"), days)
     met = found.join(about.select(*KEYS, "duplicate_rows", "largest_gap_days"), KEYS, "left")
     return met.select(*found.columns, F.concat(F.col("n").cast("string"), F.lit(" "), text).alias("message"))
