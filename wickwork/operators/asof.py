@@ -19,20 +19,18 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], *, prefix: str =
     time meet nothing, and null keys equal each other.
     """
     others = [c for c in right.columns if c not in by]
-    no = lambda df: F.lit(None).cast(df)
-    sides = left.select(F.struct(*left.columns).alias("_l")), right.where("ts is not null").select(*by, F.struct(*others).alias("_r"), "ts", (F.col(tie) if tie else F.lit(0)).alias("_tie"))
-    l_type, r_type, tie_type = sides[0].schema["_l"].dataType, sides[1].schema["_r"].dataType, sides[1].schema["_tie"].dataType
-    rows = left.select(*by, "ts", F.struct(*left.columns).alias("_l"), no(r_type).alias("_r"), no(tie_type).alias("_tie"), F.lit(1).alias("_side"))
-    rows = rows.unionByName(sides[1].select(*by, "ts", no(l_type).alias("_l"), "_r", "_tie", F.lit(0 if exact else 2).alias("_side")))
-    rows = rows.withColumn("_block", F.floor(F.unix_micros("ts") / width_micros))
-    ends = rows.groupBy(*by, "_block").agg(F.max_by("_r", F.when(F.col("_r").isNotNull(), F.struct("ts", "_tie"))).alias("_end"))
-    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(by)), F.col("_block").alias("_b"), F.last("_end", ignorenulls=True).over(before).alias("_carried"))
-    same = F.col("_block") == F.col("_b")
-    for i, k in enumerate(by):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    met = rows.join(carried, same, "left")
-    w = Window.partitionBy(*by, "_block").orderBy("ts", "_side", F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    key = F.struct(*by).alias("_key")  # never null itself, so that plain equality serves the join and the window alike
+    no = lambda kind: F.lit(None).cast(kind)
+    r = right.where("ts is not null").select(key, "ts", F.struct(*others).alias("_r"), (F.col(tie) if tie else F.lit(0)).alias("_tie"), F.lit(0 if exact else 2).alias("_side"))
+    rows = left.select(key, "ts", F.struct(*left.columns).alias("_l"), no(r.schema["_r"].dataType).alias("_r"), no(r.schema["_tie"].dataType).alias("_tie"), F.lit(1).alias("_side"))
+    rows = rows.unionByName(r.withColumn("_l", no(rows.schema["_l"].dataType))).withColumn("_block", F.floor(F.unix_micros("ts") / width_micros))
+    # a row for each block of either side; only right rows are summed up
+    ends = rows.where("_r is not null").groupBy("_key", "_block").agg(F.max_by("_r", F.struct("ts", "_tie")).alias("_end"))
+    ends = ends.unionByName(rows.where("_l is not null").select("_key", "_block").distinct(), allowMissingColumns=True).groupBy("_key", "_block").agg(F.first("_end", ignorenulls=True).alias("_end"))
+    before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_key", "_block", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    met = rows.join(carried, ["_key", "_block"], "left")
+    w = Window.partitionBy("_key", "_block").orderBy("ts", "_side", F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     met = met.withColumn("_met", F.when(F.col("ts").isNotNull(), F.coalesce(F.last("_r", ignorenulls=True).over(w), "_carried"))).where("_l is not null")
     if tolerance_micros is not None:
         met = met.withColumn("_met", F.when(F.unix_micros("ts") - F.unix_micros("_met.ts") <= tolerance_micros, F.col("_met")))
