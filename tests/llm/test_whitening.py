@@ -36,11 +36,6 @@ def check(out: list, rows: list[tuple], most: int = 32) -> None:
         assert all(abs(a[1] - sign * b[1]) < 1e-6 for a, b in zip(pairs, plain, strict=True))
 
 
-def run(spark, df, folder=None):
-    done = whitening.whiten(df)
-    return done and (done[0], done[1])
-
-
 def as_query(spark, monkeypatch, df) -> list:
     monkeypatch.setattr(whitening, "table", lambda *a: df)
     return whitening.query(spark, "").collect()
