@@ -57,6 +57,17 @@ def test_a_write_stopped_within_its_data_job_changes_nothing(spark, tmp_path):
     assert store.verify_store(spark, root).where("unchanged").count() == 2
 
 
+def test_rows_without_a_key_are_refused(spark, tmp_path):
+    root = str(tmp_path / "s")
+    df = bars(spark, 2, 5)
+    for key in ("symbol", "resolution"):
+        bad = df.withColumn(key, F.when(F.col("_seq") != 3, F.col(key)))
+        with pytest.raises(Exception, match=f"rows without a {key}"):
+            put(bad, root)
+    with pytest.raises(FileNotFoundError):
+        store.manifests(spark, root)
+
+
 def test_latest_snapshot_of_each_dataset_is_read(spark, tmp_path):
     root = str(tmp_path / "s")
     put(bars(spark, 4, 10), root)

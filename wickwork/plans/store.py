@@ -177,7 +177,8 @@ def write(
 ) -> DataFrame:
     """Store the datasets of df as a snapshot and return their manifest rows. found: validate.issues of them; coverage, chunks: of payloads.fetch.
 
-    Nothing is written if any dataset has an ERROR or a failed chunk, unless forced, which is recorded. The
+    Nothing is written if any dataset has an ERROR or a failed chunk, unless forced, which is recorded. Rows
+    without a symbol or resolution are refused in any case. The
     manifests hold the hashes by day; with exact also exact_hashes. Each is one job for all datasets. sketches:
     operators.sketches.day_sketches of df, which the manifests keep merged.
     """
@@ -188,6 +189,8 @@ def write(
         _gate(tally, coverage)
     rows = normalise(df, ordered=False)
     assert_canonical(rows.select(*(c for c in rows.columns if c != SEQ)))
+    # folders are named by the keys
+    rows = rows.withColumns({k: F.coalesce(k, F.raise_error(F.lit(f"refused: rows without a {k}")).cast("string")) for k in KEYS})
     # a task has a year of a dataset
     ordered = rows.repartition(*KEYS, F.year("ts")).sortWithinPartitions(*KEYS, F.col("ts").asc_nulls_last(), *([SEQ] if SEQ in rows.columns else []))
     with _microseconds(spark):
