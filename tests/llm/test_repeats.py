@@ -133,22 +133,20 @@ def test_one_good_text_certifies_nothing_however_often(spark):
     assert all(r.good == 3_000 for r in quality_rules.certified(counted, more).collect()) and quality_rules.certified(counted, more).count()
 
 
-@pytest.mark.parametrize("ids", ["null", "one", "same text"])
-def test_mix_of_tied_ids_meets_its_target(spark, duck, ids):
-    """Rows of a source that share an id, or an id and a text: within one document of the target, at any number of tasks."""
-    doc_id, text = {"null": (None, "w{} x y"), "one": (7, "w{} x y"), "same text": (None, "x y z")}[ids]
-    rows = [(doc_id, text.format(i), "a") for i in range(900)] + [(1_000 + i, "b c " * (1 + i % 3), "b") for i in range(300)] + [(doc_id, "q " * 3, "c")] * 400
+def test_mix_of_tied_ids_meets_its_target(spark, duck):
+    """Sources whose rows share an id, or an id and a text: within one document of the target, at any number of tasks."""
+    rows = [(None, f"w{i} x y", "a") for i in range(900)] + [(7, f"w{i} x y", "b") for i in range(900)] + [(None, "x y z", "c")] * 900 + [(7, "q " * 3, "e")] * 400 + [(1_000 + i, "b c " * (1 + i % 3), "d") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     want = None
-    for tasks in (1, 3, 16):
-        out = mixing.mix(df.repartition(tasks))
+    for tasks in (1, 16):
+        out = mixing.mix(df.repartition(tasks)).cache()
         sums = {r.source: (r.taken, r.target) for r in out.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
         assert all(abs(taken - target) <= 6 for taken, target in sums.values()), sums
         assert out.where("taken > 3 * size").count() == 0
         got = sorted(map(repr, out.select("doc_id", "size", "source_size", "target", "taken").collect()))
         assert want is None or got == want
         want = got
-        assert mixing.mixed(df.repartition(tasks)).groupBy("source").count().orderBy("source").collect() == out.groupBy("source").agg(F.sum("copies").cast("long").alias("count")).orderBy("source").collect()
+    assert mixing.mixed(df.repartition(3)).groupBy("source").count().orderBy("source").collect() == out.groupBy("source").agg(F.sum("copies").cast("long").alias("count")).orderBy("source").collect()
     duck.register("tied", df.toPandas().astype({"doc_id": "Int64"}))
     sql = duck.execute("with " + mixing.SQL.strip().removeprefix("with ").replace("from documents", "from tied")).fetchall()
     assert sorted(x[4] for x in sql) == sorted(r.taken for r in out.collect())
