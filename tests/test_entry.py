@@ -14,6 +14,22 @@ def test_query_equals_sql(spark, duck, name):
     same(spark, duck, catalog.QUERIES[name], catalog.SQL[name], SMALL)
 
 
+def same_on(spark, name: str, folder, **tables: str) -> None:
+    """A query and its SQL on other tables, each given as a query on those of SMALL."""
+    import duckdb
+
+    with duckdb.connect() as c:
+        for t, query in tables.items():
+            c.execute(f"copy ({query.format(t=f"read_parquet('{SMALL}/{t}.parquet')")}) to '{folder}/{t}.parquet' (format parquet)")
+            c.execute(f"create view {t} as select * from read_parquet('{folder}/{t}.parquet')")
+        same(spark, c, catalog.QUERIES[name], catalog.SQL[name], str(folder))
+
+
+def test_a_probe_that_finds_nothing(spark, tmp_path):
+    """Every chunk of these events failed or is empty."""
+    same_on(spark, "a10_probe_rounds", tmp_path, events="select * from {t} where event_id between 500 and 999")
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

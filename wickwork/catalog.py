@@ -262,12 +262,12 @@ _add("a10_earliest_available", _earliest, f"with {CANDLES} select symbol, resolu
 
 
 def _probed(spark: SparkSession, d: str) -> DataFrame:
-    """What bisecting the payloads' days finds, some of whose chunks failed; one request of two days a dataset and round."""
+    """What bisecting the payloads' days finds, some of whose chunks failed, or empty; one request of two days a dataset and round."""
     answers = tables.payloads(spark, d)
     candles = payloads.candles_of(payloads.with_status(answers)).select(*KEYS, "ts")
     first, last = F.lit("2023-12-01").cast("date"), F.lit("2024-02-15").cast("date")
     wanted = answers.select(*KEYS).distinct().select(*KEYS, first.alias("oldest"), last.alias("newest"))
-    return probe.earliest(wanted, probe.stored_answer(candles), 2).select(*KEYS, F.date_format("earliest", "yyyy-MM-dd").alias("earliest"))
+    return probe.earliest(wanted, probe.stored_answer(candles), 2).select(*KEYS, F.coalesce(F.date_format("earliest", "yyyy-MM-dd"), F.lit("")).alias("earliest"))
 
 
 _add(
