@@ -30,6 +30,22 @@ def test_a_probe_that_finds_nothing(spark, tmp_path):
     same_on(spark, "a10_probe_rounds", tmp_path, events="select * from {t} where event_id between 500 and 999")
 
 
+def test_changes_keep_their_sign(spark, tmp_path):
+    """A change of -2e-16, whose rounding has a sign in SQL: 9.95 + 0.02 after 9.96 + 0.01."""
+    import math
+
+    name, events = "e01_ordered_primitives", "select * replace ('one' as event_type, case event_id when 4 then 9.96 when 5 then 9.95 else value end::double as value) from {t} where event_id < 20"
+    same_on(spark, name, tmp_path, events=events, orders="select * from {t} limit 1")
+    import duckdb
+
+    with duckdb.connect() as c:
+        for t in ("events", "orders"):
+            c.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet')")
+        wanted = {(x[0], x[1]): x[2] for x in c.execute(f"select resolution, seq, change from ({catalog.SQL[name]}) where change = 0").fetchall()}
+    got = {(r.resolution, r.seq): r.change for r in catalog.QUERIES[name](spark, str(tmp_path)).where("change = 0").collect()}
+    assert {k: math.copysign(1, v) for k, v in got.items()} == {k: math.copysign(1, v) for k, v in wanted.items()} and -1 in (math.copysign(1, v) for v in wanted.values())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -197,7 +197,9 @@ def _primitives(spark: SparkSession, d: str) -> DataFrame:
     o = validate.with_order(tables.candles(spark, d), validate.Rules(block=1000))
     z = F.when(~F.coalesce("_endless", F.lit(False)) & (F.col("_dev") > 0), F.round(instruments.z_score(F.col("_change"), F.col("_mean"), F.col("_dev")), 4))
     same_day = times.ist_day(F.col("ts")) == times.ist_day(F.col("_ts"))
-    return _us(o.withColumns({"gap": F.col("_gap"), "same_day": same_day, "change": F.round("_change", 9), "z": z, "repeated": F.col("_same") > 1}), "gap", "same_day", "change", "z", "repeated")
+    # Spark's round forgets the sign of what it rounds to zero
+    change = F.when((F.col("_change") < 0) & (F.round("_change", 9) == 0), -0.0).otherwise(F.round("_change", 9))
+    return _us(o.withColumns({"gap": F.col("_gap"), "same_day": same_day, "change": change, "z": z, "repeated": F.col("_same") > 1}), "gap", "same_day", "change", "z", "repeated")
 
 
 _add(
