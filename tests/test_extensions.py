@@ -148,3 +148,40 @@ def test_sketches(spark, tmp_path):
                 assert abs(sum(x <= q for x in c) / len(c) - p) <= sketches.RANK_ERROR
     limits = sketches.summary(sketches.merged(days), width=20.0)
     assert sorted((r.symbol, r._seq) for r in sketches.robust_outliers(df, limits).collect()) == [("a", 77), ("b", 77)]
+
+
+def test_the_stream_asks_its_state_by_hours():
+    """Two batches of 3,000 rows over four hours: some calls of the state for each hour, none for each row."""
+    import pandas as pd
+
+    from wickwork.streaming.ordered import OrderedChecks
+
+    calls = []
+
+    class State(dict):
+        def __getattr__(self, name):
+            def call(key=None, value=None):
+                calls.append(name)
+                if name in ("update", "updateValue"):
+                    self[None if name == "update" else key] = key if name == "update" else value
+                return {"get": lambda: dict.get(self, None), "exists": lambda: None in self, "getValue": lambda: self[key], "containsKey": lambda: key in self}.get(name, lambda: None)()
+
+            return call
+
+        def get(self):
+            return self[None]
+
+        def update(self, value):
+            self[None] = value
+
+    class Handle:
+        getValueState = getMapState = lambda self, *schema: State()
+        registerTimer = lambda self, at: calls.append("timer")
+
+    checks, told = OrderedChecks(), []
+    checks.init(Handle())
+    for k in range(2):
+        frame = pd.DataFrame({"seq": range(3000 * k, 3000 * k + 3000), "us": [(i * 4_800_000) for i in range(3000)]})
+        told += [r for out in checks.handleInputRows(("a", "1"), iter([frame]), None) for r in out.itertuples(index=False)]
+    assert sorted(r.seq for r in told if r.code == "DUPLICATE_TIMESTAMPS") == list(range(3000))
+    assert [(r.seq, r.us) for r in told if r.code != "DUPLICATE_TIMESTAMPS"] == [(3000, 0)] and len(calls) < 100
