@@ -349,3 +349,15 @@ def test_command_line(spark, tmp_path, capsys):
         with pytest.raises(SystemExit) as refused:
             run(*wrong)
         assert refused.value.code == 2
+
+
+def test_a_dataset_of_300_000_rows_is_no_single_task(spark):
+    from wickwork.operators import validate
+
+    rows = spark.range(300_000).select(F.lit("big").alias("symbol"), F.lit("1").alias("resolution"), F.col("id").alias("_seq"), F.timestamp_micros(F.col("id") * 60_000_000).alias("ts"), *(F.lit(1.0).alias(p) for p in ("open", "high", "low", "close")), F.lit(1).cast("long").alias("volume"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = validate.with_order(rows, validate.Rules()).groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.count_if((F.col("_gap") == 60_000_000) & (F.col("_same") == 1)).alias("gaps")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r.gaps for r in out) == 299_999 and max(r.n for r in out) < 200_000

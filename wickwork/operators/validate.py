@@ -46,7 +46,7 @@ class Rules:
     session: tuple[datetime.time, datetime.time] | None = None
     max_session_gap_days: float | None = None
     source_zone: str = times.IST
-    block: int | None = 2_000_000
+    block: int | None = 250_000
 
 
 def row_extremes() -> dict[str, Column]:
