@@ -174,3 +174,22 @@ def test_kept_rows_are_not_made_again(spark):
 
     rows = kept(spark.range(10).mapInArrow(noted, "id long"))
     assert rows.count() == rows.count() == 10 and runs.value == 10
+
+
+def test_a_large_dataset_is_written_by_several_tasks(spark, tmp_path):
+    """A month of one dataset, 40,000 rows, in more than one file, and a small dataset in one."""
+    from pyspark.sql import functions as F
+
+    from wickwork.operators import validate
+    from wickwork.plans import store
+
+    at = lambda n, s: spark.range(n).select(F.lit(s).alias("symbol"), F.lit("1").alias("resolution"), F.col("id").alias("_seq"), F.timestamp_micros(F.col("id") * 60_000_000).alias("ts"), *(F.rand(1).alias(p) for p in ("open", "high", "low", "close")), F.col("id").alias("volume"))
+    rows, before = at(40_000, "big").unionByName(at(9, "small")), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.write(rows, str(tmp_path), source="t", found=validate.issues(rows), force=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = lambda s: len(list(tmp_path.glob(f"data/*/symbol={s}/**/*.parquet")))
+    assert files("big") > 1 and files("small") == 1
+    assert {r.symbol: r.row_count for r in store.manifests(spark, str(tmp_path)).collect()} == {"big": 40_000, "small": 9}

@@ -191,8 +191,8 @@ def write(
     assert_canonical(rows.select(*(c for c in rows.columns if c != SEQ)))
     # folders are named by the keys
     rows = rows.withColumns({k: F.coalesce(k, F.raise_error(F.lit(f"refused: rows without a {k}")).cast("string")) for k in KEYS})
-    # a task has a year of a dataset
-    ordered = rows.repartition(*KEYS, F.year("ts")).sortWithinPartitions(*KEYS, F.col("ts").asc_nulls_last(), *([SEQ] if SEQ in rows.columns else []))
+    # a task has a range of datasets and times, so that a large dataset is written by many and a small one by few
+    ordered = rows.repartitionByRange(*KEYS, F.col("ts").asc_nulls_last()).sortWithinPartitions(*KEYS, F.col("ts").asc_nulls_last(), *([SEQ] if SEQ in rows.columns else []))
     with _microseconds(spark):
         ordered.drop(SEQ).write.option("compression", "snappy").partitionBy(*KEYS).parquet(f"{root}/data/snapshot={snapshot}")
     about = _manifests_of(spark, root, snapshot, tally, coverage, chunks, exact)
